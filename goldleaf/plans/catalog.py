@@ -12,7 +12,13 @@ from pyspark.sql import functions as F
 from goldleaf import contracts as C
 from goldleaf.operators import clean as CL
 from goldleaf.operators.dedup import distinct_values
-from goldleaf.operators.joins import semi_join_known
+from goldleaf.operators.calendar import build_dim_date
+from goldleaf.operators.fact import derive_fact_columns
+from goldleaf.operators.joins import lookup_key, null_safe_lookup, semi_join_known
+from goldleaf.operators.keys import next_key
+from goldleaf.operators.load import insert_absent
+from goldleaf.operators.scd2 import active_members, scd2_apply, scd2_expire, scd2_insert, stage_merchants
+from goldleaf.plans import gold as G
 from goldleaf.plans import oracle as O
 from goldleaf.plans import silver as S
 from goldleaf.sources import fixtures as FX
@@ -168,5 +174,219 @@ def silver_transactions(spark, sf_dir):
     return silver_t(spark, sf_dir)
 
 
-def fact_stage(spark, sf_dir):  # replaced below once the gold layer is registered
-    return silver_t(spark, sf_dir)
+# ---------------------------------------------------------------------------
+# gold: calendar
+# ---------------------------------------------------------------------------
+
+_TXN_CTES = O.merchant_ctes() + O.transaction_ctes()
+FIRST_DROP_END = "2023-01-01 00:00:00"  # first delivery: transactions before this instant
+
+
+def _first_drop(df: DataFrame) -> DataFrame:
+    return df.filter(F.col("transaction_timestamp") < F.lit(FIRST_DROP_END).cast("timestamp_ntz"))
+
+
+@register("dim_date", O.with_(_TXN_CTES + [("days", O.calendar_days_sql("silver_t"))],
+                              O.calendar_sql("days")))
+def dim_date(spark, sf_dir):
+    """D1 + S13 + X12-X14 + X17: the 2020-2030 calendar, widened to cover every transaction date."""
+    return G.dim_date_for(spark, silver_t(spark, sf_dir))
+
+
+@register("dim_date_incremental", O.with_(_TXN_CTES + [
+    ("first_t", f"SELECT * FROM silver_t WHERE transaction_timestamp < TIMESTAMP '{FIRST_DROP_END}'"),
+    ("days1", O.calendar_days_sql("first_t", end=C.CALENDAR_START)),
+    ("load1", O.calendar_sql("days1")),
+    ("days2", O.calendar_days_sql("silver_t")),
+    ("stage2", O.calendar_sql("days2")),
+], "SELECT *, 1 AS load_batch FROM load1 UNION ALL SELECT *, 2 AS load_batch FROM stage2 s "
+   "WHERE NOT EXISTS (SELECT 1 FROM load1 d WHERE d.date_key = s.date_key)"))
+def dim_date_incremental(spark, sf_dir):
+    """J5 + S12: the calendar is first loaded up to the first delivery's last date, then
+    the full calendar is inserted where absent (NOT EXISTS on date_key)."""
+    txn = silver_t(spark, sf_dir)
+    first = build_dim_date(spark, C.CALENDAR_START, C.CALENDAR_START, cover=_first_drop(txn),
+                           cover_col="transaction_timestamp")
+    added = insert_absent(G.dim_date_for(spark, txn), first, "date_key")
+    return (first.withColumn("load_batch", F.lit(1))
+            .unionByName(added.withColumn("load_batch", F.lit(2))))
+
+
+# ---------------------------------------------------------------------------
+# gold: merchant staging and SCD2
+# ---------------------------------------------------------------------------
+
+@register("merchant_stage", O.with_(O.merchant_stage_ctes(None, ""), "SELECT * FROM stage_m"))
+def merchant_stage(spark, sf_dir):
+    """D9 + P2 P3 P5 P6 P7 X18: silver merchants -> typed staging rows."""
+    return stage_merchants(silver_m(spark, sf_dir))
+
+
+def _stages(spark, sf_dir):
+    return stage_merchants(silver_m(spark, sf_dir, 0)), stage_merchants(silver_m(spark, sf_dir, 1))
+
+
+@register("merchant_keys", O.with_(O.scd2_ctes("compat"), "SELECT * FROM dim0_compat"))
+def merchant_keys(spark, sf_dir):
+    """D4 on the dimension: initial load keyed 1..n in (merchant_id, valid_from) order."""
+    s0, _ = _stages(spark, sf_dir)
+    return scd2_apply(None, s0)
+
+
+@register("scd2_expire", O.with_(O.scd2_ctes("compat"), "SELECT * FROM expired_compat"))
+def scd2_expire_q(spark, sf_dir):
+    """D2 + J7 + F4 F5 X15: active versions of updated merchants are closed."""
+    s0, s1 = _stages(spark, sf_dir)
+    return scd2_expire(scd2_apply(None, s0), s1)
+
+
+@register("scd2_insert", O.with_(O.scd2_ctes("compat"), "SELECT * FROM inserted_compat"))
+def scd2_insert_q(spark, sf_dir):
+    """D3 + F6: every I/U row of the batch becomes a new version, keyed after the maximum."""
+    s0, s1 = _stages(spark, sf_dir)
+    dim0 = scd2_apply(None, s0)
+    return scd2_insert(s1, next_key(dim0, "merchant_key"))
+
+
+@register("scd2_compat", O.with_(O.scd2_ctes("compat"), "SELECT * FROM dim1_compat"))
+def scd2_compat(spark, sf_dir):
+    """D2 + D3: the next dimension snapshot after the update batch (reference semantics)."""
+    s0, s1 = _stages(spark, sf_dir)
+    return scd2_apply(scd2_apply(None, s0), s1)
+
+
+@register("scd2_strict", O.with_(O.scd2_ctes("strict"), "SELECT * FROM dim1_strict"))
+def scd2_strict(spark, sf_dir):
+    """Strict SCD2: day-level last change, chained versions, one active row per merchant."""
+    s0, s1 = _stages(spark, sf_dir)
+    return scd2_apply(scd2_apply(None, s0, "strict"), s1, "strict")
+
+
+# ---------------------------------------------------------------------------
+# gold: junk dimensions, lookups, fact
+# ---------------------------------------------------------------------------
+
+_DERIVED = _TXN_CTES + O.derived_ctes()
+_FACT = O.fact_ctes("compat", G.JUNK_HISTORY_END)
+
+
+def derived_t(spark, sf_dir) -> DataFrame:
+    return derive_fact_columns(silver_t(spark, sf_dir))
+
+
+def dim1(spark, sf_dir) -> DataFrame:
+    s0, s1 = _stages(spark, sf_dir)
+    return scd2_apply(scd2_apply(None, s0), s1)
+
+
+_GOLD_JSON_COLS = [n for n, *_ in C.GOLD_JSON_FIELDS] + ["is_mac"]
+
+
+@register("json_gold", O.with_([O.RAW_T], "SELECT transaction_id, " + ", ".join(
+    f"{v} AS {k}" for k, v in O.GOLD_JSON_SQL.items()) + ", " +
+    O.IS_MAC_SQL.replace("user_agent", O.GOLD_JSON_SQL["user_agent"]) + " AS is_mac FROM raw_t"))
+def json_gold(spark, sf_dir):
+    """X2f-j + X3 + F11 + X8 X9: the gold JSON fields and the is_mac flag."""
+    from goldleaf.operators.fact import extract_gold_json
+    return extract_gold_json(raw_t(spark, sf_dir)).select("transaction_id", *_GOLD_JSON_COLS)
+
+
+_DERIVE_OUT = ["transaction_id", "merchant_id", "customer_id", "payment_method_code", "transaction_status_code",
+               "currency_code", "device_type_desc", "gateway_name", "emi_enabled", "discount_applied",
+               "gateway_date_key", "transaction_date_key", "processed_date_key", "year", "month"] + _GOLD_JSON_COLS
+
+
+@register("fact_derive", O.with_(_DERIVED, f"SELECT {', '.join(_DERIVE_OUT)} FROM derived"))
+def fact_derive(spark, sf_dir):
+    """Fact attributes derived from silver before the lookups."""
+    return derived_t(spark, sf_dir).select(*_DERIVE_OUT)
+
+
+@register("junk_payment", O.with_(_FACT, "SELECT * FROM junk_p"))
+def junk_payment_q(spark, sf_dir):
+    """Payment-context junk dimension from the first half-year's combinations."""
+    return G.junk_payment(derived_t(spark, sf_dir))
+
+
+@register("junk_card", O.with_(_FACT, "SELECT * FROM junk_c"))
+def junk_card_q(spark, sf_dir):
+    """card/device junk dimension from the first half-year's combinations."""
+    return G.junk_card(derived_t(spark, sf_dir))
+
+
+@register("lookup_merchant", O.with_(_FACT, "SELECT transaction_id, merchant_id, merchant_key FROM fm_compat"))
+def lookup_merchant(spark, sf_dir):
+    """J2 + S6a: inner lookup of the active merchant version's key."""
+    merchants = active_members(dim1(spark, sf_dir)).select("merchant_id", "merchant_key")
+    df = lookup_key(derived_t(spark, sf_dir), merchants, "merchant_id", "merchant_key")
+    return df.select("transaction_id", "merchant_id", "merchant_key")
+
+
+_PJ = ", ".join(C.PAYMENT_JUNK_ATTRS)
+_CJ = ", ".join(C.CARD_JUNK_ATTRS)
+
+
+@register("lookup_payment_junk", O.with_(_FACT, "SELECT d.transaction_id, " + ", ".join(
+    f"d.{a}" for a in C.PAYMENT_JUNK_ATTRS) + f", coalesce(j.{C.PAYMENT_JUNK_KEY}, -1) AS {C.PAYMENT_JUNK_KEY} "
+    f"FROM derived d LEFT JOIN junk_p j ON {O.null_safe(C.PAYMENT_JUNK_ATTRS, 'd', 'j')}"))
+def lookup_payment_junk(spark, sf_dir):
+    """J3 + F12 + D6 + S6b: null-safe 5-key lookup, misses -> -1."""
+    d = derived_t(spark, sf_dir)
+    out = null_safe_lookup(d, G.junk_payment(d), C.PAYMENT_JUNK_ATTRS, C.PAYMENT_JUNK_KEY,
+                           default=C.UNKNOWN_MEMBER_KEY)
+    return out.select("transaction_id", *C.PAYMENT_JUNK_ATTRS, C.PAYMENT_JUNK_KEY)
+
+
+@register("lookup_card_junk", O.with_(_FACT, "SELECT d.transaction_id, " + ", ".join(
+    f"d.{a}" for a in C.CARD_JUNK_ATTRS) + f", coalesce(j.{C.CARD_JUNK_KEY}, -1) AS {C.CARD_JUNK_KEY} "
+    f"FROM derived d LEFT JOIN junk_c j ON {O.null_safe(C.CARD_JUNK_ATTRS, 'd', 'j')}"))
+def lookup_card_junk(spark, sf_dir):
+    """J4 + F12 + D6 + S6c: null-safe 4-key lookup, misses -> -1."""
+    d = derived_t(spark, sf_dir)
+    out = null_safe_lookup(d, G.junk_card(d), C.CARD_JUNK_ATTRS, C.CARD_JUNK_KEY, default=C.UNKNOWN_MEMBER_KEY)
+    return out.select("transaction_id", *C.CARD_JUNK_ATTRS, C.CARD_JUNK_KEY)
+
+
+@register("fact_stage", O.with_(_FACT, "SELECT * FROM fact_compat"))
+def fact_stage(spark, sf_dir):
+    """D5 + P6: the staged transaction fact (flagship query)."""
+    return G.fact_from_silver(silver_t(spark, sf_dir), dim1(spark, sf_dir))
+
+
+@register("fact_keys", O.with_(_FACT + [("fk", O.keyed("fact_compat", "transaction_key", O.FACT_ORDER))],
+                               "SELECT * FROM fk"))
+def fact_keys(spark, sf_dir):
+    """D4 on the fact: dense transaction keys in a total order, without a one-task window."""
+    return G.load_fact(fact_stage(spark, sf_dir), None)
+
+
+_LOAD_CTES = _FACT + [
+    ("first_f", f"SELECT * FROM fact_compat WHERE transaction_timestamp < TIMESTAMP '{FIRST_DROP_END}'"),
+    ("k1", O.keyed("first_f", "transaction_key", O.FACT_ORDER)),
+    ("new_f", "SELECT * FROM fact_compat s WHERE NOT EXISTS "
+              "(SELECT 1 FROM k1 f WHERE f.transaction_id = s.transaction_id)"),
+    ("k2", O.keyed("new_f", "transaction_key", O.FACT_ORDER, "SELECT max(transaction_key) FROM k1")),
+]
+
+
+def _two_loads(spark, sf_dir):
+    staged = fact_stage(spark, sf_dir)
+    staged = staged.checkpoint(eager=True)
+    first = G.load_fact(_first_drop(staged), None)
+    second = G.load_fact(staged, first)
+    return staged, first.unionByName(second)
+
+
+@register("fact_load", O.with_(_LOAD_CTES, "SELECT * FROM k1 UNION ALL SELECT * FROM k2"))
+def fact_load(spark, sf_dir):
+    """J6 + D7 + S12: first delivery loaded, then the full batch inserted where absent."""
+    return _two_loads(spark, sf_dir)[1]
+
+
+@register("fact_reload_idempotent", O.with_(_LOAD_CTES, "SELECT * FROM k1 UNION ALL SELECT * FROM k2"))
+def fact_reload_idempotent(spark, sf_dir):
+    """Re-running the load with the same batch adds no row: final table unchanged."""
+    staged, target = _two_loads(spark, sf_dir)
+    target = target.checkpoint(eager=True)
+    again = G.load_fact(staged, target)
+    return target.unionByName(again)

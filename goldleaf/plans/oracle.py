@@ -185,3 +185,201 @@ def silver_merchants_sql() -> str:
 
 def silver_transactions_sql() -> str:
     return with_(merchant_ctes() + transaction_ctes(), "SELECT * FROM silver_t")
+
+
+# ---------------------------------------------------------------------------
+# gold: calendar
+# ---------------------------------------------------------------------------
+
+def calendar_sql(days: str) -> str:
+    """Calendar attributes for a CTE ``days(full_date)``."""
+    d = "full_date"
+    return (f"SELECT CAST(strftime({d}, '%Y%m%d') AS INTEGER) AS date_key, {d}, "
+            f"CAST(dayofweek({d}) + 1 AS INTEGER) AS day_of_week, dayname({d}) AS day_of_week_name, "
+            f"CAST(dayofmonth({d}) AS INTEGER) AS day_of_month, CAST(dayofyear({d}) AS INTEGER) AS day_of_year, "
+            f"CAST(weekofyear({d}) AS INTEGER) AS week_of_year, CAST(month({d}) AS INTEGER) AS month_number, "
+            f"monthname({d}) AS month_name, CAST(quarter({d}) AS INTEGER) AS quarter, "
+            f"CAST(year({d}) AS INTEGER) AS year, dayofweek({d}) IN (0, 6) AS is_weekend, "
+            f"false AS is_holiday, "
+            f"CAST(CASE WHEN month({d}) >= {C.FISCAL_START_MONTH} THEN year({d}) + 1 ELSE year({d}) END AS INTEGER) AS fiscal_year, "
+            f"CAST(CASE WHEN month({d}) BETWEEN 4 AND 6 THEN 1 WHEN month({d}) BETWEEN 7 AND 9 THEN 2 "
+            f"WHEN month({d}) BETWEEN 10 AND 12 THEN 3 ELSE 4 END AS INTEGER) AS fiscal_quarter FROM {days}")
+
+
+def calendar_days_sql(cover: str | None, ts_col: str = "transaction_timestamp",
+                      start: str = C.CALENDAR_START, end: str = C.CALENDAR_END) -> str:
+    if cover is None:
+        bounds = f"SELECT DATE '{start}' AS lo, DATE '{end}' AS hi"
+    else:
+        bounds = (f"SELECT coalesce(least(min(CAST({ts_col} AS DATE)), DATE '{start}'), DATE '{start}') AS lo, "
+                  f"coalesce(greatest(max(CAST({ts_col} AS DATE)), DATE '{end}'), DATE '{end}') AS hi FROM {cover}")
+    return (f"SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), "
+            f"INTERVAL 1 DAY)) AS DATE) AS full_date FROM ({bounds})")
+
+
+# ---------------------------------------------------------------------------
+# gold: merchant staging (D9) and SCD2
+# ---------------------------------------------------------------------------
+
+_STAGE_SOURCE = {"cdc_op": "op", "business_category_code": "business_category",
+                 "merchant_tier_code": "merchant_tier", "onboarding_status_code": "onboarding_status",
+                 "onboarding_date": "onboarding_date_date_key",
+                 "contract_start_date": "contract_start_date_date_key",
+                 "contract_end_date": "contract_end_date_date_key"}
+
+
+def merchant_stage_ctes(v: int | None, suffix: str) -> list[tuple[str, str]]:
+    sel = []
+    for c in C.MERCHANT_STAGE_COLUMNS:
+        t = C.MERCHANT_STAGE_TYPES[c]
+        src = _STAGE_SOURCE.get(c, c)
+        if c == "valid_from":
+            sel.append(f"{try_date('cdc_timestamp')} AS valid_from")
+        elif c == "valid_to":
+            sel.append(f"DATE '{C.OPEN_END_DATE}' AS valid_to")
+        elif c == "is_active":
+            sel.append("true AS is_active")
+        elif t.simpleString() == "string":
+            sel.append(f"{src} AS {c}")
+        else:
+            sel.append(f"{try_cast(src, t)} AS {c}")
+    return merchant_ctes(v, suffix) + [(f"stage_m{suffix}", f"SELECT {', '.join(sel)} FROM silver_m{suffix}")]
+
+
+DIM_COLS = ["merchant_key"] + [c for c in C.MERCHANT_STAGE_COLUMNS if c not in ("cdc_op", "cdc_timestamp")]
+VERSION_ORDER = "merchant_id NULLS FIRST, valid_from NULLS FIRST, cdc_timestamp NULLS FIRST, updated_at NULLS FIRST"
+
+
+def _dim_select(src: str, key_expr: str) -> str:
+    rest = ", ".join(c for c in DIM_COLS if c != "merchant_key")
+    return f"SELECT CAST({key_expr} AS BIGINT) AS merchant_key, {rest} FROM {src}"
+
+
+def _new_versions_sql(stage: str, mode: str) -> str:
+    rows = f"SELECT * FROM {stage} WHERE cdc_op IN ('I', 'U')"
+    if mode == "compat":
+        return rows
+    order = desc_all(["cdc_timestamp", "updated_at"] + C.MERCHANT_STAGE_COLUMNS)
+    day_last = (f"SELECT * FROM ({rows}) QUALIFY row_number() OVER "
+                f"(PARTITION BY merchant_id, valid_from ORDER BY {order}) = 1")
+    nxt = "lead(valid_from) OVER (PARTITION BY merchant_id ORDER BY valid_from)"
+    return (f"SELECT * REPLACE (coalesce(CAST(nxt - INTERVAL 1 DAY AS DATE), valid_to) AS valid_to, "
+            f"nxt IS NULL AS is_active) FROM (SELECT *, {nxt} AS nxt FROM ({day_last}))")
+
+
+def scd2_ctes(mode: str = "compat") -> list[tuple[str, str]]:
+    """dim0 (initial load of batch 0), expired_{mode}, inserted_{mode}, dim1_{mode}."""
+    m = mode
+    ops = "('U')" if mode == "compat" else "('I', 'U')"
+    close = "CAST(c.chg_from - INTERVAL 1 DAY AS DATE)"
+    if mode == "strict":
+        close = f"greatest(d.valid_from, {close})"
+    hit = "d.is_active AND c.merchant_id IS NOT NULL"
+    expired_cols = []
+    for col in DIM_COLS:
+        if col == "valid_to":
+            expired_cols.append(f"CASE WHEN {hit} THEN {close} ELSE d.valid_to END AS valid_to")
+        elif col == "updated_at":
+            expired_cols.append(f"CASE WHEN {hit} THEN c.chg_updated ELSE d.updated_at END AS updated_at")
+        elif col == "is_active":
+            expired_cols.append(f"CASE WHEN {hit} THEN false ELSE d.is_active END AS is_active")
+        else:
+            expired_cols.append(f"d.{col}")
+    init_rows = _new_versions_sql("stage_m_b0", m)
+    return (merchant_stage_ctes(0, "_b0") + merchant_stage_ctes(1, "_b1") + [
+        (f"dim0_{m}", _dim_select(f"({init_rows})", f"row_number() OVER (ORDER BY {VERSION_ORDER})")),
+        (f"chg_{m}", f"SELECT merchant_id, valid_from AS chg_from, updated_at AS chg_updated FROM stage_m_b1 "
+                     f"WHERE cdc_op IN {ops} QUALIFY row_number() OVER (PARTITION BY merchant_id "
+                     f"ORDER BY valid_from NULLS FIRST, updated_at NULLS FIRST) = 1"),
+        (f"expired_{m}", f"SELECT {', '.join(expired_cols)} FROM dim0_{m} d LEFT JOIN chg_{m} c USING (merchant_id)"),
+        (f"inserted_{m}", _dim_select(f"({_new_versions_sql('stage_m_b1', m)})",
+                                      f"(SELECT coalesce(max(merchant_key), 0) FROM dim0_{m}) + "
+                                      f"row_number() OVER (ORDER BY {VERSION_ORDER})")),
+        (f"dim1_{m}", f"SELECT * FROM expired_{m} UNION ALL SELECT * FROM inserted_{m}"),
+    ])
+
+
+# ---------------------------------------------------------------------------
+# gold: fact derivation (D5), junk dimensions (D8), lookups
+# ---------------------------------------------------------------------------
+
+GOLD_JSON_SQL = {
+    "gateway_retry_count": try_int(json_get("gateway_response", "gateway_retry_count")),
+    "gateway_timestamp": f"try_cast({json_get('gateway_response', 'gateway_timestamp')} AS TIMESTAMP)",
+    "ip_address": json_get("transaction_metadata", "ip_address"),
+    "card_type": f"lower(trim({json_get('transaction_metadata', 'card_type')}))",
+    "card_brand_name": f"lower(trim({json_get('transaction_metadata', 'card_brand')}))",
+    "user_agent": json_get("transaction_metadata", "user_agent"),
+    "is_online_flag": f"coalesce(try_cast({json_get('transaction_metadata', 'is_online')} AS BOOLEAN), false)",
+}
+IS_MAC_SQL = "CASE WHEN user_agent IS NULL THEN NULL ELSE regexp_matches(user_agent, 'Mac') END"
+
+_SILVER_T_OUT = RAW_T_COLS + [n for n, *_ in C.SILVER_JSON_FIELDS] + \
+    [f"{c}_date_key" for c in C.TRANSACTION_TIMESTAMP_COLUMNS] + ["year", "month"]
+_DERIVED_CAST = {
+    "merchant_id": try_bigint("merchant_id"), "customer_id": try_bigint("customer_id"),
+    "payment_method": try_int("payment_method"), "transaction_status": try_int("transaction_status"),
+    "currency": try_int("currency"), "emi_enabled": "try_cast(emi_enabled AS BOOLEAN)",
+    "year": try_int("year"), "month": try_int("month"),
+}
+
+
+def derived_ctes(src: str = "silver_t", suffix: str = "") -> list[tuple[str, str]]:
+    s = suffix
+    first = ", ".join([c for c in _SILVER_T_OUT if c not in _DERIVED_CAST] +
+                      [f"{v} AS {k}" for k, v in _DERIVED_CAST.items()] +
+                      [f"{v} AS {k}" for k, v in GOLD_JSON_SQL.items()])
+    second = ("SELECT *, " + IS_MAC_SQL + " AS is_mac, discount_amount > 0 AS discount_applied, "
+              "CASE WHEN gateway_timestamp IS NOT NULL THEN CAST(strftime(gateway_timestamp, '%Y%m%d') AS INTEGER) "
+              "END AS gateway_date_key, "
+              f"{try_int('transaction_timestamp_date_key')} AS transaction_date_key, "
+              f"{try_int('processed_timestamp_date_key')} AS processed_date_key FROM dj{s}")
+    renames = ", ".join(f"{k} AS {v}" for k, v in C.FACT_RENAMES.items())
+    return [(f"dj{s}", f"SELECT {first} FROM {src}"),
+            (f"dd{s}", second),
+            (f"derived{s}", f"SELECT * EXCLUDE ({', '.join(C.FACT_RENAMES)}), {renames} FROM dd{s}")]
+
+
+def junk_sql(attrs, key: str, src: str, until: str) -> str:
+    order = ", ".join(f"{a} ASC NULLS FIRST" for a in attrs)
+    cols = ", ".join(attrs)
+    return (f"SELECT CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS {key}, {cols} FROM "
+            f"(SELECT DISTINCT {cols} FROM {src} WHERE transaction_timestamp < TIMESTAMP '{until}')")
+
+
+def null_safe(attrs, left: str, right: str) -> str:
+    return " AND ".join(f"{left}.{a} IS NOT DISTINCT FROM {right}.{a}" for a in attrs)
+
+
+def fact_ctes(mode: str = "compat", until: str = "2020-07-01 00:00:00") -> list[tuple[str, str]]:
+    m = mode
+    fact_sel = []
+    for c in C.FACT_COLUMNS:
+        t = C.FACT_TYPES[c]
+        if c in ("emi_tenure_months",):
+            fact_sel.append(f"{try_int(c)} AS {c}")
+        elif c in ("emi_interest_rate", "gateway_fee"):
+            fact_sel.append(f"try_cast({c} AS {duck_type(t)}) AS {c}")
+        elif c == "created_at":
+            fact_sel.append(f"try_cast({c} AS TIMESTAMP) AS {c}")
+        else:
+            fact_sel.append(c)
+    pj, cj = C.PAYMENT_JUNK_ATTRS, C.CARD_JUNK_ATTRS
+    return (merchant_ctes() + transaction_ctes() + derived_ctes() + scd2_ctes(mode) + [
+        ("junk_p", junk_sql(pj, C.PAYMENT_JUNK_KEY, "derived", until)),
+        ("junk_c", junk_sql(cj, C.CARD_JUNK_KEY, "derived", until)),
+        (f"fm_{m}", f"SELECT d.*, a.merchant_key FROM derived d JOIN (SELECT merchant_id, merchant_key "
+                    f"FROM dim1_{m} WHERE is_active) a USING (merchant_id)"),
+        (f"fp_{m}", f"SELECT f.*, coalesce(j.{C.PAYMENT_JUNK_KEY}, -1) AS {C.PAYMENT_JUNK_KEY} FROM fm_{m} f "
+                    f"LEFT JOIN junk_p j ON {null_safe(pj, 'f', 'j')}"),
+        (f"fc_{m}", f"SELECT f.*, coalesce(j.{C.CARD_JUNK_KEY}, -1) AS {C.CARD_JUNK_KEY} FROM fp_{m} f "
+                    f"LEFT JOIN junk_c j ON {null_safe(cj, 'f', 'j')}"),
+        (f"fact_{m}", f"SELECT {', '.join(fact_sel)} FROM fc_{m}"),
+    ])
+
+
+FACT_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in C.FACT_COLUMNS)
+
+
+def keyed(src: str, key: str, order: str, base: str = "0") -> str:
+    return f"SELECT CAST(({base}) + row_number() OVER (ORDER BY {order}) AS BIGINT) AS {key}, * FROM {src}"
