@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from goldleaf import contracts as C
 from goldleaf.operators import clean as CL
-from goldleaf.operators.dedup import distinct_values
+from goldleaf.operators.dedup import distinct_values, late_dedup, order_desc
+from goldleaf.operators.dedup import row_hash_anti as hash_anti
+from goldleaf.operators.quality import contract_report
 from goldleaf.operators.calendar import build_dim_date
 from goldleaf.operators.fact import derive_fact_columns
 from goldleaf.operators.joins import lookup_key, null_safe_lookup, semi_join_known
@@ -21,7 +23,11 @@ from goldleaf.operators.scd2 import active_members, scd2_apply, scd2_expire, scd
 from goldleaf.plans import gold as G
 from goldleaf.plans import oracle as O
 from goldleaf.plans import silver as S
+from goldleaf.session import scratch_path
+from goldleaf.sources import files as IO
 from goldleaf.sources import fixtures as FX
+from goldleaf.streaming import ingest as ING
+from goldleaf.streaming.late import partition_scoped_merge
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -390,3 +396,213 @@ def fact_reload_idempotent(spark, sf_dir):
     target = target.checkpoint(eager=True)
     again = G.load_fact(staged, target)
     return target.unionByName(again)
+
+
+# ---------------------------------------------------------------------------
+# sources and sinks (written below the shared checkpoint folder)
+# ---------------------------------------------------------------------------
+
+@register("csv_scan_recursive", O.with_([O.RAW_M], "SELECT * FROM raw_m"))
+def csv_scan_recursive(spark, sf_dir):
+    """S1 + S2: the merchant extract written as CSV in nested folders (one per CDC batch),
+    read back recursively with an all-string schema; blanks and quotes survive."""
+    raw = raw_m(spark, sf_dir)
+    root = scratch_path(spark, "raw-merchants-csv")
+    IO.write_raw_csv(FX.merchant_batch(raw, 0), f"{root}/initial")
+    IO.write_raw_csv(FX.merchant_batch(raw, 1), f"{root}/updates/2024-06-01")
+    return IO.read_raw_csv(spark, root, C.RAW_MERCHANT_SCHEMA)
+
+
+@register("empty_guard", O.with_([O.RAW_M, O.RAW_T],
+                                  "SELECT 'merchants' AS source, count(*) AS row_count, count(*) = 0 AS skipped FROM raw_m "
+                                  "UNION ALL SELECT 'transactions', count(*), count(*) = 0 FROM raw_t"))
+def empty_guard(spark, sf_dir):
+    """S11 + A4: per source, its row count and whether a run would skip it."""
+    return IO.source_counts({"merchants": raw_m(spark, sf_dir), "transactions": raw_t(spark, sf_dir)})
+
+
+@register("silver_merchants_partitioned", O.silver_merchants_sql())
+def silver_merchants_partitioned(spark, sf_dir):
+    """S7 + S4: silver merchants appended to a country-partitioned table and read back."""
+    df = silver_m(spark, sf_dir)
+    path = scratch_path(spark, "silver-merchants")
+    IO.write_partitioned(df, path, C.MERCHANT_PARTITION)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@register("silver_transactions_partitioned", O.silver_transactions_sql())
+def silver_transactions_partitioned(spark, sf_dir):
+    """S8 + S5: silver transactions appended to a year/month-partitioned table and read back."""
+    df = silver_t(spark, sf_dir)
+    path = scratch_path(spark, "silver-transactions")
+    IO.write_partitioned(df, path, C.TRANSACTION_PARTITION)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@register("staging_overwrite", O.with_(_FACT, "SELECT * FROM fact_compat"))
+def staging_overwrite(spark, sf_dir):
+    """S9 + S10: loading the staging table twice in overwrite mode keeps one copy."""
+    staged = fact_stage(spark, sf_dir).checkpoint(eager=True)
+    path = scratch_path(spark, "stg-fact")
+    IO.write_staging(staged, path, "overwrite")
+    IO.write_staging(staged, path, "overwrite")
+    return spark.read.parquet(path)
+
+
+@register("staging_append", O.with_(_FACT, "SELECT * FROM fact_compat UNION ALL SELECT * FROM fact_compat"))
+def staging_append(spark, sf_dir):
+    """Append mode (the writer's actual mode) accumulates both loads."""
+    staged = fact_stage(spark, sf_dir).checkpoint(eager=True)
+    path = scratch_path(spark, "stg-fact")
+    IO.write_staging(staged, path, "append")
+    IO.write_staging(staged, path, "append")
+    return spark.read.parquet(path)
+
+
+@register("clustered_fact", O.with_(_FACT + [("fk", O.keyed("fact_compat", "transaction_key", O.FACT_ORDER))],
+                                    "SELECT * FROM fk"))
+def clustered_fact(spark, sf_dir):
+    """C5 + S14: fact table initialised empty with its contract, then loaded in the
+    clustered layout (year/month folders, sorted by date key and merchant)."""
+    keyed = G.load_fact(fact_stage(spark, sf_dir), None)
+    path = scratch_path(spark, "fact-transactions")
+    IO.initialize_table(spark, path, keyed.schema, partition_by=["year", "month"])
+    IO.write_clustered_fact(keyed, path, mode="append")
+    return spark.read.schema(keyed.schema).parquet(path)
+
+
+# ---------------------------------------------------------------------------
+# incremental ingest and late data
+# ---------------------------------------------------------------------------
+
+SECOND_DROP_START = "2022-12-01 00:00:00"  # a re-delivery overlapping the first drop's last month
+
+
+def _raw_first(raw: DataFrame) -> DataFrame:
+    return raw.filter(F.col("created_at") < FIRST_DROP_END)
+
+
+def _raw_rest(raw: DataFrame) -> DataFrame:
+    return raw.filter(F.col("created_at") >= FIRST_DROP_END)
+
+
+@register("stream_incremental", O.silver_transactions_sql())
+def stream_incremental(spark, sf_dir):
+    """Two CSV drops, two availableNow runs of a checkpointed file stream; each run
+    processes only the new drop with the silver pipeline. Read back = batch silver."""
+    raw = raw_t(spark, sf_dir)
+    known = silver_m(spark, sf_dir).select("merchant_id").checkpoint(eager=True)
+    root = scratch_path(spark, "stream")
+    src, target, ckpt = f"{root}/landing", f"{root}/silver", f"{root}/_checkpoint"
+    IO.write_raw_csv(_raw_first(raw), f"{src}/drop=1")
+    stream = ING.csv_stream(spark, src, C.RAW_TRANSACTION_SCHEMA)
+    transform = lambda b: S.silver_transactions(b, known)
+    ING.ingest_available(stream, transform, target, ckpt)
+    IO.write_raw_csv(_raw_rest(raw), f"{src}/drop=2")
+    ING.ingest_available(ING.csv_stream(spark, src, C.RAW_TRANSACTION_SCHEMA), transform, target, ckpt)
+    return ING.read_ingested(spark, target)
+
+
+_RAW_SPLIT = [
+    ("raw_first", f"SELECT * FROM raw_t WHERE created_at < '{FIRST_DROP_END}'"),
+    ("raw_second", f"SELECT * FROM raw_t WHERE created_at >= '{SECOND_DROP_START}'"),
+    ("raw_blank", "SELECT * FROM raw_t WHERE NOT contains(coalesce(transaction_timestamp, ''), 'T')"),
+    ("raw_iso", "SELECT * FROM raw_t WHERE contains(coalesce(transaction_timestamp, ''), 'T')"),
+]
+_SILVER_ORDER = O.desc_all(O._SILVER_T_OUT)
+
+
+def _iso(raw: DataFrame) -> F.Column:
+    return F.coalesce(F.col("transaction_timestamp"), F.lit("")).contains("T")
+
+
+@register("late_dedup_7d", O.with_(O.merchant_ctes() + [O.RAW_T] + _RAW_SPLIT +
+                                   O.transaction_ctes("raw_blank", "_e") + O.transaction_ctes("raw_iso", "_i"),
+    "SELECT * FROM silver_t_i i WHERE NOT EXISTS (SELECT 1 FROM silver_t_e e WHERE e.transaction_id = i.transaction_id "
+    "AND e.transaction_timestamp BETWEEN i.transaction_timestamp - INTERVAL 7 DAY "
+    "AND i.transaction_timestamp + INTERVAL 7 DAY) "
+    f"QUALIFY row_number() OVER (PARTITION BY transaction_id, transaction_timestamp ORDER BY {_SILVER_ORDER}) = 1"))
+def late_dedup_7d(spark, sf_dir):
+    """T2 + W1: a second delivery (ISO 'T' timestamps) against silver loaded from the first
+    (blank-separated); copies of a stored transaction within 7 days are dropped."""
+    raw = raw_t(spark, sf_dir)
+    known = silver_m(spark, sf_dir)
+    existing = S.silver_transactions(raw.filter(~_iso(raw)), known)
+    incoming = S.silver_transactions(raw.filter(_iso(raw)), known)
+    return late_dedup(existing, incoming, ["transaction_id"], "transaction_timestamp", "7 days")
+
+
+_HASH_COLS = C.TRANSACTION_SOURCE_COLUMNS
+
+
+@register("row_hash_anti", O.with_(O.merchant_ctes() + [O.RAW_T] + _RAW_SPLIT +
+                                   O.transaction_ctes("raw_first", "_e") + O.transaction_ctes("raw_t", "_all"),
+    f"SELECT * FROM silver_t_all WHERE {O.row_hash_sql(_HASH_COLS)} NOT IN "
+    f"(SELECT {O.row_hash_sql(_HASH_COLS)} FROM silver_t_e)"))
+def row_hash_anti(spark, sf_dir):
+    """A full re-delivery against silver holding the first drop; rows whose content
+    hash is already stored are dropped (left anti join on the hash)."""
+    raw = raw_t(spark, sf_dir)
+    known = silver_m(spark, sf_dir)
+    existing = S.silver_transactions(_raw_first(raw), known)
+    incoming = S.silver_transactions(raw, known)
+    return hash_anti(incoming, existing, _HASH_COLS)
+
+
+@register("partition_scoped_dedup", O.with_(O.merchant_ctes() + [O.RAW_T] + _RAW_SPLIT +
+                                            O.transaction_ctes("raw_first", "_e") +
+                                            O.transaction_ctes("raw_second", "_i") + [
+    ("aff", "SELECT DISTINCT year, month FROM silver_t_i"),
+    ("kept", "SELECT e.* FROM silver_t_e e WHERE NOT EXISTS (SELECT 1 FROM aff a WHERE a.year = e.year AND a.month = e.month)"),
+    ("merged", "SELECT * FROM (SELECT e.* FROM silver_t_e e WHERE EXISTS (SELECT 1 FROM aff a WHERE a.year = e.year "
+               "AND a.month = e.month) UNION ALL SELECT * FROM silver_t_i) QUALIFY row_number() OVER "
+               f"(PARTITION BY transaction_id, transaction_timestamp ORDER BY {_SILVER_ORDER}) = 1"),
+], "SELECT * FROM kept UNION ALL SELECT * FROM merged"))
+def partition_scoped_dedup(spark, sf_dir):
+    """T4: silver (first drop) partitioned by year/month; a re-delivery from December 2022 on
+    is merged only into the partitions it touches, de-duplicated, and those are overwritten."""
+    raw = raw_t(spark, sf_dir)
+    known = silver_m(spark, sf_dir)
+    existing = S.silver_transactions(_raw_first(raw), known)
+    incoming = S.silver_transactions(raw.filter(F.col("created_at") >= SECOND_DROP_START), known)
+    path = scratch_path(spark, "silver-transactions")
+    IO.write_partitioned(existing, path, C.TRANSACTION_PARTITION)
+    partition_scoped_merge(spark, path, incoming, C.TRANSACTION_PARTITION,
+                           C.TRANSACTION_DEDUP_KEYS, order_desc(incoming.columns), schema=incoming.schema)
+    return spark.read.schema(incoming.schema).parquet(path)
+
+
+# ---------------------------------------------------------------------------
+# contract checks
+# ---------------------------------------------------------------------------
+
+_NARROW = {"commission_rate": C.MERCHANT_STAGE_TYPES["commission_rate"]}
+
+
+@register("contract_checks", O.with_(_FACT + [("fk", O.keyed("fact_compat", "transaction_key", O.FACT_ORDER)),
+                                              ("days", O.calendar_days_sql("fk")), ("cal", O.calendar_sql("days"))],
+    "\nUNION ALL\n".join([
+        O.contract_sql("dim1_compat", "dim_merchant", C.NOT_NULL["dim_merchant"], C.VARCHAR_WIDTHS["dim_merchant"],
+                       None, C.PRIMARY_KEYS["dim_merchant"]),
+        O.contract_sql("fk", "fact_transactions", C.NOT_NULL["fact_transactions"],
+                       C.VARCHAR_WIDTHS["fact_transactions"], None, C.PRIMARY_KEYS["fact_transactions"]),
+        O.contract_sql("cal", "dim_date", C.NOT_NULL["dim_date"], C.VARCHAR_WIDTHS["dim_date"], None,
+                       C.PRIMARY_KEYS["dim_date"]),
+        O.contract_sql("silver_m", "silver_merchants", (), None, _NARROW, None),
+    ])))
+def contract_checks(spark, sf_dir):
+    """NOT NULL, VARCHAR width, primary-key uniqueness, numeric narrowing."""
+    dim = dim1(spark, sf_dir)
+    fact = G.load_fact(G.fact_from_silver(silver_t(spark, sf_dir), dim), None)
+    cal = G.dim_date_for(spark, fact)
+    parts = [contract_report(dim, "dim_merchant", C.NOT_NULL["dim_merchant"], C.VARCHAR_WIDTHS["dim_merchant"],
+                             primary_key=C.PRIMARY_KEYS["dim_merchant"]),
+             contract_report(fact, "fact_transactions", C.NOT_NULL["fact_transactions"],
+                             C.VARCHAR_WIDTHS["fact_transactions"], primary_key=C.PRIMARY_KEYS["fact_transactions"]),
+             contract_report(cal, "dim_date", C.NOT_NULL["dim_date"], C.VARCHAR_WIDTHS["dim_date"],
+                             primary_key=C.PRIMARY_KEYS["dim_date"]),
+             contract_report(silver_m(spark, sf_dir), "silver_merchants", narrowing=_NARROW)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -383,3 +383,27 @@ FACT_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in C.FACT_COLUMNS)
 
 def keyed(src: str, key: str, order: str, base: str = "0") -> str:
     return f"SELECT CAST(({base}) + row_number() OVER (ORDER BY {order}) AS BIGINT) AS {key}, * FROM {src}"
+
+
+# ---------------------------------------------------------------------------
+# contract checks
+# ---------------------------------------------------------------------------
+
+def contract_sql(src: str, table: str, not_null=(), widths=None, narrowing=None, pk=None) -> str:
+    def row(check, col, expr):
+        return (f"SELECT '{table}' AS table_name, '{check}' AS check_name, '{col}' AS column_name, "
+                f"CAST({expr} AS BIGINT) AS violations FROM {src}")
+    parts = [row("not_null", c, f"count_if({c} IS NULL)") for c in not_null]
+    parts += [row("varchar_width", c, f"count_if(length({c}) > {n})") for c, n in (widths or {}).items()]
+    parts += [row("numeric_narrowing", c, f"count_if({c} IS NOT NULL AND try_cast({c} AS {duck_type(t)}) IS NULL)")
+              for c, t in (narrowing or {}).items()]
+    if pk:
+        parts.append(f"SELECT '{table}' AS table_name, 'primary_key' AS check_name, '{pk}' AS column_name, "
+                     f"CAST(coalesce(sum(n), 0) AS BIGINT) AS violations FROM "
+                     f"(SELECT count(*) AS n FROM {src} GROUP BY {pk} HAVING count(*) > 1)")
+    return "\nUNION ALL\n".join(parts)
+
+
+def row_hash_sql(cols) -> str:
+    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '␀')" for c in cols)
+    return f"sha256(concat_ws(chr(31), {parts}))"
