@@ -4,24 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def json_fields(json_col: str, fields: Sequence[tuple[str, str, T.DataType]]) -> dict[str, Column]:
-    """Map output name -> typed value of ``$.field`` in ``json_col``.
+def with_json_fields(df: DataFrame, json_col: str,
+                     fields: Sequence[tuple[str, str, T.DataType]]) -> DataFrame:
+    """Add typed columns ``name`` = value of ``$.field`` in ``json_col``.
 
-    The document is parsed once (``from_json`` into a struct of strings): a
-    scalar keeps its JSON text (numbers and booleans included, like
-    ``get_json_object``), JSON ``null``, a missing field and malformed text
-    all give NULL, and the text is then cast leniently to the wanted type.
+    ``json_tuple`` parses the document once for all fields (a generator, so
+    the optimizer cannot split it into one parse per field or copy the parse
+    into pushed-down filters).  A scalar keeps its JSON text (numbers and
+    booleans included, like ``get_json_object``); JSON ``null``, a missing
+    field, a NULL document and malformed text all give NULL; the text is then
+    cast leniently to the wanted type.  Existing columns of the same name are
+    replaced in place.
     """
     wanted = list(dict.fromkeys(field for _, field, _ in fields))
-    schema = T.StructType([T.StructField(f, T.StringType(), True) for f in wanted])
-    parsed = F.from_json(F.col(json_col), schema)
-    out = {}
+    tmp = {f: f"__json_{json_col}_{i}" for i, f in enumerate(wanted)}
+    exploded = df.select("*", F.json_tuple(F.col(json_col), *wanted).alias(*tmp.values()))
+    typed = {}
     for name, field, data_type in fields:
-        text = parsed.getField(field)
-        out[name] = text if isinstance(data_type, T.StringType) else text.try_cast(data_type)
-    return out
+        text = F.col(tmp[field])
+        typed[name] = text if isinstance(data_type, T.StringType) else text.try_cast(data_type)
+    return exploded.withColumns(typed).drop(*tmp.values())

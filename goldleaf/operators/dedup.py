@@ -64,8 +64,17 @@ def with_row_hash(df: DataFrame, cols: Sequence[str], name: str = "row_hash") ->
     return df.withColumn(name, row_hash(cols))
 
 
-def row_hash_anti(incoming: DataFrame, existing: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Incoming rows whose content hash is not stored yet (exact re-sends are dropped)."""
-    stored = existing.select(row_hash(cols).alias("__h")).distinct()
+def row_hash_anti(incoming: DataFrame, existing: DataFrame, cols: Sequence[str],
+                  stored_hash: str | None = None) -> DataFrame:
+    """Incoming rows whose content hash is not stored yet (exact re-sends are dropped).
+
+    With ``stored_hash`` naming a hash column kept in ``existing`` (see
+    ``with_row_hash``), the stored side is read as one narrow column instead
+    of being re-hashed.
+    """
+    if stored_hash is not None and stored_hash in existing.columns:
+        stored = existing.select(F.col(stored_hash).alias("__h"))
+    else:
+        stored = existing.select(row_hash(cols).alias("__h"))
     return (incoming.withColumn("__h", row_hash(cols))
             .join(stored, on="__h", how="left_anti").drop("__h"))

@@ -9,20 +9,18 @@ from pyspark.sql import types as T
 from goldleaf.contracts import (CARD_JUNK_ATTRS, CARD_JUNK_KEY, FACT_COLUMNS, FACT_RENAMES, FACT_TYPES,
                                 GOLD_JSON_FIELDS, GOLD_NORMALISED_JSON, PAYMENT_JUNK_ATTRS,
                                 PAYMENT_JUNK_KEY, UNKNOWN_MEMBER_KEY)
-from goldleaf.functions import date_key_int, json_fields, normalise, try_bool, try_int, try_long
+from goldleaf.functions import date_key_int, normalise, try_bool, try_int, try_long, with_json_fields
 from goldleaf.operators.clean import conform, rename_existing, select_existing, transform_columns
 from goldleaf.operators.joins import lookup_key, null_safe_lookup
 from goldleaf.operators.scd2 import active_members
 
 
 def extract_gold_json(df: DataFrame) -> DataFrame:
-    cols = {}
-    for source in ("gateway_response", "transaction_metadata"):
-        if source in df.columns:
-            cols.update(json_fields(source, [(n, f, t) for n, s, f, t in GOLD_JSON_FIELDS if s == source]))
-    if not cols:
+    sources = [s for s in ("gateway_response", "transaction_metadata") if s in df.columns]
+    if not sources:
         return df
-    df = df.withColumns(cols)
+    for source in sources:
+        df = with_json_fields(df, source, [(n, f, t) for n, s, f, t in GOLD_JSON_FIELDS if s == source])
     df = transform_columns(df, GOLD_NORMALISED_JSON, normalise)
     if "transaction_metadata" in df.columns:
         ua = F.col("user_agent")

@@ -17,7 +17,7 @@ from goldleaf.contracts import (MERCHANT_DATE_COLUMNS, MERCHANT_DECIMAL_COLUMNS,
                                 TRANSACTION_DEDUP_KEYS, TRANSACTION_MONEY_COLUMNS,
                                 TRANSACTION_REQUIRED, TRANSACTION_STRING_COLUMNS,
                                 TRANSACTION_TIMESTAMP_COLUMNS)
-from goldleaf.functions import json_fields
+from goldleaf.functions import with_json_fields
 from goldleaf.operators.clean import (add_date_keys, cast_decimals, clean_nulls, drop_negative,
                                       drop_required, present, to_dates, to_timestamps, trim_lower)
 from goldleaf.operators.dedup import dedup_by, order_desc
@@ -40,11 +40,10 @@ def dedup_transactions(df: DataFrame) -> DataFrame:
 
 def extract_silver_json(df: DataFrame, fields=SILVER_JSON_FIELDS) -> DataFrame:
     """Typed columns from the two JSON documents (each parsed once)."""
-    cols = {}
     for source in dict.fromkeys(src for _, src, _, _ in fields):
         if source in df.columns:
-            cols.update(json_fields(source, [(n, f, t) for n, s, f, t in fields if s == source]))
-    return df.withColumns(cols) if cols else df
+            df = with_json_fields(df, source, [(n, f, t) for n, s, f, t in fields if s == source])
+    return df
 
 
 def partition_columns(df: DataFrame, ts_col: str = "transaction_timestamp") -> DataFrame:

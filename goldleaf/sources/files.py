@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # CSV dialect of the raw extracts: header row, comma, JSON inside quoted
-# fields with doubled quotes, values may span lines, blanks are data.
+# fields with doubled quotes, blanks are data.  One record per line keeps
+# files splittable (many tasks per large file); set ``multi_line`` only for
+# extracts whose quoted values contain line breaks (each file is then read by
+# one task).
 CSV_READ_OPTIONS = {
-    "header": "true", "sep": ",", "quote": '"', "escape": '"', "multiLine": "true",
+    "header": "true", "sep": ",", "quote": '"', "escape": '"', "multiLine": "false",
     "recursiveFileLookup": "true", "mode": "PERMISSIVE",
 }
 CSV_WRITE_OPTIONS = {
@@ -21,13 +24,15 @@ CSV_WRITE_OPTIONS = {
 }
 
 
-def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                 multi_line: bool = False) -> DataFrame:
     """Raw extract under ``path`` (subfolders included); every column is text.
 
     With ``schema`` (all-string) no inference pass runs; without it, the
-    header decides the columns and they are read as text too.
+    header decides the columns and they are read as text too.  An empty field
+    reads as NULL (``''`` is a null token, so cleaning treats both alike).
     """
-    reader = spark.read.options(**CSV_READ_OPTIONS)
+    reader = spark.read.options(**CSV_READ_OPTIONS).option("multiLine", str(multi_line).lower())
     if schema is not None:
         reader = reader.schema(schema)
     else:
@@ -49,10 +54,22 @@ def read_parquet(spark: SparkSession, path: str, partition_types: dict[str, T.Da
     return df
 
 
-def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], mode: str = "append") -> None:
-    """Hive-partitioned Parquet; rows are clustered by the keys first, so each
-    task writes few partition folders (no small-file explosion)."""
-    df.repartition(*keys).write.mode(mode).partitionBy(*keys).parquet(path)
+def cluster_for_write(df: DataFrame, keys: Sequence[str], sort_by: Sequence[str] = ()) -> DataFrame:
+    """Group rows by ``keys`` before a partitioned write.
+
+    ``REBALANCE`` asks AQE for partitions of a sensible size clustered by the
+    keys: a folder holding a third of all rows is split across many tasks
+    (instead of one task writing it all) and small folders are merged, so
+    neither stragglers nor a flood of small files appear.  Sorting inside each
+    task makes every task write its folders one after the other.
+    """
+    return df.hint("rebalance", *keys).sortWithinPartitions(*keys, *sort_by)
+
+
+def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], mode: str = "append",
+                      sort_by: Sequence[str] = ()) -> None:
+    """Hive-partitioned Parquet (``key=value`` folders); NULL goes to the default folder."""
+    cluster_for_write(df, keys, sort_by).write.mode(mode).partitionBy(*keys).parquet(path)
 
 
 def write_snapshot(df: DataFrame, root: str, table: str) -> str:
@@ -81,9 +98,7 @@ def initialize_table(spark: SparkSession, path: str, schema: T.StructType,
 def write_clustered_fact(df: DataFrame, path: str, mode: str = "append") -> None:
     """Fact layout: folders by year/month, rows sorted by date key then merchant
     inside each file (min/max statistics make date and merchant filters prune)."""
-    (df.repartition("year", "month")
-       .sortWithinPartitions("transaction_date_key", "merchant_key")
-       .write.mode(mode).partitionBy("year", "month").parquet(path))
+    write_partitioned(df, path, ["year", "month"], mode, sort_by=["transaction_date_key", "merchant_key"])
 
 
 def run_if_nonempty(df: DataFrame, action: Callable[[DataFrame], object], name: str = "source"):
