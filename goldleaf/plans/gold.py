@@ -82,13 +82,18 @@ def run_gold(spark: SparkSession, silver_merchant_batches: list[DataFrame], silv
     dim = read_parquet(spark, previous["dim_merchant"]) if "dim_merchant" in previous else None
     for batch in silver_merchant_batches:
         dim = scd2_apply(dim, stage_merchants(batch), mode)
-    out["dim_merchant"] = write_snapshot(dim, root, "dim_merchant")
+    if dim is None:
+        raise ValueError("no merchant dimension: give merchant batches or a previous snapshot")
+    if silver_merchant_batches:
+        out["dim_merchant"] = write_snapshot(dim, root, "dim_merchant")
+    else:
+        out["dim_merchant"] = previous["dim_merchant"]
     dim = read_parquet(spark, out["dim_merchant"])
 
     derived = derive_fact_columns(silver_txn)
-    jp, jc = junk_payment(derived), junk_card(derived)
-    out["junk_dim_payment_context"] = write_snapshot(jp, root, "junk_dim_payment_context")
-    out["junk_dim_card_device"] = write_snapshot(jc, root, "junk_dim_card_device")
+    # junk dimensions keep their keys across runs: built once, then reused
+    for table, build in (("junk_dim_payment_context", junk_payment), ("junk_dim_card_device", junk_card)):
+        out[table] = previous.get(table) or write_snapshot(build(derived), root, table)
     staged = build_fact(derived, dim, read_parquet(spark, out["junk_dim_payment_context"]),
                         read_parquet(spark, out["junk_dim_card_device"]))
     out["stg_fact_transactions"] = write_snapshot(staged, root, "stg_fact_transactions")
@@ -102,7 +107,8 @@ def run_gold(spark: SparkSession, silver_merchant_batches: list[DataFrame], silv
 
     calendar = dim_date_for(spark, staged)
     if "dim_date" in previous:
-        calendar = insert_absent(calendar, read_parquet(spark, previous["dim_date"]), "date_key")
+        # materialise the (few) absent dates before appending to the table they were checked against
+        calendar = insert_absent(calendar, read_parquet(spark, previous["dim_date"]), "date_key").checkpoint()
     date_path = previous.get("dim_date") or f"{root.rstrip('/')}/dim_date"
     calendar.write.mode("append").parquet(date_path)
     out["dim_date"] = date_path
