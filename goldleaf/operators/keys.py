@@ -71,7 +71,9 @@ def build_junk_dimension(source: DataFrame, attrs: Sequence[str], key_col: str,
     ``unknown_member`` set, a row with that key and all-NULL attributes is
     added as the target of lookups that miss.
     """
-    combos = source.select(*attrs).distinct()
+    # materialise the (small) combinations once: the range sampling and the keyed
+    # pass then read them instead of recomputing the source twice
+    combos = source.select(*attrs).distinct().checkpoint(eager=True)
     dim = assign_surrogate_keys(combos, key_col, order_by=list(attrs), key_type=T.IntegerType())
     if unknown_member is not None:
         unknown = dim.sparkSession.createDataFrame([(unknown_member,)], f"{key_col} int")

@@ -59,8 +59,11 @@ def silver_m(spark, sf_dir, v=None) -> DataFrame:
     return S.silver_merchants(raw_m(spark, sf_dir, v))
 
 
-def silver_t(spark, sf_dir) -> DataFrame:
-    return S.silver_transactions(raw_t(spark, sf_dir), silver_m(spark, sf_dir))
+def silver_t(spark, sf_dir, materialise: bool = False) -> DataFrame:
+    df = S.silver_transactions(raw_t(spark, sf_dir), silver_m(spark, sf_dir))
+    # gold queries read silver several times (size checks, key assignment, the
+    # main job): materialise it once in the shared folder, as the silver table would be
+    return df.checkpoint(eager=True) if materialise else df
 
 
 # ---------------------------------------------------------------------------
@@ -277,7 +280,7 @@ _FACT = O.fact_ctes("compat", G.JUNK_HISTORY_END)
 
 
 def derived_t(spark, sf_dir) -> DataFrame:
-    return derive_fact_columns(silver_t(spark, sf_dir))
+    return derive_fact_columns(silver_t(spark, sf_dir, materialise=True))
 
 
 def dim1(spark, sf_dir) -> DataFrame:
@@ -356,7 +359,7 @@ def lookup_card_junk(spark, sf_dir):
 @register("fact_stage", O.with_(_FACT, "SELECT * FROM fact_compat"))
 def fact_stage(spark, sf_dir):
     """D5 + P6: the staged transaction fact (flagship query)."""
-    return G.fact_from_silver(silver_t(spark, sf_dir), dim1(spark, sf_dir))
+    return G.fact_from_silver(silver_t(spark, sf_dir, materialise=True), dim1(spark, sf_dir))
 
 
 @register("fact_keys", O.with_(_FACT + [("fk", O.keyed("fact_compat", "transaction_key", O.FACT_ORDER))],
@@ -593,7 +596,7 @@ _NARROW = {"commission_rate": C.MERCHANT_STAGE_TYPES["commission_rate"]}
 def contract_checks(spark, sf_dir):
     """NOT NULL, VARCHAR width, primary-key uniqueness, numeric narrowing."""
     dim = dim1(spark, sf_dir)
-    fact = G.load_fact(G.fact_from_silver(silver_t(spark, sf_dir), dim), None)
+    fact = G.load_fact(G.fact_from_silver(silver_t(spark, sf_dir, materialise=True), dim), None)
     cal = G.dim_date_for(spark, fact)
     parts = [contract_report(dim, "dim_merchant", C.NOT_NULL["dim_merchant"], C.VARCHAR_WIDTHS["dim_merchant"],
                              primary_key=C.PRIMARY_KEYS["dim_merchant"]),

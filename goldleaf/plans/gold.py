@@ -77,7 +77,7 @@ def run_gold(spark: SparkSession, silver_merchant_batches: list[DataFrame], silv
     from goldleaf.sources.files import read_parquet, write_snapshot, write_clustered_fact
     from goldleaf.operators.load import insert_absent
 
-    previous = previous or {}
+    previous = {k: v for k, v in (previous or {}).items() if v is not None}
     out = {}
     dim = read_parquet(spark, previous["dim_merchant"]) if "dim_merchant" in previous else None
     for batch in silver_merchant_batches:

@@ -13,8 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldleaf.operators.joins import bounded_broadcast
-
 # Batch marker of the merchant extract: v = 0 is the initial load, v = 1 an
 # update batch for every tenth customer (told apart later by cdc_timestamp).
 MERCHANT_BATCH_TIMESTAMPS = {0: "2023-01-01 00:00:00", 1: "2024-06-01 00:00:00"}
@@ -107,8 +105,9 @@ def raw_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = nation.join(bounded_broadcast(region), nation.n_regionkey == region.r_regionkey)
-    base = customer.join(bounded_broadcast(geo), customer.c_nationkey == geo.n_nationkey)
+    # nation (25 rows) and region (5 rows) have a fixed size by the TPC-H specification
+    geo = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    base = customer.join(F.broadcast(geo), customer.c_nationkey == geo.n_nationkey)
     # every customer is in batch 0; every tenth one has a second version in batch 1
     batches = F.when(F.col("c_custkey") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return base.withColumn("v", F.explode(batches)).selectExpr(*_exprs(RAW_MERCHANT_EXPRS, "string"))
