@@ -55,9 +55,15 @@ def derive_fact_columns(silver: DataFrame) -> DataFrame:
 
 
 def build_fact(derived: DataFrame, dim_merchant: DataFrame, junk_payment: DataFrame,
-               junk_card: DataFrame) -> DataFrame:
-    """Lookups (current merchant version, both junk keys with -1 default) and the fact contract."""
-    merchants = active_members(dim_merchant).select("merchant_id", "merchant_key")
+               junk_card: DataFrame, current_only: bool = True) -> DataFrame:
+    """Lookups (current merchant version, both junk keys with -1 default) and the fact contract.
+
+    ``current_only=False`` means ``dim_merchant`` is already the active
+    (merchant_id, merchant_key) projection, e.g. read with the filter pushed
+    into the scan.
+    """
+    merchants = active_members(dim_merchant) if current_only else dim_merchant
+    merchants = merchants.select("merchant_id", "merchant_key")
     df = lookup_key(derived, merchants, "merchant_id", "merchant_key", how="inner")
     df = null_safe_lookup(df, junk_payment, PAYMENT_JUNK_ATTRS, PAYMENT_JUNK_KEY, default=UNKNOWN_MEMBER_KEY)
     df = null_safe_lookup(df, junk_card, CARD_JUNK_ATTRS, CARD_JUNK_KEY, default=UNKNOWN_MEMBER_KEY)

@@ -76,6 +76,7 @@ def run_gold(spark: SparkSession, silver_merchant_batches: list[DataFrame], silv
     """
     from goldleaf.sources.files import read_parquet, write_snapshot, write_clustered_fact
     from goldleaf.operators.load import insert_absent
+    from goldleaf.sources import warehouse as W
 
     previous = {k: v for k, v in (previous or {}).items() if v is not None}
     out = {}
@@ -94,8 +95,9 @@ def run_gold(spark: SparkSession, silver_merchant_batches: list[DataFrame], silv
     # junk dimensions keep their keys across runs: built once, then reused
     for table, build in (("junk_dim_payment_context", junk_payment), ("junk_dim_card_device", junk_card)):
         out[table] = previous.get(table) or write_snapshot(build(derived), root, table)
-    staged = build_fact(derived, dim, read_parquet(spark, out["junk_dim_payment_context"]),
-                        read_parquet(spark, out["junk_dim_card_device"]))
+    staged = build_fact(derived, W.active_merchant_keys(spark, out["dim_merchant"]),
+                        W.payment_junk(spark, out["junk_dim_payment_context"]),
+                        W.card_junk(spark, out["junk_dim_card_device"]), current_only=False)
     out["stg_fact_transactions"] = write_snapshot(staged, root, "stg_fact_transactions")
     staged = read_parquet(spark, out["stg_fact_transactions"])
 
