@@ -28,3 +28,25 @@ def test_jobs_end_to_end_and_idempotent_rerun(spark):
     second = run_gold_job(spark, f"{root}/silver", f"{root}/gold", previous=first)
     assert spark.read.parquet(second["fact_transactions"]).count() == n_fact
     assert spark.read.parquet(second["dim_date"]).count() == n_dates
+
+
+def test_incremental_silver_reads_only_new_files(spark):
+    from pyspark.sql import functions as F
+    from goldleaf.plans.jobs import run_silver_incremental
+    root = scratch_path(spark, "t-jobs-inc")
+    raw_t = FX.raw_transactions(spark, SMOKE_DIR)
+    raw_m = FX.raw_merchants(spark, SMOKE_DIR)
+    first = F.col("created_at") < "2023-01-01"
+    IO.write_raw_csv(FX.merchant_batch(raw_m, 0), f"{root}/raw/merchants/x1")
+    IO.write_raw_csv(raw_t.filter(first), f"{root}/raw/transactions/x1")
+    out = run_silver_incremental(spark, f"{root}/raw", f"{root}/silver", f"{root}/ckpt")
+    n_m, n_t = (spark.read.parquet(out[k]).count() for k in ("merchants", "transactions"))
+    run_silver_incremental(spark, f"{root}/raw", f"{root}/silver", f"{root}/ckpt")  # no new files
+    assert spark.read.parquet(out["transactions"]).count() == n_t
+    IO.write_raw_csv(FX.merchant_batch(raw_m, 1), f"{root}/raw/merchants/x2")
+    IO.write_raw_csv(raw_t.filter(~first), f"{root}/raw/transactions/x2")
+    run_silver_incremental(spark, f"{root}/raw", f"{root}/silver", f"{root}/ckpt")
+    merchants = spark.read.parquet(out["merchants"])
+    assert merchants.count() > n_m and merchants.select("batch").distinct().count() == 2
+    # every delivered transaction of a known merchant is in silver exactly once per (id, raw time)
+    assert spark.read.parquet(out["transactions"]).count() == 3579
