@@ -255,3 +255,27 @@ def test_empty_source_is_skipped(spark):
     assert IO.run_if_nonempty(empty, lambda d: calls.append(1), "merchants") is None
     assert calls == []
     assert S.silver_merchants(empty).count() == 0
+
+
+# --- hot keys: a merchant with a third of the facts, dimension over the broadcast budget ----
+
+def test_hot_merchant_is_split_when_dimension_is_not_broadcast(spark):
+    from goldleaf.operators.joins import lookup_key
+    conf = {"goldleaf.broadcast.maxBytes": "1024", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        fact = spark.range(300_000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).alias("merchant_id"), "id")
+        dim = spark.range(5000).select(F.col("id").alias("merchant_id"), (F.col("id") + 100).alias("merchant_key"))
+        agg = lookup_key(fact, dim, "merchant_id", "merchant_key").agg(F.count("*").alias("n"))
+        assert agg.first()["n"] == 300_000  # every row kept, none capped or sampled
+        plan = agg._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
