@@ -273,7 +273,7 @@ def test_hot_merchant_is_split_when_dimension_is_not_broadcast(spark):
             F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).alias("merchant_id"), "id")
         dim = spark.range(5000).select(F.col("id").alias("merchant_id"), (F.col("id") + 100).alias("merchant_key"))
         agg = lookup_key(fact, dim, "merchant_id", "merchant_key").agg(F.count("*").alias("n"))
-        assert agg.first()["n"] == 300_000  # every row kept, none capped or sampled
+        assert agg.collect()[0]["n"] == 300_000  # every row kept, none capped or sampled
         plan = agg._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin(skew=true)" in plan
     finally:
