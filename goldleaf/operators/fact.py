@@ -10,7 +10,8 @@ from goldleaf.contracts import (CARD_JUNK_ATTRS, CARD_JUNK_KEY, FACT_COLUMNS, FA
                                 GOLD_JSON_FIELDS, GOLD_NORMALISED_JSON, PAYMENT_JUNK_ATTRS,
                                 PAYMENT_JUNK_KEY, UNKNOWN_MEMBER_KEY)
 from goldleaf.functions import date_key_int, normalise, try_bool, try_int, try_long, with_json_fields
-from goldleaf.operators.clean import conform, rename_existing, select_existing, transform_columns
+from goldleaf.operators.clean import (conform, rename_existing, require_columns, select_existing,
+                                      transform_columns)
 from goldleaf.operators.joins import lookup_key, null_safe_lookup
 from goldleaf.operators.scd2 import active_members
 
@@ -32,8 +33,15 @@ def extract_gold_json(df: DataFrame) -> DataFrame:
     return df
 
 
+# silver columns the fact derivation relies on (checked up front, with a clear message)
+FACT_INPUT_COLUMNS = ["transaction_id", "merchant_id", "transaction_timestamp", "discount_amount",
+                      "transaction_timestamp_date_key", "processed_timestamp_date_key",
+                      "year", "month", "emi_enabled"]
+
+
 def derive_fact_columns(silver: DataFrame) -> DataFrame:
     """Silver transactions -> fact attributes before the lookups."""
+    require_columns(silver, FACT_INPUT_COLUMNS, "silver transactions")
     df = extract_gold_json(silver)
     gts = F.col("gateway_timestamp")
     df = df.withColumns({

@@ -76,6 +76,7 @@ def run_gold(spark: SparkSession, silver_merchant_batches: list[DataFrame], silv
     """
     from goldleaf.sources.files import read_parquet, write_snapshot, write_clustered_fact
     from goldleaf.operators.load import insert_absent
+    from goldleaf.operators.quality import contract_report
     from goldleaf.sources import warehouse as W
 
     previous = {k: v for k, v in (previous or {}).items() if v is not None}
@@ -100,6 +101,13 @@ def run_gold(spark: SparkSession, silver_merchant_batches: list[DataFrame], silv
                         W.card_junk(spark, out["junk_dim_card_device"]), current_only=False)
     out["stg_fact_transactions"] = write_snapshot(staged, root, "stg_fact_transactions")
     staged = read_parquet(spark, out["stg_fact_transactions"])
+    # contract report before the load (NOT NULL, widths, narrowing), one pass per table
+    report = contract_report(staged, "stg_fact_transactions", [c for c in C.NOT_NULL["fact_transactions"]
+                                                                if c != "transaction_key"],
+                             C.VARCHAR_WIDTHS["fact_transactions"]).unionByName(
+        contract_report(dim, "dim_merchant", C.NOT_NULL["dim_merchant"], C.VARCHAR_WIDTHS["dim_merchant"],
+                        primary_key=C.PRIMARY_KEYS["dim_merchant"]))
+    out["contract_report"] = write_snapshot(report, root, "contract_report")
 
     target = read_parquet(spark, previous["fact_transactions"]) if "fact_transactions" in previous else None
     new_rows = load_fact(staged, target)

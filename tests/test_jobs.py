@@ -24,6 +24,10 @@ def test_jobs_end_to_end_and_idempotent_rerun(spark):
     assert keys == list(range(1, n_fact + 1))
     dim = spark.read.parquet(first["dim_merchant"])
     assert dim.select("merchant_key").distinct().count() == dim.count()
+    report = {(r["table_name"], r["check_name"], r["column_name"]): r["violations"]
+              for r in spark.read.parquet(first["contract_report"]).collect()}
+    assert report[("dim_merchant", "primary_key", "merchant_key")] == 0
+    assert report[("stg_fact_transactions", "not_null", "transaction_id")] == 0
 
     second = run_gold_job(spark, f"{root}/silver", f"{root}/gold", previous=first)
     assert spark.read.parquet(second["fact_transactions"]).count() == n_fact
@@ -50,3 +54,10 @@ def test_incremental_silver_reads_only_new_files(spark):
     assert merchants.count() > n_m and merchants.select("batch").distinct().count() == 2
     # every delivered transaction of a known merchant is in silver exactly once per (id, raw time)
     assert spark.read.parquet(out["transactions"]).count() == 3579
+
+
+def test_fact_derivation_requires_silver_columns(spark):
+    import pytest
+    from goldleaf.operators.fact import derive_fact_columns
+    with pytest.raises(ValueError, match="emi_enabled"):
+        derive_fact_columns(spark.createDataFrame([("t",)], "transaction_id string"))
