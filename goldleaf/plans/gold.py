@@ -57,9 +57,11 @@ def fact_from_silver(silver_txn: DataFrame, dim_merchant: DataFrame,
     return build_fact(derived, dim_merchant, jp, jc)
 
 
-def load_fact(staged: DataFrame, target: DataFrame | None) -> DataFrame:
+def load_fact(staged: DataFrame, target: DataFrame | None, start: int | None = None,
+              scope: list[str] | None = None) -> DataFrame:
     """Rows appended to the fact: new transaction ids, keyed after the current maximum."""
-    return incremental_load(staged, target, "transaction_id", "transaction_key", FACT_KEY_ORDER)
+    return incremental_load(staged, target, "transaction_id", "transaction_key", FACT_KEY_ORDER,
+                            start=start, scope=scope)
 
 
 def dim_date_for(spark: SparkSession, facts: DataFrame | None = None, ts_col: str = "transaction_timestamp"):
@@ -68,11 +70,14 @@ def dim_date_for(spark: SparkSession, facts: DataFrame | None = None, ts_col: st
 
 
 def run_gold(spark: SparkSession, silver_merchant_batches: list[DataFrame], silver_txn: DataFrame,
-             root: str, previous: dict | None = None, mode: str = "compat") -> dict:
+             root: str, previous: dict | None = None, mode: str = "compat",
+             scoped_fact_check: bool = False) -> dict:
     """Build and write every gold table; returns {table: path}.
 
     ``previous`` holds the paths of the last snapshot ({"dim_merchant": ...,
-    "fact_transactions": ..., "dim_date": ...}); new snapshots never overwrite them.
+    "fact_transactions": ..., "dim_date": ...}) and the next free fact key;
+    new snapshots never overwrite them.  ``scoped_fact_check`` limits the
+    NOT EXISTS check to the year/month folders of the batch.
     """
     from goldleaf.sources.files import read_parquet, write_snapshot, write_clustered_fact
     from goldleaf.operators.load import insert_absent
@@ -110,7 +115,11 @@ def run_gold(spark: SparkSession, silver_merchant_batches: list[DataFrame], silv
     out["contract_report"] = write_snapshot(report, root, "contract_report")
 
     target = read_parquet(spark, previous["fact_transactions"]) if "fact_transactions" in previous else None
-    new_rows = load_fact(staged, target)
+    start = previous.get("fact_next_key")
+    new_rows = load_fact(staged, target, start=start, scope=["year", "month"] if scoped_fact_check else None)
+    # the next free key is carried in the state, so later runs never scan the key column
+    top = new_rows.agg(F.max("transaction_key").alias("m")).first()["m"]
+    out["fact_next_key"] = int(top) + 1 if top is not None else (start or (1 if target is None else None))
     fact_path = previous.get("fact_transactions") or f"{root.rstrip('/')}/fact_transactions"
     write_clustered_fact(new_rows, fact_path, mode="append")
     out["fact_transactions"] = fact_path

@@ -29,9 +29,11 @@ def test_jobs_end_to_end_and_idempotent_rerun(spark):
     assert report[("dim_merchant", "primary_key", "merchant_key")] == 0
     assert report[("stg_fact_transactions", "not_null", "transaction_id")] == 0
 
+    assert first["fact_next_key"] == n_fact + 1
     second = run_gold_job(spark, f"{root}/silver", f"{root}/gold", previous=first)
     assert spark.read.parquet(second["fact_transactions"]).count() == n_fact
     assert spark.read.parquet(second["dim_date"]).count() == n_dates
+    assert second["fact_next_key"] == n_fact + 1
 
 
 def test_incremental_silver_reads_only_new_files(spark):
@@ -61,3 +63,14 @@ def test_fact_derivation_requires_silver_columns(spark):
     from goldleaf.operators.fact import derive_fact_columns
     with pytest.raises(ValueError, match="emi_enabled"):
         derive_fact_columns(spark.createDataFrame([("t",)], "transaction_id string"))
+
+
+def test_scoped_fact_check_reads_only_touched_months(spark):
+    from pyspark.sql import functions as F
+    from goldleaf.plans import gold as G
+    from goldleaf.plans import catalog as K
+    staged = K.fact_stage(spark, SMOKE_DIR).checkpoint()
+    first = G.load_fact(staged.filter(F.col("year") < 2023), None)
+    both = first.unionByName(G.load_fact(staged, first, scope=["year", "month"]))
+    full = first.unionByName(G.load_fact(staged, first))
+    assert sorted(map(tuple, both.collect())) == sorted(map(tuple, full.collect()))
