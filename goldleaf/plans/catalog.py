@@ -470,7 +470,7 @@ def clustered_fact(spark, sf_dir):
     keyed = G.load_fact(fact_stage(spark, sf_dir), None)
     path = scratch_path(spark, "fact-transactions")
     IO.initialize_table(spark, path, keyed.schema, partition_by=["year", "month"])
-    IO.write_clustered_fact(keyed, path, mode="append")
+    IO.write_clustered_fact(keyed, path, mode="append", presorted=True)
     return spark.read.schema(keyed.schema).parquet(path)
 
 

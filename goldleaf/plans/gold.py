@@ -18,8 +18,11 @@ from goldleaf.operators.keys import build_junk_dimension
 from goldleaf.operators.load import incremental_load
 from goldleaf.operators.scd2 import scd2_apply, stage_merchants
 
-# Order that makes fact keys deterministic: the natural key, then every column.
-FACT_KEY_ORDER = list(C.FACT_COLUMNS)
+# Order that makes fact keys deterministic.  It starts with the fact's physical
+# clustering (year, month, date key, merchant), so the range shuffle that orders
+# the keys also lays out the files: no second shuffle before the write.
+FACT_LAYOUT = ["year", "month", "transaction_date_key", "merchant_key"]
+FACT_KEY_ORDER = FACT_LAYOUT + [c for c in C.FACT_COLUMNS if c not in FACT_LAYOUT]
 # Junk dimensions are first loaded from the transactions seen up to this time;
 # combinations that appear only later fall back to the unknown member (-1).
 JUNK_HISTORY_END = "2020-07-01 00:00:00"
@@ -121,7 +124,7 @@ def run_gold(spark: SparkSession, silver_merchant_batches: list[DataFrame], silv
     top = new_rows.agg(F.max("transaction_key").alias("m")).first()["m"]
     out["fact_next_key"] = int(top) + 1 if top is not None else (start or (1 if target is None else None))
     fact_path = previous.get("fact_transactions") or f"{root.rstrip('/')}/fact_transactions"
-    write_clustered_fact(new_rows, fact_path, mode="append")
+    write_clustered_fact(new_rows, fact_path, mode="append", presorted=True)
     out["fact_transactions"] = fact_path
 
     calendar = dim_date_for(spark, staged)

@@ -378,7 +378,9 @@ def fact_ctes(mode: str = "compat", until: str = "2020-07-01 00:00:00") -> list[
     ])
 
 
-FACT_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in C.FACT_COLUMNS)
+_FACT_LAYOUT = ["year", "month", "transaction_date_key", "merchant_key"]
+FACT_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in _FACT_LAYOUT + [c for c in C.FACT_COLUMNS
+                                                                        if c not in _FACT_LAYOUT])
 
 
 def keyed(src: str, key: str, order: str, base: str = "0") -> str:

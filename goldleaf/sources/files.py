@@ -95,10 +95,19 @@ def initialize_table(spark: SparkSession, path: str, schema: T.StructType,
     return path
 
 
-def write_clustered_fact(df: DataFrame, path: str, mode: str = "append") -> None:
+def write_clustered_fact(df: DataFrame, path: str, mode: str = "append", presorted: bool = False) -> None:
     """Fact layout: folders by year/month, rows sorted by date key then merchant
-    inside each file (min/max statistics make date and merchant filters prune)."""
-    write_partitioned(df, path, ["year", "month"], mode, sort_by=["transaction_date_key", "merchant_key"])
+    inside each file (min/max statistics make date and merchant filters prune).
+
+    ``presorted``: ``df`` is already range-partitioned and sorted in that order
+    (as keyed fact rows are), so no shuffle is added; each task writes its
+    contiguous slice.
+    """
+    keys, order = ["year", "month"], ["transaction_date_key", "merchant_key"]
+    if presorted:
+        df.sortWithinPartitions(*keys, *order).write.mode(mode).partitionBy(*keys).parquet(path)
+    else:
+        write_partitioned(df, path, keys, mode, sort_by=order)
 
 
 def run_if_nonempty(df: DataFrame, action: Callable[[DataFrame], object], name: str = "source"):
