@@ -80,16 +80,16 @@ def main() -> None:
     scd2_apply(dim0, s1).write.parquet(dim1_path)
     derived = derive_fact_columns(silver_t)
     jp_path, jc_path = f"{work}/gold/junk_payment", f"{work}/gold/junk_card"
-    G.junk_payment(derived).write.parquet(jp_path)
-    G.junk_card(derived).write.parquet(jc_path)
+    G.junk_payment(derived, G.JUNK_HISTORY_END).write.parquet(jp_path)
+    G.junk_card(derived, G.JUNK_HISTORY_END).write.parquet(jc_path)
 
     def fact_stage():
         return build_fact(derive_fact_columns(silver_t), W.active_merchant_keys(spark, dim1_path),
                           W.payment_junk(spark, jp_path), W.card_junk(spark, jc_path), current_only=False)
 
     def junk_dims():
-        force(G.junk_payment(derived))
-        force(G.junk_card(derived))
+        force(G.junk_payment(derived, G.JUNK_HISTORY_END))
+        force(G.junk_card(derived, G.JUNK_HISTORY_END))
 
     fact_path = f"{work}/gold/fact"
     staged0 = fact_stage()

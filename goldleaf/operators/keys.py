@@ -79,3 +79,16 @@ def build_junk_dimension(source: DataFrame, attrs: Sequence[str], key_col: str,
         unknown = dim.sparkSession.createDataFrame([(unknown_member,)], f"{key_col} int")
         dim = dim.unionByName(unknown, allowMissingColumns=True)
     return dim
+
+
+def extend_junk_dimension(dim: DataFrame, source: DataFrame, attrs: Sequence[str], key_col: str) -> DataFrame:
+    """``dim`` plus the attribute combinations of ``source`` it lacks (NULL-safe match),
+    keyed after its maximum in attribute order; existing keys never change."""
+    from functools import reduce
+    seen = dim.select(*[F.col(a).alias(f"__d_{a}") for a in attrs])
+    combos = source.select(*attrs).distinct()
+    cond = reduce(lambda x, y: x & y, [combos[a].eqNullSafe(seen[f"__d_{a}"]) for a in attrs])
+    new = combos.join(seen, on=cond, how="left_anti").checkpoint(eager=True)
+    keyed = assign_surrogate_keys(new, key_col, order_by=list(attrs), start=next_key(dim, key_col),
+                                  key_type=dim.schema[key_col].dataType)
+    return dim.select(key_col, *attrs).unionByName(keyed)

@@ -314,13 +314,13 @@ def fact_derive(spark, sf_dir):
 @register("junk_payment", O.with_(_FACT, "SELECT * FROM junk_p"))
 def junk_payment_q(spark, sf_dir):
     """Payment-context junk dimension from the first half-year's combinations."""
-    return G.junk_payment(derived_t(spark, sf_dir))
+    return G.junk_payment(derived_t(spark, sf_dir), G.JUNK_HISTORY_END)
 
 
 @register("junk_card", O.with_(_FACT, "SELECT * FROM junk_c"))
 def junk_card_q(spark, sf_dir):
     """card/device junk dimension from the first half-year's combinations."""
-    return G.junk_card(derived_t(spark, sf_dir))
+    return G.junk_card(derived_t(spark, sf_dir), G.JUNK_HISTORY_END)
 
 
 @register("lookup_merchant", O.with_(_FACT, "SELECT transaction_id, merchant_id, merchant_key FROM fm_compat"))
@@ -341,7 +341,7 @@ _CJ = ", ".join(C.CARD_JUNK_ATTRS)
 def lookup_payment_junk(spark, sf_dir):
     """J3 + F12 + D6 + S6b: null-safe 5-key lookup, misses -> -1."""
     d = derived_t(spark, sf_dir)
-    out = null_safe_lookup(d, G.junk_payment(d), C.PAYMENT_JUNK_ATTRS, C.PAYMENT_JUNK_KEY,
+    out = null_safe_lookup(d, G.junk_payment(d, G.JUNK_HISTORY_END), C.PAYMENT_JUNK_ATTRS, C.PAYMENT_JUNK_KEY,
                            default=C.UNKNOWN_MEMBER_KEY)
     return out.select("transaction_id", *C.PAYMENT_JUNK_ATTRS, C.PAYMENT_JUNK_KEY)
 
@@ -352,7 +352,7 @@ def lookup_payment_junk(spark, sf_dir):
 def lookup_card_junk(spark, sf_dir):
     """J4 + F12 + D6 + S6c: null-safe 4-key lookup, misses -> -1."""
     d = derived_t(spark, sf_dir)
-    out = null_safe_lookup(d, G.junk_card(d), C.CARD_JUNK_ATTRS, C.CARD_JUNK_KEY, default=C.UNKNOWN_MEMBER_KEY)
+    out = null_safe_lookup(d, G.junk_card(d, G.JUNK_HISTORY_END), C.CARD_JUNK_ATTRS, C.CARD_JUNK_KEY, default=C.UNKNOWN_MEMBER_KEY)
     return out.select("transaction_id", *C.CARD_JUNK_ATTRS, C.CARD_JUNK_KEY)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from goldleaf import contracts as C
 from goldleaf.operators.calendar import build_dim_date
 from goldleaf.operators.fact import build_fact, derive_fact_columns
-from goldleaf.operators.keys import build_junk_dimension
+from goldleaf.operators.keys import build_junk_dimension, extend_junk_dimension
 from goldleaf.operators.load import incremental_load
 from goldleaf.operators.scd2 import scd2_apply, stage_merchants
 
@@ -23,8 +23,9 @@ from goldleaf.operators.scd2 import scd2_apply, stage_merchants
 # the keys also lays out the files: no second shuffle before the write.
 FACT_LAYOUT = ["year", "month", "transaction_date_key", "merchant_key"]
 FACT_KEY_ORDER = FACT_LAYOUT + [c for c in C.FACT_COLUMNS if c not in FACT_LAYOUT]
-# Junk dimensions are first loaded from the transactions seen up to this time;
-# combinations that appear only later fall back to the unknown member (-1).
+# In the query catalogue the junk dimensions are loaded from the transactions
+# seen up to this time, so combinations that appear only later fall back to the
+# unknown member (-1).  The jobs build them from everything and extend them.
 JUNK_HISTORY_END = "2020-07-01 00:00:00"
 
 
@@ -40,23 +41,25 @@ def dim_merchant_snapshots(silver_batches: list[DataFrame], mode: str = "compat"
     return dim
 
 
-def junk_history(derived: DataFrame, until: str = JUNK_HISTORY_END) -> DataFrame:
+def junk_history(derived: DataFrame, until: str | None = None) -> DataFrame:
+    if until is None:
+        return derived
     return derived.filter(F.col("transaction_timestamp") < F.lit(until).cast("timestamp_ntz"))
 
 
-def junk_payment(derived: DataFrame, until: str = JUNK_HISTORY_END) -> DataFrame:
+def junk_payment(derived: DataFrame, until: str | None = None) -> DataFrame:
     return build_junk_dimension(junk_history(derived, until), C.PAYMENT_JUNK_ATTRS, C.PAYMENT_JUNK_KEY)
 
 
-def junk_card(derived: DataFrame, until: str = JUNK_HISTORY_END) -> DataFrame:
+def junk_card(derived: DataFrame, until: str | None = None) -> DataFrame:
     return build_junk_dimension(junk_history(derived, until), C.CARD_JUNK_ATTRS, C.CARD_JUNK_KEY)
 
 
 def fact_from_silver(silver_txn: DataFrame, dim_merchant: DataFrame,
                      jp: DataFrame | None = None, jc: DataFrame | None = None) -> DataFrame:
     derived = derive_fact_columns(silver_txn)
-    jp = jp if jp is not None else junk_payment(derived)
-    jc = jc if jc is not None else junk_card(derived)
+    jp = jp if jp is not None else junk_payment(derived, JUNK_HISTORY_END)
+    jc = jc if jc is not None else junk_card(derived, JUNK_HISTORY_END)
     return build_fact(derived, dim_merchant, jp, jc)
 
 
@@ -101,9 +104,15 @@ def run_gold(spark: SparkSession, silver_merchant_batches: list[DataFrame], silv
     dim = read_parquet(spark, out["dim_merchant"])
 
     derived = derive_fact_columns(silver_txn)
-    # junk dimensions keep their keys across runs: built once, then reused
-    for table, build in (("junk_dim_payment_context", junk_payment), ("junk_dim_card_device", junk_card)):
-        out[table] = previous.get(table) or write_snapshot(build(derived), root, table)
+    # junk dimensions keep their keys across runs: built once, then extended with
+    # the combinations first seen in this batch (keyed after the maximum)
+    for table, attrs, key in (("junk_dim_payment_context", C.PAYMENT_JUNK_ATTRS, C.PAYMENT_JUNK_KEY),
+                              ("junk_dim_card_device", C.CARD_JUNK_ATTRS, C.CARD_JUNK_KEY)):
+        if table in previous:
+            dim_j = extend_junk_dimension(read_parquet(spark, previous[table]), derived, attrs, key)
+        else:
+            dim_j = build_junk_dimension(derived, attrs, key)
+        out[table] = write_snapshot(dim_j, root, table)
     staged = build_fact(derived, W.active_merchant_keys(spark, out["dim_merchant"]),
                         W.payment_junk(spark, out["junk_dim_payment_context"]),
                         W.card_junk(spark, out["junk_dim_card_device"]), current_only=False)

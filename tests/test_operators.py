@@ -278,3 +278,11 @@ def test_hot_merchant_is_split_when_dimension_is_not_broadcast(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_extend_junk_dimension_keeps_keys(spark):
+    from goldleaf.operators.keys import extend_junk_dimension
+    dim = spark.createDataFrame([(1, None, False), (2, "a", None)], "jk int, x string, y boolean")
+    src = spark.createDataFrame([("a", None), (None, False), ("b", True), (None, None)], "x string, y boolean")
+    out = rows(extend_junk_dimension(dim, src, ["x", "y"], "jk"), ["jk"])
+    assert out == [(1, None, False), (2, "a", None), (3, None, None), (4, "b", True)]
