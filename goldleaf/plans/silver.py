@@ -25,8 +25,9 @@ from goldleaf.operators.joins import semi_join_known
 
 
 def merchant_order(df: DataFrame):
-    """Survivor order for merchant duplicates: latest change first, then all columns."""
-    return order_desc(present(df, ["cdc_timestamp", "updated_at"]) + df.columns)
+    """Survivor order for merchant duplicates: latest change first, then all other columns."""
+    first = present(df, ["cdc_timestamp", "updated_at"])
+    return order_desc(first + [c for c in df.columns if c not in first and c != "merchant_id"])
 
 
 def dedup_merchants(df: DataFrame) -> DataFrame:
@@ -35,7 +36,7 @@ def dedup_merchants(df: DataFrame) -> DataFrame:
 
 def dedup_transactions(df: DataFrame) -> DataFrame:
     """One row per (id, raw timestamp text); survivor: all columns descending."""
-    return dedup_by(df, TRANSACTION_DEDUP_KEYS, order_desc(df.columns))
+    return dedup_by(df, TRANSACTION_DEDUP_KEYS)
 
 
 def extract_silver_json(df: DataFrame, fields=SILVER_JSON_FIELDS) -> DataFrame:
