@@ -13,7 +13,8 @@ Two modes:
   Deletes (``D``) are ignored.
 * ``strict`` — per merchant and day only the last change counts; versions of
   one batch are chained (``valid_to`` = next ``valid_from`` − 1 day) so at most
-  one row per merchant is active; a repeated ``I`` acts like ``U``.
+  one row per merchant is active and intervals never overlap; a repeated ``I``
+  acts like ``U``.
 """
 
 from __future__ import annotations
@@ -68,9 +69,9 @@ def scd2_expire(dim: DataFrame, stage: DataFrame, mode: str = "compat") -> DataF
     changes = _closing_changes(stage, ops)
     joined = dim.join(bounded_broadcast(changes), on="merchant_id", how="left")
     hit = F.col("is_active") & F.col("__chg_from").isNotNull()
+    # a version superseded on its own first day gets an empty interval
+    # (valid_to = valid_from - 1): never current, overlapping nothing, key kept
     close = F.date_sub(F.col("__chg_from"), 1)
-    if mode == "strict":
-        close = F.greatest(F.col("valid_from"), close)
     return joined.withColumns({
         "valid_to": F.when(hit, close).otherwise(F.col("valid_to")),
         "updated_at": F.when(hit, F.col("__chg_updated")).otherwise(F.col("updated_at")),

@@ -272,8 +272,6 @@ def scd2_ctes(mode: str = "compat") -> list[tuple[str, str]]:
     m = mode
     ops = "('U')" if mode == "compat" else "('I', 'U')"
     close = "CAST(c.chg_from - INTERVAL 1 DAY AS DATE)"
-    if mode == "strict":
-        close = f"greatest(d.valid_from, {close})"
     hit = "d.is_active AND c.merchant_id IS NOT NULL"
     expired_cols = []
     for col in DIM_COLS:

@@ -127,3 +127,11 @@ def test_lookup_reads_push_filter_and_projection(spark):
     assert "PushedFilters: [IsNotNull(is_active), EqualTo(is_active,true)]" in plan
     assert "merchant_name" not in plan.split("ReadSchema:")[1].split("\n")[0]
     assert [tuple(r) for r in df.collect()] == [(1, 10)]
+
+
+def test_scd2_strict_same_day_supersedes_without_overlap(spark):
+    dim0 = scd2_apply(None, stage(spark, [("I", 1, D(2024, 1, 1), "a")]), "strict")
+    dim1 = scd2_apply(dim0, stage(spark, [("U", 1, D(2024, 1, 1), "a2")]), "strict")
+    assert versions(dim1, 1) == [(1, "a", D(2024, 1, 1), D(2023, 12, 31), False),
+                                 (2, "a2", D(2024, 1, 1), D(9999, 12, 31), True)]
+    assert scd2_violations(dim1).count() == 0
