@@ -50,8 +50,8 @@ def late_dedup(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], ts
     """
     if horizon is None:
         first = incoming.agg(F.min(ts_col).alias("t")).first()["t"]
-        if first is None:
-            return incoming.limit(0)
+        if first is None:  # empty batch: nothing to keep
+            return incoming.filter(F.lit(False))
         horizon = F.lit(first) - F.expr(f"INTERVAL {lookback}")
     span = F.expr(f"INTERVAL {lookback}")
     recent = existing.filter(F.col(ts_col) >= horizon).select(

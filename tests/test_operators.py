@@ -286,3 +286,22 @@ def test_extend_junk_dimension_keeps_keys(spark):
     src = spark.createDataFrame([("a", None), (None, False), ("b", True), (None, None)], "x string, y boolean")
     out = rows(extend_junk_dimension(dim, src, ["x", "y"], "jk"), ["jk"])
     assert out == [(1, None, False), (2, "a", None), (3, None, None), (4, "b", True)]
+
+
+# --- empty inputs -------------------------------------------------------------------------
+
+def test_empty_inputs(spark):
+    from goldleaf.streaming.late import partition_scoped_merge
+    from goldleaf.session import scratch_path
+    empty = spark.createDataFrame([], "id string, ts timestamp_ntz, v int")
+    assert assign_surrogate_keys(empty, "k", order_by=["id"]).count() == 0
+    assert assign_surrogate_keys(empty, "k").columns == ["k", "id", "ts", "v"]
+    some = spark.createDataFrame([("a", dt.datetime(2024, 1, 1), 1)], "id string, ts timestamp_ntz, v int")
+    assert late_dedup(some, empty, ["id"], "ts").count() == 0
+    assert late_dedup(empty, some, ["id"], "ts").count() == 1
+    assert insert_absent(empty, some, "id").count() == 0
+    path = scratch_path(spark, "t-empty")
+    IO.write_partitioned(some.withColumn("year", F.lit("2024")), path, ["year"])
+    assert partition_scoped_merge(spark, path, empty.withColumn("year", F.lit("2024")), ["year"], ["id"]) == []
+    assert contract_report(empty, "t").count() == 0
+    assert contract_report(empty, "t", not_null=["id"], primary_key="id").collect()[0]["violations"] == 0
