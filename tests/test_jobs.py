@@ -74,3 +74,18 @@ def test_scoped_fact_check_reads_only_touched_months(spark):
     both = first.unionByName(G.load_fact(staged, first, scope=["year", "month"]))
     full = first.unionByName(G.load_fact(staged, first))
     assert sorted(map(tuple, both.collect())) == sorted(map(tuple, full.collect()))
+
+
+def test_silver_with_stored_row_hash_drops_resends(spark):
+    from goldleaf import contracts as C
+    from goldleaf.operators.dedup import row_hash_anti
+    from goldleaf.plans import catalog as K
+    root = scratch_path(spark, "t-jobs-hash")
+    IO.write_raw_csv(FX.raw_merchants(spark, SMOKE_DIR), f"{root}/raw/merchants/x1")
+    IO.write_raw_csv(FX.raw_transactions(spark, SMOKE_DIR), f"{root}/raw/transactions/x1")
+    out = run_silver(spark, f"{root}/raw", f"{root}/silver", row_hash=True)
+    stored = spark.read.parquet(out["transactions"])
+    assert "row_hash" in stored.columns
+    resent = K.silver_t(spark, SMOKE_DIR)  # the same delivery again
+    fresh = row_hash_anti(resent, stored, C.TRANSACTION_SOURCE_COLUMNS, stored_hash="row_hash")
+    assert fresh.count() == 0
