@@ -97,9 +97,12 @@ def test_gold_incremental_reads_only_new_silver_files(spark):
     root = scratch_path(spark, "t-gold-inc")
     raw_t, raw_m = FX.raw_transactions(spark, SMOKE_DIR), FX.raw_merchants(spark, SMOKE_DIR)
     first = F.col("created_at") < "2023-01-01"
-    IO.write_raw_csv(raw_m, f"{root}/raw/merchants/x1")
+    # both merchant versions reach silver (two silver runs) before the first gold run
+    IO.write_raw_csv(FX.merchant_batch(raw_m, 0), f"{root}/raw/merchants/x1")
     IO.write_raw_csv(raw_t.filter(first), f"{root}/raw/transactions/x1")
     run_silver_incremental(spark, f"{root}/raw", f"{root}/silver", f"{root}/ckpt")
+    IO.write_raw_csv(FX.merchant_batch(raw_m, 1), f"{root}/raw/merchants/x2")
+    run_silver_incremental(spark, f"{root}/raw", f"{root}/silver", f"{root}/ckpt")
     s1 = run_gold_incremental(spark, f"{root}/silver", f"{root}/gold", f"{root}/ckpt")
     n1 = spark.read.parquet(s1["fact_transactions"]).count()
     s2 = run_gold_incremental(spark, f"{root}/silver", f"{root}/gold", f"{root}/ckpt", previous=s1)
@@ -112,7 +115,12 @@ def test_gold_incremental_reads_only_new_silver_files(spark):
     assert n3 > n1
     keys = [r[0] for r in fact.select("transaction_key").orderBy("transaction_key").collect()]
     assert keys == list(range(1, n3 + 1))                                  # dense, no collisions
-    # same rows as one batch gold run over all of silver
+    # strict SCD2: one active version per merchant, so the lookup never fans out
+    from goldleaf.operators.quality import scd2_violations
+    assert scd2_violations(spark.read.parquet(s3["dim_merchant"])).count() == 0
+    # same rows as one batch gold run over all of silver, and as the catalogue's fact
+    from goldleaf.plans import catalog as K
     from goldleaf.plans.jobs import run_gold_job
     full = run_gold_job(spark, f"{root}/silver", f"{root}/gold-full")
     assert spark.read.parquet(full["fact_transactions"]).count() == n3
+    assert n3 == K.fact_stage(spark, SMOKE_DIR).count()
