@@ -57,10 +57,19 @@ def assign_surrogate_keys(df: DataFrame, key_col: str, order_by: Sequence | None
     return fixed.select(key.alias(key_col), *fixed.columns)
 
 
-def next_key(dim: DataFrame, key_col: str) -> int:
-    """First free key after the current maximum (1 for an empty dimension)."""
-    top = dim.agg(F.max(key_col).alias("m")).first()["m"]
-    return 1 if top is None else int(top) + 1
+def next_key(dim: DataFrame, key_col: str, hint: int | None = None) -> int:
+    """First free key after the current maximum (1 for an empty table).
+
+    With ``hint`` (a remembered next key) only keys ``>= hint`` are read: the
+    filter is pushed into the Parquet scan, whose min/max statistics skip every
+    older row group, and a stale hint (rows appended after it was saved) is
+    detected and corrected instead of producing duplicate keys.
+    """
+    table = dim if hint is None else dim.filter(F.col(key_col) >= F.lit(hint))
+    top = table.agg(F.max(key_col).alias("m")).first()["m"]
+    if top is None:
+        return 1 if hint is None else hint
+    return int(top) + 1
 
 
 def build_junk_dimension(source: DataFrame, attrs: Sequence[str], key_col: str,

@@ -124,3 +124,21 @@ def test_gold_incremental_reads_only_new_silver_files(spark):
     full = run_gold_job(spark, f"{root}/silver", f"{root}/gold-full")
     assert spark.read.parquet(full["fact_transactions"]).count() == n3
     assert n3 == K.fact_stage(spark, SMOKE_DIR).count()
+
+
+def test_stale_key_hint_cannot_duplicate_keys(spark):
+    from pyspark.sql import functions as F
+    from goldleaf.plans import catalog as K
+    from goldleaf.plans import gold as G
+    staged = K.fact_stage(spark, SMOKE_DIR).checkpoint()
+    path = scratch_path(spark, "t-stale")
+    first = G.load_fact(staged.filter(F.col("year") < 2023), None)
+    first.write.parquet(path)
+    target = spark.read.parquet(path)
+    n1 = target.count()
+    # a crash lost the saved state: the hint still says 1
+    more = G.load_fact(staged, target, start=1)
+    keys = [r[0] for r in target.unionByName(more).select("transaction_key").collect()]
+    assert len(keys) == len(set(keys)) and min(r[0] for r in more.select("transaction_key").collect()) == n1 + 1
+    plan = target.filter(F.col("transaction_key") >= 5)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(transaction_key,5)" in plan
