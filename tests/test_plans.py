@@ -37,3 +37,18 @@ def test_calendar_is_not_a_data_sized_job(spark):
     plan = plan_of(K.dim_date(spark, SMOKE_DIR))
     # the day range comes from one aggregate row: one Generate over sequence()
     assert plan.count("Generate explode(sequence") == 1
+
+
+def test_junk_lookups_keep_the_row_count(spark):
+    """SURVEY §5 invariant: with unique junk keys, J3/J4 neither drop nor duplicate rows."""
+    from goldleaf import contracts as C
+    from goldleaf.operators.joins import null_safe_lookup
+    from goldleaf.plans import gold as G
+    derived = K.derived_t(spark, SMOKE_DIR)
+    n = derived.count()
+    for build, attrs, key in ((G.junk_payment, C.PAYMENT_JUNK_ATTRS, C.PAYMENT_JUNK_KEY),
+                              (G.junk_card, C.CARD_JUNK_ATTRS, C.CARD_JUNK_KEY)):
+        dim = build(derived, G.JUNK_HISTORY_END)
+        assert dim.select(key).distinct().count() == dim.count()
+        out = null_safe_lookup(derived, dim, attrs, key, default=C.UNKNOWN_MEMBER_KEY)
+        assert out.count() == n and out.filter(out[key].isNull()).count() == 0
