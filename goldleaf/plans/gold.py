@@ -15,8 +15,11 @@ from goldleaf import contracts as C
 from goldleaf.operators.calendar import build_dim_date
 from goldleaf.operators.fact import build_fact, derive_fact_columns
 from goldleaf.operators.keys import build_junk_dimension, extend_junk_dimension
-from goldleaf.operators.load import incremental_load
+from goldleaf.operators.load import incremental_load, insert_absent
+from goldleaf.operators.quality import contract_report
 from goldleaf.operators.scd2 import scd2_apply, stage_merchants
+from goldleaf.sources import warehouse as W
+from goldleaf.sources.files import read_parquet, write_clustered_fact, write_snapshot
 
 # Order that makes fact keys deterministic.  It starts with the fact's physical
 # clustering (year, month, date key, merchant), so the range shuffle that orders
@@ -85,11 +88,6 @@ def run_gold(spark: SparkSession, silver_merchant_batches: list[DataFrame], silv
     new snapshots never overwrite them.  ``scoped_fact_check`` limits the
     NOT EXISTS check to the year/month folders of the batch.
     """
-    from goldleaf.sources.files import read_parquet, write_snapshot, write_clustered_fact
-    from goldleaf.operators.load import insert_absent
-    from goldleaf.operators.quality import contract_report
-    from goldleaf.sources import warehouse as W
-
     previous = {k: v for k, v in (previous or {}).items() if v is not None}
     out = {}
     dim = read_parquet(spark, previous["dim_merchant"]) if "dim_merchant" in previous else None
