@@ -11,11 +11,14 @@ the values of the sequential algorithm.
    of the set and the bands of the signature.
 2. Texts with equal sets are one class; only class representatives go on.
 3. Representatives that share a band are candidates.  Each bucket's members are compared
-   with a leader, not with one another, and the links are closed to components.  Buckets
-   whose members then lie in several components go on: small ones with all pairs from
-   different components, large ones with further leaders, until every pair that could
-   still join two components has been compared.  So no pair is dropped, and a group of g
-   copies costs about g comparisons.
+   with its leader, not with one another, and the links are closed to components.  A pair
+   that could still join two components holds an outsider: a member outside the leader's
+   component.  So the outsiders of each bucket then meet all of its members from other
+   components.  They do so in streams: a task holds OUTSIDERS outsiders at a time while the
+   members pass by, and only links leave it.  A pair is compared in the first bucket that it
+   shares, and not where the outsider has a link to that component already.  Large buckets
+   are dealt over several tasks on both sides.  So every pair that matters is compared, a
+   group of g copies makes about g rows, and no group is held by a task.
 4. Links are confirmed on full shingle sets: 100 * intersection >= 75 * union.
 
 A pair at a similarity of exactly 0.75 shares a band with probability
@@ -30,6 +33,7 @@ a null doc_id link with nothing and are kept, with a null component.  Other colu
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +45,12 @@ from goldleaf.llm.words import mix, shingles_of, stream, words_of
 
 BANDS, ROWS = 36, 6
 SIZE = BANDS * ROWS
-#: Buckets of at most this many members compare all pairs of different components at once.
-SMALL_BUCKET = 24
-#: Further leaders that each round gives a large bucket.
-LEADERS = 8
+#: Outsiders that a task holds at a time (the mean; they are dealt by hash).
+OUTSIDERS = 192
+#: Members of one bucket that pass by in one stream.
+STREAM = 8192
+#: Pairs whose signatures agree in a smaller share are not confirmed: 4.5 deviations below the threshold.
+LEAST_AGREEMENT = 0.617
 THRESHOLD = (75, 100)
 
 _DRAW = stream(11, 2 * SIZE)
@@ -104,12 +110,14 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """node (the doc_id) and its sorted distinct shingles as one binary value."""
+    """node (the doc_id), its sorted distinct shingles, and its bands with 16 bits of each component, as binary values."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [s.tobytes() for s in distinct_shingles(batch.column(1))]
-        return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(sets, pa.binary())], names=["node", "shingles"])
+        sets = distinct_shingles(batch.column(1))
+        sigs = [signature(s) for s in sets]
+        marks = [band_hashes(g).tobytes() + g.astype(np.uint16).tobytes() for g in sigs]
+        return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(marks, pa.binary())], names=["node", "shingles", "marks"])
 
-    return map_batches(docs.select("doc_id", "text"), run, "node long, shingles binary")
+    return map_batches(docs.select("doc_id", "text"), run, "node long, shingles binary, marks binary")
 
 
 def similar(a: bytes, b: bytes) -> bool:
@@ -128,6 +136,7 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         hold = [similar(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
         return batch.select([0, 1]).filter(pa.array(hold))
 
+    sets = sets.select("node", "shingles")
     near = (pairs.join(sets.withColumnRenamed("node", "b").withColumnRenamed("shingles", "sb"), "b")
             .join(sets.withColumnRenamed("node", "a").withColumnRenamed("shingles", "sa"), "a").select("a", "b", "sa", "sb"))
     return map_batches(near, run, "a long, b long").distinct()
@@ -137,36 +146,68 @@ def links(docs: DataFrame, sigs: DataFrame) -> DataFrame:
     """(a, b) links between class representatives that have the components of all links."""
     reps = (sigs.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest")
             .agg(F.min(F.struct("doc_id", "bands")).alias("r")).select(F.col("r.doc_id").alias("node"), F.col("r.bands").alias("bands")))
-    members = reps.select(F.explode("bands").alias("bucket"), "node").distinct()
-    shared = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    members = stored(members.join(shared, "bucket"), "buckets")
+    members = reps.select(F.explode("bands").alias("bucket"), "node")
+    shared = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1").select("bucket", "leader")
+    members = stored(members.join(shared, "bucket").distinct(), "buckets")
     texts = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
     texts = texts.join(members.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sets = stored(shingle_sets(texts), "shingles")
     found = stored(confirm(members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), sets), "links")
-    led = members.select("bucket", F.col("leader").alias("node")).distinct()
-    while True:
-        part = components(found)
-        at = (members.select("bucket", "node", "n").join(part, "node", "left")
-              .withColumn("component", F.coalesce("component", "node")))
-        apart = at.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-        # members that are not leaders yet can still hold a pair that was not compared
-        left = members.select("bucket", "node").join(led, ["bucket", "node"], "left_anti").groupBy("bucket").agg(F.count("*").alias("left")).where("left > 1")
-        open_ = stored(at.join(apart, "bucket", "left_semi").join(left.select("bucket"), "bucket", "left_semi"), "open")
-        if open_.isEmpty():
-            return found
-        free = open_.join(led, ["bucket", "node"], "left_anti")
-        few = free.where(F.col("n") <= SMALL_BUCKET)
-        x, y = (few.select("bucket", F.col("node").alias(k), F.col("component").alias("c" + k)) for k in "ab")
-        pairs = x.join(y, "bucket").where("a < b AND ca <> cb").select("a", "b")
-        slots = (free.where(F.col("n") > SMALL_BUCKET).groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(LEADERS)).alias("slot"))
-                 .agg(F.min(F.struct("node", "component")).alias("l")).select("bucket", F.col("l.node").alias("a"), F.col("l.component").alias("ca")))
-        slots = stored(slots, "leaders")
-        y = free.where(F.col("n") > SMALL_BUCKET).select("bucket", F.col("node").alias("b"), F.col("component").alias("cb"))
-        pairs = pairs.unionByName(slots.join(y, "bucket").where("a <> b AND ca <> cb").select("a", "b"))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        found = stored(found.unionByName(confirm(pairs, sets)).distinct(), "links")
-        led = stored(led.unionByName(few.select("bucket", "node")).unionByName(slots.select("bucket", F.col("a").alias("node"))).distinct(), "led")
+    part = components(found)
+    own, first = (part.withColumnsRenamed({"node": n, "component": c}) for n, c in (("node", "component"), ("leader", "home")))
+    at = stored(members.join(own, "node", "left").join(first, "leader", "left")
+                .select("bucket", "node", F.coalesce("component", "node").alias("component"), F.coalesce("home", "leader").alias("home")), "members")
+    foreign = F.col("component") != F.col("home")
+    open_ = (at.groupBy("bucket").agg(F.count("*").alias("n"), F.count(F.when(foreign, 1)).alias("outside")).where("n > 2 AND outside > 0")
+             .select("bucket", F.ceil(F.col("n") / STREAM).alias("streams"), F.ceil(F.col("outside") / OUTSIDERS).alias("blocks")))
+    at = stored(at.join(open_, "bucket"), "open")
+    dealt = F.xxhash64("node", F.lit(1))
+    outside = at.where(foreign).withColumn("block", F.pmod(dealt, "blocks")).withColumn("stream", F.explode(F.sequence(F.lit(0), F.col("streams") - 1)))
+    inside = at.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("stream", F.pmod(dealt, "streams"))
+    rows = outside.withColumn("role", F.lit(0)).unionByName(inside.withColumn("role", F.lit(1)))
+    rows = rows.join(sets, "node").select("bucket", "block", "stream", "role", "node", "component", "shingles", "marks")
+    rows = rows.repartition("bucket", "block", "stream").sortWithinPartitions("bucket", "block", "stream", "role")
+    return found.unionByName(stored(rows.mapInArrow(_meet, "a long, b long").distinct(), "more-links"))
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of the outsiders (role 0, ahead in each group) with the members that follow them."""
+    group, held = None, None
+    for batch in batches:
+        out = []
+        for bucket, block, stream_, role, node, component, shingles, marks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (bucket, block, stream_) != group:
+                group, held = (bucket, block, stream_), _Outsiders(bucket)
+            if role == 0:
+                held.add(node, component, shingles, marks)
+            else:
+                out += held.links(node, component, shingles, marks)
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
+
+
+class _Outsiders:
+    def __init__(self, bucket: int):
+        self.bucket, self.rows, self.bands, self.parts, self.done = bucket, [], None, None, {}
+
+    def add(self, node: int, component: int, shingles: bytes, marks: bytes) -> None:
+        self.rows.append((node, component, shingles, marks))
+
+    def links(self, node: int, component: int, shingles: bytes, marks: bytes) -> list[tuple[int, int]]:
+        if self.bands is None:
+            both = [r[3] for r in self.rows]
+            self.bands = np.stack([np.frombuffer(m, np.int64, BANDS) for m in both])
+            self.parts = np.stack([np.frombuffer(m, np.uint16, SIZE, 8 * BANDS) for m in both])
+        same = self.bands == np.frombuffer(marks, np.int64, BANDS)
+        here = self.bands[np.arange(len(same)), same.argmax(1)] == self.bucket
+        agree = np.count_nonzero(self.parts == np.frombuffer(marks, np.uint16, SIZE, 8 * BANDS), axis=1) >= LEAST_AGREEMENT * SIZE
+        out = []
+        for i in np.flatnonzero(here & agree).tolist():
+            other, theirs, their_set, _ = self.rows[i]
+            if theirs != component and (other, component) not in self.done and similar(their_set, shingles):
+                self.done[other, component] = True
+                out.append((min(node, other), max(node, other)))
+        return out
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
