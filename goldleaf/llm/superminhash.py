@@ -48,7 +48,7 @@ SIZE = BANDS * ROWS
 #: Outsiders that a task holds at a time (the mean; they are dealt by hash).
 OUTSIDERS = 192
 #: Members of one bucket that pass by in one stream.
-STREAM = 8192
+STREAM = 1024
 #: Pairs whose signatures agree in a smaller share are not confirmed: 4.5 deviations below the threshold.
 LEAST_AGREEMENT = 0.617
 THRESHOLD = (75, 100)
