@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldleaf.llm import bpe_bitmap, chat_format, decontam_simhash, langid_svm, line_cuckoo, quality_bt, superminhash
+from goldleaf.llm import bpe_bitmap, chat_format, decontam_simhash, embed_collide, langid_svm, line_cuckoo, quality_bt, superminhash
 from goldleaf.llm.common import held_out, read_table
 
 QUERIES: dict = {}
@@ -103,3 +103,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read_table(spark, sf_dir, "labels", "doc_id", "quality")
     found = quality_bt.score(docs, quality_bt.fit(docs, labels.where(~out)))
     return found.select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
+@register("op4_embed_collide")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_collide.near_duplicates(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
