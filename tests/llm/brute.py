@@ -68,3 +68,36 @@ def contaminated(docs, items):
                 if high and 100 * low >= 75 * high:
                     out[doc_id, item_id] = max(out.get((doc_id, item_id), 0), low / high)
     return out
+
+
+ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
+
+
+def secret_spans(text):
+    """Base spans (kind, start, end) by start, then kind as listed."""
+    text = text or ""
+    out = [(m.start(), 0, "assign", m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    out += [(m.start(), 1, "access", m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    out += [(m.start(), 2, "hex", m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    return [(kind, start, end) for start, _, kind, end in sorted(out)]
+
+
+def luhn(digits):
+    total = 0
+    for k, d in enumerate(reversed(digits)):
+        d = int(d) * (1 + k % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def pii_spans(text):
+    """Base spans (kind, start, end) by kind as listed, then start."""
+    text = text or ""
+    digits = lambda s: [c for c in s if c in "0123456789"]
+    tests = [
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda s: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda s: all(int(p) <= 255 for p in s.split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda s: 16 <= len(digits(s)) <= 19 and luhn(digits(s))),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda s: 8 <= len(digits(s)) <= 15),
+    ]
+    return [(kind, m.start(), m.end()) for kind, pattern, ok in tests for m in re.finditer(pattern, text) if ok(m[0])]
