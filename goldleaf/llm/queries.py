@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldleaf.llm import bpe_bitmap, chat_format, decontam_simhash, embed_collide, langid_svm, line_cuckoo, quality_bt, secrets_markov, superminhash
+from goldleaf.llm import bpe_bitmap, chat_format, decontam_simhash, embed_collide, langid_svm, line_cuckoo, pii_bilstm, quality_bt, secrets_markov, superminhash
 from goldleaf.llm.common import held_out, read_table
 
 QUERIES: dict = {}
@@ -113,3 +113,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_secrets_markov")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_markov.digests(secrets_markov.scan(read_table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+@register("op7_pii_bilstm")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_bilstm.scan(read_table(spark, sf_dir, "documents", "doc_id", "text"), digests=True)
