@@ -183,3 +183,18 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
         return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.float64())], names=["doc_id", "lang_pred", "score"])
 
     return map_batches(docs.select("doc_id", "text"), run, "doc_id long, lang_pred string, score double")
+
+
+def keep_known(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
+    """The rows of `docs` with a known language and a score of `least` or more; all columns, no shuffle."""
+    shared = prepare(docs.sparkSession).sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        held, keep = shared.value, []
+        for text in batch.column(at).to_pylist():
+            x = features(text) if held is not None else None
+            keep.append(x is not None and held.predict(x)[1] >= least)
+        return batch.filter(pa.array(keep, pa.bool_()))
+
+    return map_batches(docs, run, docs.schema)
