@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from goldleaf.session import ensure_checkpoint_dir, scratch_path
@@ -51,17 +51,29 @@ def held_out(doc_id, parts: int, rest: int):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == rest, F.lit(False))
 
 
+def hash_share(rows: DataFrame, key, most: int) -> DataFrame:
+    """About `most` of the rows, those whose hash of `key` lies in a share set by their number.
+
+    The share makes the chosen rows few before anything is sorted or sent on, at any size.
+    """
+    n = rows.count()
+    share = min(1.0, most / n) if n else 1.0
+    return rows.where(F.pmod(F.xxhash64(key), F.lit(2**31)) < F.lit(int(share * 2**31)))
+
+
 def bounded_sample(labelled: DataFrame, label: str, key: str, most: int) -> DataFrame:
-    """At most `most` rows of each label, by hash of the key: the bounded training sample.
+    """Distinct (key, label), at most `most` of each label, by a hash of the key: the bounded training sample.
 
-    Chosen by a sort with a limit for each label, so no task holds more than `most` rows.
-    Labels are few (a learnt model's classes).
+    Each label's share of the hash range leaves a few rows over `most`; a rank over those
+    few cuts the rest.  Labels are few (a learnt model's classes).
     """
-    values = [r[0] for r in labelled.select(label).distinct().orderBy(label).collect()]
-    out = labelled.limit(0)
-    for v in values:
-        out = out.unionByName(labelled.where(F.col(label) == F.lit(v)).orderBy(F.xxhash64(key), key).limit(most))
-    return out
+    h = F.pmod(F.xxhash64(key), F.lit(2**31))
+    limit = F.lit(-1)
+    for value, n in labelled.groupBy(label).count().collect():
+        limit = F.when(F.col(label) == F.lit(value), int(min(1.0, 1.3 * most / n) * 2**31)).otherwise(limit)
+    few = labelled.where(h < limit).select(key, label).distinct()
+    rank = F.row_number().over(Window.partitionBy(label).orderBy(h, key))
+    return few.withColumn("__llm_rank", rank).where(F.col("__llm_rank") <= most).drop("__llm_rank")
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:

@@ -161,7 +161,8 @@ def fit(labelled: DataFrame) -> Model | None:
             return None
         return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.string()), pa.array([f[2].astype(np.float16).tobytes() for f in found], pa.binary())], names=["doc_id", "lang", "x"])
 
-    rows = map_batches(labelled.join(chosen, ["doc_id", "lang"], "left_semi").select("doc_id", "text", "lang"), run, "doc_id long, lang string, x binary")
+    texts = labelled.join(chosen, ["doc_id", "lang"], "left_semi").dropDuplicates(["doc_id", "lang"])
+    rows = map_batches(texts.select("doc_id", "text", "lang"), run, "doc_id long, lang string, x binary")
     rows = sorted((r["doc_id"], r["lang"], bytes(r["x"])) for r in rows.collect())
     if not rows:
         return None

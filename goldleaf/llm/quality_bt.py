@@ -123,7 +123,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
         values = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32()), pa.array(x.ravel()))
         return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(2), values], names=["doc_id", "quality", "x"])
 
-    rows = map_batches(docs.select("doc_id", "text").join(chosen, "doc_id"), run, "doc_id long, quality int, x array<double>")
+    texts = docs.select("doc_id", "text").join(chosen, "doc_id").dropDuplicates(["doc_id", "quality"])
+    rows = map_batches(texts.select("doc_id", "text", "quality"), run, "doc_id long, quality int, x array<double>")
     rows = sorted((r["quality"], r["doc_id"], r["x"]) for r in rows.collect() if r["x"][-1])
     good, bad = (np.array([r[2][:-1] for r in rows if r[0] == y]) for y in (1, 0))
     return Model(good, bad) if len(good) and len(bad) else None
