@@ -13,8 +13,8 @@ The method adds `markov` spans: tokens of MIN_TOKEN or more of [A-Za-z0-9+/_=-],
 and a letter, that touch no base span and whose log-likelihood ratio between two first-order
 character models is at least LEAST_LLR.  The model of random strings is learnt from values
 that base spans caught, that of ordinary identifiers from the other words and names of the
-same texts; both from a bounded sample of labelled tokens (SAMPLE_DOCS documents of each
-kind, by a hash of the id), as smoothed counts of character pairs.  The two models are
+same texts; both from a bounded sample of labelled tokens (about SAMPLE_DOCS documents of
+each kind, by a hash), as smoothed counts of character pairs.  The two models are
 one row of ALPHABET ** 2 log ratios, a constant of the query.
 
 Positions are code points, the end exclusive.  Null and empty texts have no spans.  Rows are
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldleaf.llm.common import prepare
+from goldleaf.llm.common import hash_share, prepare, stored
 
 # The base patterns.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -37,7 +37,7 @@ KINDS = ("assign", "access", "hex", "markov")
 
 TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
 MIN_TOKEN = 16
-#: Documents with and without base spans that the models are learnt from.
+#: Documents, with and without a base match each, that the models are learnt from.
 SAMPLE_DOCS = 2000
 #: Characters by code, 0 to 127.
 ALPHABET = 128
@@ -92,15 +92,20 @@ def _named(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
 
 
-def labelled_tokens(base: DataFrame) -> DataFrame:
-    """(token, random): values of base spans, and the other tokens of the sampled texts."""
-    def sample(rows: DataFrame) -> DataFrame:
-        return rows.orderBy(F.xxhash64("doc_id", "text")).limit(SAMPLE_DOCS)
+def labelled_tokens(docs: DataFrame) -> DataFrame:
+    """(token, random): values of base spans, and words of texts without any, of the sampled documents.
 
-    caught = sample(base.where(F.size("base") > 0))
-    values = caught.select(F.explode(F.transform("base", lambda s: F.regexp_extract(_text_of(F.col("text"), s), r"([A-Za-z0-9+/_.=-]+)$", 1))).alias("token"))
-    plain = sample(base.where(F.size("base") == 0))
-    words = plain.select(F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z_][A-Za-z0-9_]{5,}"), 0)).alias("token"))
+    A narrow table of hashes is kept from the first pass; only the chosen texts are scanned.
+    """
+    key = F.xxhash64("doc_id", "text").alias("key")
+    held = F.coalesce(F.regexp_like("text", F.lit(f"{ASSIGN}|{ACCESS}|{HEX}")), F.lit(False)).alias("held")
+    marks = stored(docs.select(key, held), "secret-marks")
+    kinds = [hash_share(marks.where(F.col("held") == k).distinct(), "key", SAMPLE_DOCS) for k in (True, False)]
+    chosen = F.broadcast(stored(kinds[0].unionByName(kinds[1]), "secret-sample"))  # about 2 * SAMPLE_DOCS rows
+    few = docs.select("doc_id", "text", key).join(chosen, "key").dropDuplicates(["key"])
+    base = base_spans(few)
+    values = base.select(F.explode(F.transform("base", lambda s: F.regexp_extract(_text_of(F.col("text"), s), r"([A-Za-z0-9+/_.=-]+)$", 1))).alias("token"))
+    words = base.where(F.size("base") == 0).select(F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z_][A-Za-z0-9_]{5,}"), 0)).alias("token"))
     return values.withColumn("random", F.lit(True)).unionByName(words.withColumn("random", F.lit(False))).where("length(token) >= 6")
 
 
@@ -152,8 +157,7 @@ def add_markov(base: DataFrame, ratios: list[float] | None) -> DataFrame:
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, base and spans: arrays of start, stop and kind."""
     prepare(docs.sparkSession)
-    base = base_spans(docs)
-    return add_markov(base, fit(labelled_tokens(base)))
+    return add_markov(base_spans(docs), fit(labelled_tokens(docs)))
 
 
 def digests(found: DataFrame) -> DataFrame:
