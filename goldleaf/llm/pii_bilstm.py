@@ -16,7 +16,7 @@ window, which sees it whole.  A text's spans are then reconciled together: most
 first, then most confident, then longest, none overlapping.  A span that overlaps no base
 span and passes its kind's test in a wider form (PLAUSIBLE) is added; base spans stay.
 
-The net is trained here in numpy, on at most SAMPLE_WINDOWS windows of SAMPLE_DOCS documents
+The net is trained here in numpy, on at most SAMPLE_WINDOWS windows of about SAMPLE_DOCS documents
 that hold digits or `@` (by a hash of the text), labelled by their base spans.  The broadcast
 model has a few thousand weights.
 
@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldleaf.llm.common import map_batches, prepare
+from goldleaf.llm.common import hash_share, map_batches, prepare
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 64, 32
@@ -322,7 +322,7 @@ def add_spans(net: Net | None, texts: list[str], base: list[list[tuple[str, int,
 def fit(docs: DataFrame) -> Net | None:
     """A net trained on the base spans of a bounded sample of texts; None without any span."""
     prepare(docs.sparkSession)
-    rows = docs.select("text").where(F.col("text").rlike("[0-9@]")).orderBy(F.xxhash64("text")).limit(SAMPLE_DOCS)
+    rows = hash_share(docs.select("text").where(F.col("text").rlike("[0-9@]")).distinct(), "text", SAMPLE_DOCS)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         xs, ys = [], []
