@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from heapq import heappop, heappush
 
 import numpy as np
@@ -31,7 +32,7 @@ from goldleaf.llm.common import map_batches, prepare
 #: Bound of the broadcast vocabulary: entries.
 MAX_VOCABULARY = 1_000_000
 #: Encoded pre-tokens kept for reuse in a Python worker; the store is emptied when full.
-KEPT_PRETOKENS = 500_000
+KEPT_PRETOKENS = 1_000_000
 #: Longer pre-tokens are not kept.
 KEPT_BYTES = 64
 
@@ -120,7 +121,8 @@ class Encoder:
     def pack(self, pretoken: str) -> bytes:
         """Ids of one pre-token as little-endian unsigned 32-bit integers."""
         piece = pretoken.encode()
-        ids = np.array(self.merge(piece), "<u4").tobytes()
+        found = self.merge(piece)
+        ids = struct.pack(f"<{len(found)}I", *found)
         if len(piece) <= KEPT_BYTES:
             if len(self.kept) >= KEPT_PRETOKENS:
                 self.kept.clear()

@@ -177,6 +177,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """`docs` without the documents that hold a benchmark item."""
-    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("__llm_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__llm_bad"]), "left_anti")
+    """The rows of `docs` whose text holds no benchmark item; all columns, without a shuffle."""
+    spark = prepare(docs.sparkSession)
+    at, schema = docs.columns.index("text"), docs.schema
+    for items in slices(benchmark):
+        if not items:
+            continue
+        index = spark.sparkContext.broadcast(Index(items))
+
+        def run(batch: pa.RecordBatch, index=index) -> pa.RecordBatch:
+            keep = np.ones(batch.num_rows, bool)
+            keep[[doc for doc, *_ in index.value.matches(batch.column(at))]] = False
+            return batch.filter(pa.array(keep))
+
+        docs = map_batches(docs, run, schema)
+    return docs

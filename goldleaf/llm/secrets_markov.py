@@ -9,7 +9,7 @@ dropped and the search goes on behind it:
 * access: AKIA and capitals or digits, twenty or more characters;
 * hex:    twenty-four or more hexadecimal digits.
 
-The method adds `markov` spans: tokens of MIN_TOKEN or more of [A-Za-z0-9+/_=-], with a digit
+The method adds `markov` spans: tokens of sixteen or more of [A-Za-z0-9+/_=-], with a digit
 and a letter, that touch no base span and whose log-likelihood ratio between two first-order
 character models is at least LEAST_LLR.  The model of random strings is learnt from values
 that base spans caught, that of ordinary identifiers from the other words and names of the
@@ -36,11 +36,14 @@ HEX = r"[0-9a-f]{24,}"  # a run of hexadecimal digits that is long enough: runs
 KINDS = ("assign", "access", "hex", "markov")
 
 TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
-MIN_TOKEN = 16
+#: Ordinary words and names to learn from: whole tokens that are not candidates themselves.
+IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])(?:[A-Za-z_][A-Za-z0-9_]{5,14}|[A-Za-z_]{16,})(?![A-Za-z0-9+/_=-])"
 #: Documents, with and without a base match each, that the models are learnt from.
 SAMPLE_DOCS = 2000
 #: Characters by code, 0 to 127.
 ALPHABET = 128
+#: Weight of single characters against a character's pairs, in pairs seen.
+BACK_OFF = 8
 #: Odds of a million to one, in nats.
 LEAST_LLR = 13.8
 
@@ -105,7 +108,7 @@ def labelled_tokens(docs: DataFrame) -> DataFrame:
     few = docs.select("doc_id", "text", key).join(chosen, "key").dropDuplicates(["key"])
     base = base_spans(few)
     values = base.select(F.explode(F.transform("base", lambda s: F.regexp_extract(_text_of(F.col("text"), s), r"([A-Za-z0-9+/_.=-]+)$", 1))).alias("token"))
-    words = base.where(F.size("base") == 0).select(F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z_][A-Za-z0-9_]{5,}"), 0)).alias("token"))
+    words = base.where(F.size("base") == 0).select(F.explode(F.regexp_extract_all("text", F.lit(IDENTIFIER), 0)).alias("token"))
     return values.withColumn("random", F.lit(True)).unionByName(words.withColumn("random", F.lit(False))).where("length(token) >= 6")
 
 
@@ -122,21 +125,21 @@ def fit(tokens: DataFrame) -> list[float] | None:
 
 
 def log_ratios(counts: dict[tuple[int, int], tuple[int, int]]) -> list[float]:
-    """Add-one smoothed, over the 66 characters that tokens have."""
+    """Pairs backed off to single characters, and these to add-one over the 66 characters of tokens."""
     from math import log
 
-    first: dict[int, list[int]] = {}
-    for (a, _), (r, w) in counts.items():
-        got = first.setdefault(a, [0, 0])
-        got[0] += r
-        got[1] += w
-    out = []
-    for a in range(ALPHABET):
-        r0, w0 = first.get(a, (0, 0))
-        for b in range(ALPHABET):
-            r, w = counts.get((a, b), (0, 0))
-            out.append(round(log((r + 1) / (r0 + 66)) - log((w + 1) / (w0 + 66)), 4))
-    return out
+    first, second = ([[0, 0] for _ in range(ALPHABET)] for _ in range(2))
+    for (a, b), c in counts.items():
+        for k in (0, 1):
+            first[a][k] += c[k]
+            second[b][k] += c[k]
+    total = [sum(x[k] for x in second) for k in (0, 1)]
+
+    def chance(a: int, b: int, k: int) -> float:
+        alone = (second[b][k] + 1) / (total[k] + 66)
+        return (counts.get((a, b), (0, 0))[k] + BACK_OFF * alone) / (first[a][k] + BACK_OFF)
+
+    return [round(log(chance(a, b, 0)) - log(chance(a, b, 1)), 4) for a in range(ALPHABET) for b in range(ALPHABET)]
 
 
 def add_markov(base: DataFrame, ratios: list[float] | None) -> DataFrame:

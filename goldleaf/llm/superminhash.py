@@ -194,6 +194,8 @@ class _Outsiders:
         self.rows.append((node, component, shingles, marks))
 
     def links(self, node: int, component: int, shingles: bytes, marks: bytes) -> list[tuple[int, int]]:
+        if not self.rows:  # the hash dealt this block none
+            return []
         if self.bands is None:
             both = [r[3] for r in self.rows]
             self.bands = np.stack([np.frombuffer(m, np.int64, BANDS) for m in both])

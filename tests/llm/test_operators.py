@@ -1,0 +1,391 @@
+"""The operators against brute force, public libraries and the edge cases of their docstrings."""
+
+import hashlib
+import random
+import zlib
+
+import brute
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+from goldleaf.llm import (bpe_bitmap, chat_format, decontam_simhash, embed_collide, langid_svm, line_cuckoo, pii_bilstm,
+                          quality_bt, secrets_markov, superminhash)
+from goldleaf.llm import queries as Q
+from goldleaf.llm.common import components
+from goldleaf.llm.words import shingles_of, words_of
+
+from conftest import SMOKE_DIR
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+# clashing names that the operators use inside
+EDGE_SCHEMA = "doc_id long, text string, lang string, n_chars long, node long, key string, component string, shard int, label int"
+LONG = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod " * 4000
+LINE = "this very line is long enough to count as a repeated one"
+
+
+def rows(*pairs):
+    return [(i, t, None if t is None else "en", None, 1, "k", "c", 2, 3) for i, t in pairs]
+
+
+@pytest.fixture(scope="module")
+def edge(spark):
+    texts = [(1, None), (2, ""), (3, "   \n\t"), (4, "one two"), (5, "ONE two"), (6, LONG), (7, LONG), (8, LONG), (None, LONG), (9, "123 456"),
+             (10, LINE + "\n" + LINE), (11, LINE.upper()), (12, "  " + LINE), (13, LINE + "\nx"), (14, LINE), (14, LINE), (None, LINE), (15, "é" * 50)]
+    return spark.createDataFrame(rows(*texts), EDGE_SCHEMA)
+
+
+def by_id(df, *columns):
+    return sorted(((r["doc_id"], *(r[c] for c in columns)) for r in df.collect()), key=str)
+
+
+def smoke(spark, name):
+    return spark.read.parquet(f"{SMOKE_DIR}/{name}.parquet")
+
+
+# --- words -------------------------------------------------------------------
+
+def test_shingles_follow_the_definition():
+    texts = ["", None, "a", "A b", "a b c d e", "a  b\tc\nd e f", "é ü\x0bx\x0cy\rz w", " x ", "a b c d e f a b c d e"]
+    hashes, first = shingles_of(words_of(pa.array(texts)))
+    seen = {}
+    for k, t in enumerate(texts):
+        own = hashes[first[k]:first[k + 1]].tolist()
+        want = brute.shingles(brute.words(t))
+        assert len(own) == len(want)
+        for h, s in zip(own, want, strict=True):
+            assert seen.setdefault(h, s) == s
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_sliced_arrays_are_read_at_their_offset():
+    column = pa.array(["a b", "c d e", None, "f"]).slice(1)
+    assert np.diff(words_of(column).first).tolist() == [3, 0, 1]
+
+
+# --- 1 quality ---------------------------------------------------------------
+
+def test_quality_accuracy_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.1"
+    got = {r.doc_id: r for r in Q.op1(spark, sf).collect()}
+    want = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    held = [i for i in want if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert all(got[i].held_out for i in held) and sum(r.held_out for r in got.values()) == sum(zlib.crc32(str(i).encode()) % 5 == 0 for i in got)
+    assert np.mean([got[i].predicted == want[i] for i in held]) > 0.97
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got.values())
+
+
+def test_quality_edges(spark, edge):
+    assert {s for _, s in by_id(quality_bt.score(edge.where("doc_id < 4"), None), "score")} == {0.0}
+    none = edge.limit(0)
+    assert quality_bt.score(none, None).count() == 0
+    labels = spark.createDataFrame([(4, None), (6, 1), (7, 5)], "doc_id long, quality int")
+    assert quality_bt.fit(edge, labels) is None
+    labels = spark.createDataFrame([(4, 0), (6, 1), (9, 0), (8, 1)], "doc_id long, quality int")
+    assert quality_bt.score(edge, quality_bt.fit(edge, labels)).count() == edge.count()
+
+
+# --- 2 tokens ----------------------------------------------------------------
+
+def test_bpe_equals_tiktoken():
+    ranks = bpe_bitmap.load_ranks(RANKS)
+    own = bpe_bitmap.Encoder(ranks, public_tokenizers.PATTERN)
+    their = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(3)
+    texts = ["", "<|endoftext|>", "a" * 30000, " " * 5000, "the" * 5000, "日本" * 3000]
+    texts += ["".join(rng.choice("abtheéß 日🙂\n1_\x00'sS") for _ in range(rng.randrange(80))) for _ in range(1500)]
+    for t in texts:
+        ids = own.encode(t)
+        assert np.frombuffer(ids, "<u4").tolist() == their.encode_ordinary(t)
+        assert own.decode(ids) == t.encode()
+
+
+def test_bpe_round_trip_on_edges(spark, edge):
+    enc = bpe_bitmap.encode(edge, RANKS, public_tokenizers.PATTERN)
+    back = by_id(bpe_bitmap.decode(enc, RANKS, public_tokenizers.PATTERN), "text")
+    assert back == sorted(((r.doc_id, r.text or "") for r in edge.collect()), key=str)
+    assert bpe_bitmap.encode(edge.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_bpe_query_equals_tiktoken(spark):
+    their = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe_bitmap.load_ranks(RANKS), special_tokens={})
+    texts = {r.doc_id: r.text for r in smoke(spark, "documents").collect()}
+    for r in Q.op2(spark, SMOKE_DIR).collect():
+        ids = np.array(their.encode_ordinary(texts[r.doc_id] or ""), "<u4")
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(ids.tobytes()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest()
+
+
+# --- 3 chat ------------------------------------------------------------------
+
+def test_chat_reads_back_control_strings_and_edges(spark):
+    nasty = ["<|turn|>", "a<|end|>b", "\\", "\\\\<|", "<", "<|text", "</s><s>[INST][/INST]<<SYS>><</SYS>>", "<|>", "|>", "", None, "x\ny", "<|next|>", "é🙂<"]
+    data = [(c, t, role, text, 7) for c in (1, None) for t, (role, text) in enumerate((r, x) for x in nasty for r in ("user", "assistant", "assistant"))]
+    data += [(2, 0, None, "a", 7), (2, None, "assi<|text|>stant", "b", 7), (2, 1, "user", "tie", 7), (2, 1, "user", "tie", 7)]
+    turns = spark.createDataFrame(data, "conv_id long, turn long, role string, text string, t int")
+    chats = chat_format.format_conversations(turns)
+    out = {r.conv_id: r for r in chats.withColumn("turns", chat_format.read_turns(F.col("formatted"))).withColumn("loss", chat_format.loss_text(F.col("formatted"), F.col("loss_spans"))).collect()}
+    for c in (1, 2, None):
+        want = sorted(((t is not None, t or 0), role or "", text or "") for i, t, role, text, _ in data if i == c)
+        assert [(t.role, t.text) for t in out[c].turns] == [w[1:] for w in want]
+        assert out[c].loss == "".join(w[2] for w in want if w[1] == "assistant")
+    assert chat_format.format_conversations(turns.limit(0)).count() == 0
+
+
+# --- 4 embeddings ------------------------------------------------------------
+
+def vectors(spark, sf_dir):
+    return [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
+
+
+def brute_links(data, threshold=0.93):
+    n, pairs = {i: 0 for i, _, _ in data}, []
+    for label in {x[2] for x in data if x[2] is not None}:
+        part = [(i, np.array(v, float)) for i, v, g in data if g == label and v and all(e is not None and np.isfinite(e) for e in v) and any(v)]
+        for k, (a, x) in enumerate(part):
+            for b, y in part[k + 1:]:
+                if len(x) == len(y) and x @ y / np.sqrt((x @ x) * (y @ y)) >= threshold:
+                    pairs.append((a, b))
+                    n[a] += 1
+                    n[b] += 1
+    part = brute.union_find(n, pairs)
+    return {i: (n[i], part[i]) for i in n}
+
+
+def test_embeddings_equal_brute_force(spark):
+    rng = np.random.default_rng(1)
+    data = vectors(spark, SMOKE_DIR)
+    base = rng.standard_normal((30, 64))
+    data += [(1000 + k, (base[k % 30] + rng.standard_normal(64) * rng.uniform(0, 0.3)).tolist(), k % 3 if k % 30 < 20 else 1) for k in range(300)]
+    data += [(2000, None, 1), (2001, [], 1), (2002, [0.0] * 64, 1), (2003, [float("nan")] + [1.0] * 63, 1), (2004, [None] + [1.0] * 63, 1), (2005, [float("inf")] + [1.0] * 63, 1),
+             (2006, base[20].tolist(), None), (2007, base[20][:5].tolist(), 1), (2008, base[20].tolist(), 1), (2009, base[20].tolist(), 1), (2010, (base[20] * 3).tolist(), 1)]
+    df = spark.createDataFrame([(*x, 1) for x in data], "vec_id long, embedding array<double>, label int, node long")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed_collide.near_duplicates(df).collect()}
+    want = brute_links(data)
+    assert len(got) == len(want)
+    assert sum(got[i] != want[i] for i in want) <= 2  # pairs just at the threshold are found with probability RECALL
+    assert embed_collide.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_embedding_blocks_are_compared_across(spark, monkeypatch):
+    monkeypatch.setattr(embed_collide, "BLOCK", 40)
+    rng = np.random.default_rng(2)
+    base = rng.standard_normal((20, 16))
+    data = [(k, (base[k % 20] + rng.standard_normal(16) * 0.02).tolist(), 0) for k in range(200)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>, label int")
+    assert {r.vec_id: (r.n_links, r.component_id) for r in embed_collide.near_duplicates(df).collect()} == brute_links(data)
+
+
+# --- 5 near-duplicates -------------------------------------------------------
+
+def test_near_duplicates_equal_brute_force(spark):
+    docs = [(r.doc_id, r.text) for r in smoke(spark, "documents").collect()]
+    want = brute.near_duplicates(docs)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in Q.op5(spark, SMOKE_DIR).collect()}
+    assert got == want
+
+
+def test_chains_of_near_copies_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(superminhash, "OUTSIDERS", 3)
+    monkeypatch.setattr(superminhash, "STREAM", 10)
+    rng = random.Random(4)
+    docs, word = [], lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    for family in range(3):
+        text = [word() for _ in range(120)]
+        for k in range(60):
+            own = list(text)
+            for _ in range(rng.randrange(7)):
+                own[rng.randrange(120)] = word()
+            docs.append((family * 100 + k, " ".join(own)))
+            if k % 10 == 0:
+                text = own
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in superminhash.near_duplicates(df).collect()}
+    assert got == brute.near_duplicates(docs)
+
+
+def test_near_duplicate_edges(spark, edge):
+    out = by_id(superminhash.near_duplicates(edge), "n_shingles", "component_id", "kept")
+    assert (1, 0, 1, True) in out and (2, 0, 2, True) in out and (3, 0, 3, True) in out
+    assert (4, 1, 4, True) in out and (5, 1, 4, False) in out
+    assert [r[2:] for r in out if r[0] in (6, 7, 8)] == [(6, True), (6, False), (6, False)]
+    assert [r[2:] for r in out if r[0] is None] == [(None, True)] * 2
+    assert superminhash.near_duplicates(edge.limit(0)).count() == 0
+    kept = superminhash.keep_one(edge)
+    assert kept.columns == edge.columns and {r.doc_id for r in kept.collect()} == {1, 2, 3, 4, 6, 9, 10, 11, 15, None}  # 13 shares 7 of its 8 shingles
+
+
+def test_signature_estimates_the_similarity():
+    rng = np.random.default_rng(5)
+    pool = rng.integers(0, 2**63, 3000).astype(np.uint64)
+    for n in (10, 60, 300, 1500):
+        a, b = np.unique(pool[:n]), np.unique(pool[n // 5:n + n // 5])
+        truth = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+        shares = [np.mean(superminhash.signature(a + s) == superminhash.signature(b + s)) for s in rng.integers(0, 2**62, 20).astype(np.uint64)]
+        assert abs(np.mean(shares) - truth) < 0.03
+
+
+def test_components_of_long_chains_and_stars(spark):
+    pairs = [(k, k + 1) for k in range(0, 60)] + [(100, 100 + k) for k in range(1, 40)] + [(205, 203), (203, 204), (7, 7)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == {**{k: 0 for k in range(61)}, **{100 + k: 100 for k in range(40)}, 203: 203, 204: 203, 205: 203}
+
+
+# --- 6 secrets ---------------------------------------------------------------
+
+def test_secret_base_spans_equal_brute_force(spark):
+    rng = random.Random(6)
+    bits = ["password", "Secret", "token", "API_KEY", "apikey", "=", ":", " ", '"', "'", "abc", "abcdef123", "AKIA", "ABCDEFGH12345678", "deadbeef", "0123456789abcdef", "é", "🙂", "\n", "_", "."]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(25))) for _ in range(800)] + ["", None, "a" * 50000, "token=" * 300, "secret=token: abcdefgh"]
+    df = spark.createDataFrame([(k, t, 1) for k, t in enumerate(texts)], "doc_id long, text string, base int")
+    found = secrets_markov.base_spans(df).collect()
+    for r in found:
+        assert [(s.kind, s.start, s.stop) for s in r.base] == brute.secret_spans(texts[r.doc_id])
+    assert len(found) == len(texts)
+    assert secrets_markov.scan(df.limit(0)).count() == 0
+
+
+def test_markov_models_tell_random_strings_from_identifiers(spark):
+    rng = random.Random(7)
+    rand = lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+    words = "the_user_name get_value compute_total parse_header stream_reader table_index window_size average_speed connection_count".split()
+    docs = [(k, f"{rng.choice(words)} token = {rand(40)} {rng.choice(words)}") for k in range(150)]
+    docs += [(1000 + k, " ".join(rng.choice(words) for _ in range(30))) for k in range(150)]
+    plain = "average_connection_total_count2"
+    secret = rand(36) + "7x"
+    docs.append((5000, f"see {secret} and {plain} end"))
+    out = {r.doc_id: r for r in secrets_markov.digests(secrets_markov.scan(spark.createDataFrame(docs, "doc_id long, text string"))).collect()}
+    assert out[5000].spans == f"markov:4:{4 + len(secret)}"
+    assert all("markov" not in out[k].spans and out[k].n_assign == 1 for k in range(150))
+
+
+# --- 7 personal data ---------------------------------------------------------
+
+def test_pii_base_spans_equal_brute_force():
+    rng = random.Random(8)
+    bits = ["1", "23", "@", ".", "a", "b.c", " ", "-", "+", "(", ")", "255", "256", "0000255", "4111111111111111", "_", "%", "é", "\n"]
+    for _ in range(6000):
+        s = "".join(rng.choice(bits) for _ in range(rng.randrange(16)))
+        assert pii_bilstm.base_spans(s) == brute.pii_spans(s)
+    for s in ("", None, "1" * 20000, "a" * 100000 + "@", "1.2.3.4.5.6.7.8", "a@b.c_d@e.f"):
+        assert pii_bilstm.base_spans(s) == brute.pii_spans(s)
+
+
+def test_pii_net_gradient_and_scan(spark):
+    texts = [r.text for r in smoke(spark, "documents").collect()]
+    x = np.concatenate([pii_bilstm.windows_of(c := pii_bilstm.classes_of(t), pii_bilstm.window_starts(c)) for t in texts[:60]])[:4].T.astype(int)
+    net, y = pii_bilstm.Net(), (x % pii_bilstm.TAGS).astype(int)
+    _, grad = net.step(x, y)
+    for k, at in (("xf", (x[0, 0], 5)), ("hb", (3, 7)), ("out", (2, 3)), ("trans", (0, 1))):
+        e = 1e-5
+        net.p[k][at] += e
+        up = net.step(x, y)[0]
+        net.p[k][at] -= 2 * e
+        assert abs((up - net.step(x, y)[0]) / 2 / e - grad[k][at]) < 1e-4
+        net.p[k][at] += e
+    held = {r.doc_id: r.text for r in smoke(spark, "documents").collect()}
+    for r in Q.op7(spark, SMOKE_DIR).collect():
+        want = ",".join(f"{k}:{a}:{b}" for k, a, b in brute.pii_spans(held[r.doc_id]))
+        assert r.base_sha256 == hashlib.sha256(want.encode()).hexdigest()
+        assert set(filter(None, want.split(","))) <= set(r.spans.split(","))
+
+
+def test_pii_edges(spark, edge):
+    out = pii_bilstm.scan(edge)
+    assert out.count() == edge.count() and all(not r.spans for r in out.collect())
+    assert pii_bilstm.scan(edge.limit(0)).count() == 0
+
+
+# --- 8 language --------------------------------------------------------------
+
+def test_language_accuracy_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.01"
+    langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    held = [r for r in Q.op8(spark, sf).collect() if r.held_out]
+    assert {r.doc_id for r in held} == {i for i in langs if zlib.crc32(str(i).encode()) % 4 == 2}
+    assert np.mean([r.lang_pred == langs[r.doc_id] for r in held]) > 0.95
+
+
+def test_language_edges(spark, edge):
+    out = {r.doc_id: r for r in langid_svm.predict(edge, langid_svm.fit(edge)).collect()}
+    assert [out[k].lang_pred for k in (1, 2, 3, 9)] == ["und"] * 4 and out[4].lang_pred == "en"
+    assert langid_svm.fit(edge.limit(0)) is None and langid_svm.predict(edge.limit(0), None).count() == 0
+    assert {r.lang_pred for r in langid_svm.predict(edge, None).collect()} == {"und"}
+
+
+# --- 9 lines -----------------------------------------------------------------
+
+def test_line_dedup_edges_and_pipeline_form(spark, edge):
+    out = by_id(line_cuckoo.dedup_digests(edge), "n_lines", "n_dropped")
+    assert out == sorted([(1, 1, 0), (2, 1, 0), (3, 2, 0), (4, 1, 0), (5, 1, 0), (6, 1, 0), (7, 1, 0), (8, 1, 0), (None, 1, 0), (9, 1, 0),
+                          (10, 2, 2), (11, 1, 1), (12, 1, 1), (13, 2, 1), (14, 1, 0), (14, 1, 0), (None, 1, 0), (15, 1, 0)], key=str)
+    assert line_cuckoo.dedup_digests(edge.limit(0)).count() == 0
+    whole = line_cuckoo.dedup_lines(edge)
+    assert whole.schema.names == edge.schema.names
+    texts = {r.doc_id: (r.text, r.n_chars, r.label) for r in whole.collect() if r.doc_id}
+    assert texts[13] == ("x", 1, 3) and texts[10] == ("", 0, 3) and texts[1] == (None, None, 3)
+
+
+def test_line_index_insert_and_delete_are_inverse(spark):
+    docs = smoke(spark, "documents").select("doc_id", "text")
+    some, rest = docs.where("doc_id % 3 = 0"), docs.where("doc_id % 3 <> 0")
+    whole = line_cuckoo.LineIndex.build(docs)
+    grown = line_cuckoo.LineIndex.build(some).insert(rest)
+    want = by_id(whole.digests(docs), "n_dropped", "kept_sha256")
+    assert by_id(grown.digests(docs), "n_dropped", "kept_sha256") == want and any(r[1] for r in want)
+    back = grown.delete(rest.select("doc_id"))
+    fresh = line_cuckoo.LineIndex.build(some)
+    assert by_id(back.digests(some), "n_dropped", "kept_sha256") == by_id(fresh.digests(some), "n_dropped", "kept_sha256")
+    assert sorted(map(tuple, back.counts.collect())) == sorted(map(tuple, fresh.counts.collect()))
+    assert by_id(line_cuckoo.LineIndex.empty(spark).insert(docs).digests(docs), "n_dropped", "kept_sha256") == want
+
+
+def test_cuckoo_filter_holds_what_was_put_in():
+    rng = np.random.default_rng(9)
+    keys = np.unique(rng.integers(0, 2**63, 20000).astype(np.uint64))
+    held = line_cuckoo.CuckooFilter.of(keys)
+    assert held.contains(keys).all()
+    assert held.contains(rng.integers(2**63, 2**64, 20000, dtype=np.uint64)).mean() < 0.005
+    assert all(held.delete(k) for k in keys[:10000]) and held.contains(keys[10000:]).all()
+    assert held.contains(keys[:10000]).mean() < 0.005
+    assert line_cuckoo.CuckooFilter.load(held.dump()).contains(keys[10000:]).all()
+
+
+# --- 10 decontamination ------------------------------------------------------
+
+def test_decontamination_equals_brute_force(spark):
+    docs = [(r.doc_id, r.text) for r in smoke(spark, "documents").collect()]
+    items = [(r.item_id, r.text) for r in smoke(spark, "benchmark").collect()]
+    rng = random.Random(10)
+    for k in range(80):  # passages with some words changed, inside other text
+        words = items[k % len(items)][1].split()
+        for _ in range(rng.randrange(4)):
+            words[rng.randrange(len(words))] = "changed"
+        docs.append((10_000 + k, docs[k][1] + " " + " ".join(words) + " " + docs[k + 1][1]))
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontam_simhash.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), smoke(spark, "benchmark")).collect()}
+    assert got == brute.contaminated(docs, items) and len(got) > 20
+
+
+def test_decontamination_edges(spark, edge, monkeypatch):
+    items = spark.createDataFrame([(1, None, 0), (2, "", 0), (3, "one two", 0), (4, "two", 0), (5, LINE, 0), (6, LINE, 0), (None, "x y z", 0)], "item_id long, text string, node int")
+    want = [(4, 3), (5, 3), *((d, i) for d in (10, 11, 12, 13, 14, None) for i in (5, 6))]
+    assert sorted(by_id(decontam_simhash.contaminated(edge, items), "item_id"), key=str) == sorted(want, key=str)
+    kept = decontam_simhash.drop_contaminated(edge, items)
+    assert kept.columns == edge.columns and {r.doc_id for r in kept.collect()} == {1, 2, 3, 6, 7, 8, None, 9, 15}
+    assert decontam_simhash.contaminated(edge, items.limit(0)).count() == 0 and decontam_simhash.contaminated(edge.limit(0), items).count() == 0
+    monkeypatch.setattr(decontam_simhash, "SLICE_WORDS", 8)  # several passes
+    assert sorted(by_id(decontam_simhash.contaminated(edge, items), "item_id"), key=str) == sorted(want, key=str)
+
+
+def test_multi_index_finds_every_fingerprint_within_the_radius():
+    rng = np.random.default_rng(11)
+    index = decontam_simhash.Index([(k, " ".join(f"w{k}x{j}" for j in range(20))) for k in range(50)])
+    which, marks, _ = index.sizes[20]
+    for k in range(50):
+        flip = np.zeros(decontam_simhash.BITS, np.uint8)
+        flip[rng.choice(decontam_simhash.BITS, decontam_simhash.RADIUS, replace=False)] = 1
+        w, i = index.lookup(20, (marks[k] ^ np.packbits(flip))[None, :])
+        assert which[k] in i
