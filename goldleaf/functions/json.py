@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from goldleaf.functions.temporal import parse_timestamp
+
 
 def with_json_fields(df: DataFrame, json_col: str,
                      fields: Sequence[tuple[str, str, T.DataType]]) -> DataFrame:
@@ -27,5 +29,8 @@ def with_json_fields(df: DataFrame, json_col: str,
     typed = {}
     for name, field, data_type in fields:
         text = F.col(tmp[field])
-        typed[name] = text if isinstance(data_type, T.StringType) else text.try_cast(data_type)
+        if isinstance(data_type, T.TimestampNTZType):
+            typed[name] = parse_timestamp(text)  # an offset is applied, not dropped
+        else:
+            typed[name] = text if isinstance(data_type, T.StringType) else text.try_cast(data_type)
     return exploded.withColumns(typed).drop(*tmp.values())

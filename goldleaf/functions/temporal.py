@@ -16,9 +16,17 @@ def parse_date(col) -> Column:
     return _c(col).try_cast(T.DateType())
 
 
+_ZONED = r"[0-9]:[0-9]{2}.*(Z|UTC|GMT|[+-][0-9]{1,2}(:?[0-9]{2})?)\s*$"
+
+
 def parse_timestamp(col) -> Column:
-    """Text to a zone-less timestamp (``T`` or blank separator); bad text gives NULL."""
-    return _c(col).try_cast(T.TimestampNTZType())
+    """Text to a zone-less timestamp (``T`` or blank separator); bad text gives NULL.
+
+    A text with a zone or an offset gives its instant in UTC, the session zone.
+    """
+    c = _c(col)
+    zoned = c.try_cast(T.TimestampType()).cast(T.TimestampNTZType())
+    return F.when(c.rlike(_ZONED), zoned).otherwise(c.try_cast(T.TimestampNTZType()))
 
 
 def date_key(col) -> Column:
@@ -40,8 +48,4 @@ def fiscal_year(col, start_month: int = 4) -> Column:
 
 def fiscal_quarter(col, start_month: int = 4) -> Column:
     """Quarter 1..4 counted from ``start_month``."""
-    shifted = (F.month(_c(col)) - start_month + 12) % 12  # 0 = first fiscal month
-    return (F.when(shifted.between(0, 2), F.lit(1))
-             .when(shifted.between(3, 5), F.lit(2))
-             .when(shifted.between(6, 8), F.lit(3))
-             .otherwise(F.lit(4)))
+    return F.quarter(F.add_months(_c(col), 1 - start_month))

@@ -40,9 +40,13 @@ def clean_nulls(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame
 
 
 def drop_required(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Drop rows where any of ``cols`` is NULL."""
-    targets = present(df, cols)
-    return df.dropna(how="any", subset=targets) if targets else df
+    """Drop rows where any of ``cols`` is NULL.
+
+    One predicate for each column, so those on a window's keys move below its shuffle.
+    """
+    for c in present(df, cols):
+        df = df.filter(F.col(c).isNotNull())
+    return df
 
 
 def drop_negative(df: DataFrame, cols: Sequence[str], keep_nulls: bool = False) -> DataFrame:

@@ -45,14 +45,18 @@ def late_dedup(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], ts
     An incoming row is dropped when a stored row with the same ``keys`` has an
     event time within ``lookback`` of it; copies inside the batch collapse to
     one row per (keys, event time).  Only stored rows newer than ``horizon``
-    (default: earliest incoming event time minus ``lookback``) are read, so a
-    date-partitioned target is pruned to the last few days.
+    (default: earliest incoming event time minus ``lookback``) are read; a stored
+    table partitioned by ``year`` and ``month`` of that time is pruned to the
+    folders from the horizon's month on.
     """
     if horizon is None:
-        first = incoming.agg(F.min(ts_col).alias("t")).first()["t"]
+        first = incoming.agg(F.min(ts_col) - F.expr(f"INTERVAL {lookback}")).first()[0]
         if first is None:  # empty batch: nothing to keep
             return incoming.filter(F.lit(False))
-        horizon = F.lit(first) - F.expr(f"INTERVAL {lookback}")
+        horizon = F.lit(first)
+        if {"year", "month"} <= set(existing.columns):
+            year, month = F.col("year").cast("int"), F.col("month").cast("int")
+            existing = existing.filter((year > first.year) | ((year == first.year) & (month >= first.month)))
     span = F.expr(f"INTERVAL {lookback}")
     recent = existing.filter(F.col(ts_col) >= horizon).select(
         *[F.col(k).alias(f"__old_{k}") for k in keys], F.col(ts_col).alias("__old_ts"))

@@ -1,8 +1,8 @@
 """Joins against dimensions: size-checked broadcast, lookups, referential filters.
 
 ``bounded_broadcast`` only hints a broadcast after proving the side is small:
-it counts at most ``max_rows + 1`` rows (``limit`` stops the scan early) and
-multiplies by the schema's row width.  Beyond the budget no hint is given and
+one partial aggregate sums the real bytes of its rows (a number from each
+task).  Beyond the budget no hint is given and
 Catalyst/AQE choose a shuffled join (AQE may still switch to a broadcast at
 run time from real sizes, and splits skewed partitions).
 """
@@ -27,32 +27,24 @@ def _budget(df: DataFrame) -> int:
         return DEFAULT_BROADCAST_BUDGET
 
 
-_FIXED_WIDTH = {
-    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
-    T.LongType: 8, T.FloatType: 4, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
-}
-
-
-def _width(t: T.DataType) -> int:
-    for cls, w in _FIXED_WIDTH.items():
-        if isinstance(t, cls):
-            return w
-    if isinstance(t, T.DecimalType):
-        return 8 if t.precision <= 18 else 16
-    if isinstance(t, T.StructType):
-        return sum(_width(f.dataType) for f in t.fields)
-    return 32  # strings, binary, nested collections: a generous average
-
-
-def estimated_row_bytes(df: DataFrame) -> int:
-    """Rough in-memory width of one row (hash-relation overhead included)."""
-    return 16 + sum(_width(f.dataType) for f in df.schema.fields)
+def row_bytes(df: DataFrame) -> F.Column:
+    """Bytes of one row in a hash relation: real lengths of texts, 16 for any fixed-width value, 16 overhead."""
+    total = F.lit(16)
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            total = total + 16 + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            total = total + 16 + F.coalesce(F.octet_length(F.to_json(F.struct(f.name))), F.lit(0))
+        else:
+            total = total + 16
+    return total
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """Whether the rows' real bytes, summed by a distributed aggregate, stay within the budget."""
     budget = max_bytes if max_bytes is not None else _budget(df)
-    max_rows = max(budget // estimated_row_bytes(df), 1)
-    return df.limit(max_rows + 1).count() <= max_rows
+    size = df.agg(F.sum(row_bytes(df).cast("long")).alias("n")).first()["n"]
+    return (size or 0) <= budget
 
 
 def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:

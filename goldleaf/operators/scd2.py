@@ -11,10 +11,11 @@ Two modes:
 * ``compat`` — every ``I``/``U`` row becomes an active version; each ``U``
   closes the merchant's active rows at (earliest ``U`` valid_from − 1 day).
   Deletes (``D``) are ignored.
-* ``strict`` — per merchant and day only the last change counts; versions of
-  one batch are chained (``valid_to`` = next ``valid_from`` − 1 day) so at most
-  one row per merchant is active and intervals never overlap; a repeated ``I``
-  acts like ``U``.
+* ``strict`` — per merchant and day only the last change of a batch counts; a
+  merchant's stored and new versions are chained by ``valid_from``
+  (``valid_to`` = next ``valid_from`` − 1 day), so at most one row per merchant
+  is active and intervals never overlap, also when a change arrives late; a
+  repeated ``I`` acts like ``U``.
 """
 
 from __future__ import annotations
@@ -34,7 +35,9 @@ from goldleaf.functions import parse_date
 
 DIM_KEY = "merchant_key"
 DIM_COLUMNS = [DIM_KEY] + [c for c in MERCHANT_STAGE_COLUMNS if c not in ("cdc_op", "cdc_timestamp")]
+# a total order: the remaining columns break ties, so tied rows get the same keys in every run
 VERSION_ORDER = ["merchant_id", "valid_from", "cdc_timestamp", "updated_at"]
+VERSION_ORDER += [c for c in MERCHANT_STAGE_COLUMNS if c not in VERSION_ORDER]
 _DATE_KEY_COLUMNS = ["onboarding_date", "contract_start_date", "contract_end_date"]
 
 
@@ -101,15 +104,43 @@ def scd2_insert(stage: DataFrame, start_key: int = 1, mode: str = "compat") -> D
     return keyed.select(*DIM_COLUMNS)
 
 
+def rejected_versions(stage: DataFrame) -> DataFrame:
+    """Changes without a valid_from: no interval can hold them, and the table's NOT NULL refuses them."""
+    return stage.filter(F.col("cdc_op").isin("I", "U") & F.col("valid_from").isNull())
+
+
+def _chained(dim: DataFrame, inserted: DataFrame) -> DataFrame:
+    """Strict: the merchants of the batch with their stored versions, as one chain each by valid_from.
+
+    So a change that is older than the current version takes its place in the past.
+    Versions whose interval changes take the successor's updated_at.
+    """
+    both = dim.withColumn("__new", F.lit(0)).unionByName(inserted.withColumn("__new", F.lit(1)))
+    w = Window.partitionBy("merchant_id").orderBy("valid_from", "__new", DIM_KEY)
+    nxt = F.lead(F.struct("valid_from", "updated_at")).over(w)
+    moved = ~F.col("valid_to").eqNullSafe(F.col("__to")) | (F.col("is_active") != F.col("__on"))
+    return both.withColumn("__next", nxt).withColumns({
+        "__to": F.coalesce(F.date_sub(F.col("__next.valid_from"), 1), F.lit(OPEN_END_DATE).cast(T.DateType())),
+        "__on": F.col("__next").isNull(),
+    }).withColumns({
+        "updated_at": F.when((F.col("__new") == 0) & moved & F.col("__next").isNotNull(), F.col("__next.updated_at")).otherwise(F.col("updated_at")),
+        "valid_to": F.col("__to"), "is_active": F.col("__on"),
+    }).select(*DIM_COLUMNS)
+
+
 def scd2_apply(dim: DataFrame | None, stage: DataFrame, mode: str = "compat") -> DataFrame:
-    """Next snapshot of the dimension after one staged CDC batch."""
+    """Next snapshot of the dimension after one staged CDC batch (rejected_versions() left out)."""
     if mode not in ("compat", "strict"):
         raise ValueError("mode must be 'compat' or 'strict'")
+    stage = stage.filter(F.col("valid_from").isNotNull())
     if dim is None:
         return scd2_insert(stage, 1, mode)
-    expired = scd2_expire(dim, stage, mode)
     inserted = scd2_insert(stage, next_key(dim, DIM_KEY), mode)
-    return expired.select(*DIM_COLUMNS).unionByName(inserted)
+    if mode == "compat":
+        return scd2_expire(dim, stage, mode).select(*DIM_COLUMNS).unionByName(inserted)
+    ids = inserted.select("merchant_id").distinct()
+    dim = dim.select(*DIM_COLUMNS)
+    return dim.join(ids, "merchant_id", "left_anti").select(*DIM_COLUMNS).unionByName(_chained(dim.join(ids, "merchant_id", "left_semi"), inserted))
 
 
 def active_members(dim: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from goldleaf.operators.quality import contract_report
 from goldleaf.operators.calendar import build_dim_date
 from goldleaf.operators.fact import derive_fact_columns
 from goldleaf.operators.joins import lookup_key, null_safe_lookup, semi_join_known
-from goldleaf.operators.keys import next_key
+from goldleaf.operators.keys import extend_junk_dimension, next_key
 from goldleaf.operators.load import insert_absent
 from goldleaf.operators.scd2 import active_members, scd2_apply, scd2_expire, scd2_insert, stage_merchants
 from goldleaf.plans import gold as G
@@ -276,7 +276,7 @@ def scd2_strict(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 _DERIVED = _TXN_CTES + O.derived_ctes()
-_FACT = O.fact_ctes("compat", G.JUNK_HISTORY_END)
+_FACT = O.fact_ctes("compat")
 
 
 def derived_t(spark, sf_dir) -> DataFrame:
@@ -313,14 +313,41 @@ def fact_derive(spark, sf_dir):
 
 @register("junk_payment", O.with_(_FACT, "SELECT * FROM junk_p"))
 def junk_payment_q(spark, sf_dir):
-    """Payment-context junk dimension from the first half-year's combinations."""
-    return G.junk_payment(derived_t(spark, sf_dir), G.JUNK_HISTORY_END)
+    """Payment-context junk dimension from every combination seen."""
+    return G.junk_payment(derived_t(spark, sf_dir))
 
 
 @register("junk_card", O.with_(_FACT, "SELECT * FROM junk_c"))
 def junk_card_q(spark, sf_dir):
-    """card/device junk dimension from the first half-year's combinations."""
-    return G.junk_card(derived_t(spark, sf_dir), G.JUNK_HISTORY_END)
+    """card/device junk dimension from every combination seen."""
+    return G.junk_card(derived_t(spark, sf_dir))
+
+
+_JUNK_TWO = _DERIVED + [
+    ("first_d", f"SELECT * FROM derived WHERE transaction_timestamp < TIMESTAMP '{FIRST_DROP_END}'"),
+    ("junk_1", O.junk_sql(C.PAYMENT_JUNK_ATTRS, C.PAYMENT_JUNK_KEY, "first_d")),
+]
+
+
+@register("junk_lookup_two_deliveries", O.with_(_JUNK_TWO,
+    f"SELECT d.transaction_id, coalesce(j.{C.PAYMENT_JUNK_KEY}, -1) AS {C.PAYMENT_JUNK_KEY} "
+    f"FROM derived d LEFT JOIN junk_1 j ON {O.null_safe(C.PAYMENT_JUNK_ATTRS, 'd', 'j')}"))
+def junk_lookup_two_deliveries(spark, sf_dir):
+    """The dimension holds the first delivery only; combinations that are new in the second get -1."""
+    d = derived_t(spark, sf_dir)
+    out = null_safe_lookup(d, G.junk_payment(_first_drop(d)), C.PAYMENT_JUNK_ATTRS, C.PAYMENT_JUNK_KEY, default=C.UNKNOWN_MEMBER_KEY)
+    return out.select("transaction_id", C.PAYMENT_JUNK_KEY)
+
+
+@register("junk_extend", O.with_(_JUNK_TWO + [
+    ("fresh", f"SELECT DISTINCT {', '.join(C.PAYMENT_JUNK_ATTRS)} FROM derived d WHERE NOT EXISTS "
+              f"(SELECT 1 FROM junk_1 j WHERE {O.null_safe(C.PAYMENT_JUNK_ATTRS, 'd', 'j')})")],
+    f"SELECT * FROM junk_1 UNION ALL SELECT CAST((SELECT coalesce(max({C.PAYMENT_JUNK_KEY}), 0) FROM junk_1) + row_number() OVER "
+    f"(ORDER BY {', '.join(a + ' ASC NULLS FIRST' for a in C.PAYMENT_JUNK_ATTRS)}) AS INTEGER), {', '.join(C.PAYMENT_JUNK_ATTRS)} FROM fresh"))
+def junk_extend(spark, sf_dir):
+    """The second delivery adds its new combinations after the first's; keys given before stay."""
+    d = derived_t(spark, sf_dir)
+    return extend_junk_dimension(G.junk_payment(_first_drop(d)), d, C.PAYMENT_JUNK_ATTRS, C.PAYMENT_JUNK_KEY)
 
 
 @register("lookup_merchant", O.with_(_FACT, "SELECT transaction_id, merchant_id, merchant_key FROM fm_compat"))
@@ -341,7 +368,7 @@ _CJ = ", ".join(C.CARD_JUNK_ATTRS)
 def lookup_payment_junk(spark, sf_dir):
     """J3 + F12 + D6 + S6b: null-safe 5-key lookup, misses -> -1."""
     d = derived_t(spark, sf_dir)
-    out = null_safe_lookup(d, G.junk_payment(d, G.JUNK_HISTORY_END), C.PAYMENT_JUNK_ATTRS, C.PAYMENT_JUNK_KEY,
+    out = null_safe_lookup(d, G.junk_payment(d), C.PAYMENT_JUNK_ATTRS, C.PAYMENT_JUNK_KEY,
                            default=C.UNKNOWN_MEMBER_KEY)
     return out.select("transaction_id", *C.PAYMENT_JUNK_ATTRS, C.PAYMENT_JUNK_KEY)
 
@@ -352,7 +379,7 @@ def lookup_payment_junk(spark, sf_dir):
 def lookup_card_junk(spark, sf_dir):
     """J4 + F12 + D6 + S6c: null-safe 4-key lookup, misses -> -1."""
     d = derived_t(spark, sf_dir)
-    out = null_safe_lookup(d, G.junk_card(d, G.JUNK_HISTORY_END), C.CARD_JUNK_ATTRS, C.CARD_JUNK_KEY, default=C.UNKNOWN_MEMBER_KEY)
+    out = null_safe_lookup(d, G.junk_card(d), C.CARD_JUNK_ATTRS, C.CARD_JUNK_KEY, default=C.UNKNOWN_MEMBER_KEY)
     return out.select("transaction_id", *C.CARD_JUNK_ATTRS, C.CARD_JUNK_KEY)
 
 

@@ -8,61 +8,43 @@ catalogue and the tests.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from goldleaf import contracts as C
 from goldleaf.operators.calendar import build_dim_date
 from goldleaf.operators.fact import build_fact, derive_fact_columns
-from goldleaf.operators.keys import build_junk_dimension, extend_junk_dimension
+from goldleaf.operators.keys import build_junk_dimension, extend_junk_dimension, next_key
 from goldleaf.operators.load import incremental_load, insert_absent
 from goldleaf.operators.quality import contract_report
-from goldleaf.operators.scd2 import scd2_apply, stage_merchants
+from goldleaf.operators.scd2 import rejected_versions, scd2_apply, stage_merchants
 from goldleaf.sources import warehouse as W
 from goldleaf.sources.files import read_parquet, write_clustered_fact, write_snapshot
+from goldleaf.sources.state import BATCH, complete_batches, read_batches, write_state
 
 # Order that makes fact keys deterministic.  It starts with the fact's physical
 # clustering (year, month, date key, merchant), so the range shuffle that orders
 # the keys also lays out the files: no second shuffle before the write.
 FACT_LAYOUT = ["year", "month", "transaction_date_key", "merchant_key"]
 FACT_KEY_ORDER = FACT_LAYOUT + [c for c in C.FACT_COLUMNS if c not in FACT_LAYOUT]
-# In the query catalogue the junk dimensions are loaded from the transactions
-# seen up to this time, so combinations that appear only later fall back to the
-# unknown member (-1).  The jobs build them from everything and extend them.
-JUNK_HISTORY_END = "2020-07-01 00:00:00"
-
-
-def dim_merchant_initial(silver_batch0: DataFrame, mode: str = "compat") -> DataFrame:
-    return scd2_apply(None, stage_merchants(silver_batch0), mode)
-
-
-def dim_merchant_snapshots(silver_batches: list[DataFrame], mode: str = "compat") -> DataFrame:
-    """Apply CDC batches in order, starting from an empty dimension."""
-    dim = None
-    for batch in silver_batches:
-        dim = scd2_apply(dim, stage_merchants(batch), mode)
-    return dim
-
-
-def junk_history(derived: DataFrame, until: str | None = None) -> DataFrame:
-    if until is None:
-        return derived
-    return derived.filter(F.col("transaction_timestamp") < F.lit(until).cast("timestamp_ntz"))
 
 
-def junk_payment(derived: DataFrame, until: str | None = None) -> DataFrame:
-    return build_junk_dimension(junk_history(derived, until), C.PAYMENT_JUNK_ATTRS, C.PAYMENT_JUNK_KEY)
+def junk_payment(derived: DataFrame) -> DataFrame:
+    return build_junk_dimension(derived, C.PAYMENT_JUNK_ATTRS, C.PAYMENT_JUNK_KEY)
 
 
-def junk_card(derived: DataFrame, until: str | None = None) -> DataFrame:
-    return build_junk_dimension(junk_history(derived, until), C.CARD_JUNK_ATTRS, C.CARD_JUNK_KEY)
+def junk_card(derived: DataFrame) -> DataFrame:
+    return build_junk_dimension(derived, C.CARD_JUNK_ATTRS, C.CARD_JUNK_KEY)
 
 
 def fact_from_silver(silver_txn: DataFrame, dim_merchant: DataFrame,
                      jp: DataFrame | None = None, jc: DataFrame | None = None) -> DataFrame:
     derived = derive_fact_columns(silver_txn)
-    jp = jp if jp is not None else junk_payment(derived, JUNK_HISTORY_END)
-    jc = jc if jc is not None else junk_card(derived, JUNK_HISTORY_END)
+    jp = jp if jp is not None else junk_payment(derived)
+    jc = jc if jc is not None else junk_card(derived)
     return build_fact(derived, dim_merchant, jp, jc)
 
 
@@ -78,67 +60,87 @@ def dim_date_for(spark: SparkSession, facts: DataFrame | None = None, ts_col: st
     return build_dim_date(spark, cover=facts, cover_col=ts_col if facts is not None else None)
 
 
+def _narrowed(df: DataFrame, types: dict[str, T.DataType]) -> dict[str, T.DataType]:
+    """Columns of ``df`` that a numeric contract type may cut."""
+    return {c: t for c, t in types.items() if c in df.columns and df.schema[c].dataType != t
+            and isinstance(t, T.NumericType) and isinstance(df.schema[c].dataType, (T.NumericType, T.StringType))}
+
+
+def apply_merchant_changes(spark: SparkSession, changes: DataFrame, root: str, state: dict, mode: str) -> dict:
+    """The next merchant snapshot after one CDC batch; its report and rejected rows beside it."""
+    staged = stage_merchants(changes)
+    dim = read_parquet(spark, state["dim_merchant"]) if state.get("dim_merchant") else None
+    narrowed = _narrowed(changes, C.MERCHANT_STAGE_TYPES)
+    return {
+        "merchant_report": write_snapshot(contract_report(changes, "silver_merchants", narrowing=narrowed), root, "merchant_report"),
+        "rejected_merchants": write_snapshot(rejected_versions(staged), root, "rejected_merchants"),
+        "dim_merchant": write_snapshot(scd2_apply(dim, staged, mode), root, "dim_merchant"),
+    }
+
+
 def run_gold(spark: SparkSession, silver_merchant_batches: list[DataFrame], silver_txn: DataFrame,
              root: str, previous: dict | None = None, mode: str = "compat",
-             scoped_fact_check: bool = False) -> dict:
-    """Build and write every gold table; returns {table: path}.
-
-    ``previous`` holds the paths of the last snapshot ({"dim_merchant": ...,
-    "fact_transactions": ..., "dim_date": ...}) and the next free fact key;
-    new snapshots never overwrite them.  ``scoped_fact_check`` limits the
-    NOT EXISTS check to the year/month folders of the batch.
+             scoped_fact_check: bool = False, batch: str | None = None) -> dict:
+    """Build and write every gold table; returns the new state {table: path}.
+
+    ``previous`` is the state of the last run.  Dimensions are new snapshots; the fact
+    and the calendar grow by a folder ``batch=<batch>``, written in overwrite mode and
+    compared with every other complete batch found below the table's path.  A run that
+    broke off anywhere can be repeated: the same ``batch`` replaces its own folders, and
+    a later one finds the rows that are there.  The dimensions' paths are saved before
+    the fact is written, so a repeated run gives its rows the same keys.
+    ``scoped_fact_check`` limits the NOT EXISTS check to the batch's year/month folders.
     """
-    previous = {k: v for k, v in (previous or {}).items() if v is not None}
-    out = {}
-    dim = read_parquet(spark, previous["dim_merchant"]) if "dim_merchant" in previous else None
-    for batch in silver_merchant_batches:
-        dim = scd2_apply(dim, stage_merchants(batch), mode)
-    if dim is None:
+    root = root.rstrip("/")
+    out = {k: v for k, v in (previous or {}).items() if v is not None}
+    for changes in silver_merchant_batches:
+        out |= apply_merchant_changes(spark, changes, root, out, mode)
+    if "dim_merchant" not in out:
         raise ValueError("no merchant dimension: give merchant batches or a previous snapshot")
-    if silver_merchant_batches:
-        out["dim_merchant"] = write_snapshot(dim, root, "dim_merchant")
-    else:
-        out["dim_merchant"] = previous["dim_merchant"]
     dim = read_parquet(spark, out["dim_merchant"])
+    out |= {t: out.get(t) or f"{root}/{t}" for t in ("fact_transactions", "dim_date")}
+    batch = batch or f"r{len(complete_batches(spark, out['dim_date'])):06d}"
 
     derived = derive_fact_columns(silver_txn)
     # junk dimensions keep their keys across runs: built once, then extended with
     # the combinations first seen in this batch (keyed after the maximum)
     for table, attrs, key in (("junk_dim_payment_context", C.PAYMENT_JUNK_ATTRS, C.PAYMENT_JUNK_KEY),
                               ("junk_dim_card_device", C.CARD_JUNK_ATTRS, C.CARD_JUNK_KEY)):
-        if table in previous:
-            dim_j = extend_junk_dimension(read_parquet(spark, previous[table]), derived, attrs, key)
+        if table in out:
+            dim_j = extend_junk_dimension(read_parquet(spark, out[table]), derived, attrs, key)
         else:
             dim_j = build_junk_dimension(derived, attrs, key)
         out[table] = write_snapshot(dim_j, root, table)
+    write_state(spark, root, out)
+
     staged = build_fact(derived, W.active_merchant_keys(spark, out["dim_merchant"]),
                         W.payment_junk(spark, out["junk_dim_payment_context"]),
                         W.card_junk(spark, out["junk_dim_card_device"]), current_only=False)
     out["stg_fact_transactions"] = write_snapshot(staged, root, "stg_fact_transactions")
     staged = read_parquet(spark, out["stg_fact_transactions"])
     # contract report before the load (NOT NULL, widths, narrowing), one pass per table
-    report = contract_report(staged, "stg_fact_transactions", [c for c in C.NOT_NULL["fact_transactions"]
-                                                                if c != "transaction_key"],
-                             C.VARCHAR_WIDTHS["fact_transactions"]).unionByName(
-        contract_report(dim, "dim_merchant", C.NOT_NULL["dim_merchant"], C.VARCHAR_WIDTHS["dim_merchant"],
-                        primary_key=C.PRIMARY_KEYS["dim_merchant"]))
+    required = [c for c in C.NOT_NULL["fact_transactions"] if c != "transaction_key"]
+    narrowed = _narrowed(silver_txn, C.FACT_TYPES)
+    report = (contract_report(staged, "stg_fact_transactions", required, C.VARCHAR_WIDTHS["fact_transactions"])
+              .unionByName(contract_report(dim, "dim_merchant", C.NOT_NULL["dim_merchant"], C.VARCHAR_WIDTHS["dim_merchant"],
+                                           primary_key=C.PRIMARY_KEYS["dim_merchant"]))
+              .unionByName(contract_report(silver_txn, "silver_transactions", narrowing=narrowed)))
     out["contract_report"] = write_snapshot(report, root, "contract_report")
-
-    target = read_parquet(spark, previous["fact_transactions"]) if "fact_transactions" in previous else None
-    start = previous.get("fact_next_key")
-    new_rows = load_fact(staged, target, start=start, scope=["year", "month"] if scoped_fact_check else None)
-    # the next free key is carried in the state, so later runs never scan the key column
-    top = new_rows.agg(F.max("transaction_key").alias("m")).first()["m"]
-    out["fact_next_key"] = int(top) + 1 if top is not None else (start or (1 if target is None else None))
-    fact_path = previous.get("fact_transactions") or f"{root.rstrip('/')}/fact_transactions"
-    write_clustered_fact(new_rows, fact_path, mode="append", presorted=True)
-    out["fact_transactions"] = fact_path
+    # rows that the warehouse would refuse are set aside, not loaded
+    breach = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in required])
+    out["rejected_transactions"] = write_snapshot(staged.filter(breach), root, "rejected_transactions")
+
+    target = read_batches(spark, out["fact_transactions"], but=batch)
+    start = out.get("fact_batch_start") if out.get("fact_batch") == batch else out.get("fact_next_key")
+    new_rows = load_fact(staged.filter(~breach), target, start=start, scope=["year", "month"] if scoped_fact_check else None)
+    write_clustered_fact(new_rows, f"{out['fact_transactions']}/{BATCH}={batch}", mode="overwrite", presorted=True)
+    # the next free key is carried in the state, so later runs never scan the whole key column
+    loaded = read_batches(spark, out["fact_transactions"])
+    out |= {"fact_batch": batch, "fact_batch_start": start, "fact_next_key": next_key(loaded, "transaction_key", hint=start) if loaded is not None else start}
 
     calendar = dim_date_for(spark, staged)
-    if "dim_date" in previous:
-        # materialise the (few) absent dates before appending to the table they were checked against
-        calendar = insert_absent(calendar, read_parquet(spark, previous["dim_date"]), "date_key").checkpoint()
-    date_path = previous.get("dim_date") or f"{root.rstrip('/')}/dim_date"
-    calendar.write.mode("append").parquet(date_path)
-    out["dim_date"] = date_path
+    have = read_batches(spark, out["dim_date"], but=batch)
+    calendar = calendar if have is None else insert_absent(calendar, have, "date_key")
+    calendar.write.mode("overwrite").parquet(f"{out['dim_date']}/{BATCH}={batch}")
+    write_state(spark, root, out)
     return out

@@ -338,18 +338,18 @@ def derived_ctes(src: str = "silver_t", suffix: str = "") -> list[tuple[str, str
             (f"derived{s}", f"SELECT * EXCLUDE ({', '.join(C.FACT_RENAMES)}), {renames} FROM dd{s}")]
 
 
-def junk_sql(attrs, key: str, src: str, until: str) -> str:
+def junk_sql(attrs, key: str, src: str) -> str:
     order = ", ".join(f"{a} ASC NULLS FIRST" for a in attrs)
     cols = ", ".join(attrs)
     return (f"SELECT CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS {key}, {cols} FROM "
-            f"(SELECT DISTINCT {cols} FROM {src} WHERE transaction_timestamp < TIMESTAMP '{until}')")
+            f"(SELECT DISTINCT {cols} FROM {src})")
 
 
 def null_safe(attrs, left: str, right: str) -> str:
     return " AND ".join(f"{left}.{a} IS NOT DISTINCT FROM {right}.{a}" for a in attrs)
 
 
-def fact_ctes(mode: str = "compat", until: str = "2020-07-01 00:00:00") -> list[tuple[str, str]]:
+def fact_ctes(mode: str = "compat") -> list[tuple[str, str]]:
     m = mode
     fact_sel = []
     for c in C.FACT_COLUMNS:
@@ -364,8 +364,8 @@ def fact_ctes(mode: str = "compat", until: str = "2020-07-01 00:00:00") -> list[
             fact_sel.append(c)
     pj, cj = C.PAYMENT_JUNK_ATTRS, C.CARD_JUNK_ATTRS
     return (merchant_ctes() + transaction_ctes() + derived_ctes() + scd2_ctes(mode) + [
-        ("junk_p", junk_sql(pj, C.PAYMENT_JUNK_KEY, "derived", until)),
-        ("junk_c", junk_sql(cj, C.CARD_JUNK_KEY, "derived", until)),
+        ("junk_p", junk_sql(pj, C.PAYMENT_JUNK_KEY, "derived")),
+        ("junk_c", junk_sql(cj, C.CARD_JUNK_KEY, "derived")),
         (f"fm_{m}", f"SELECT d.*, a.merchant_key FROM derived d JOIN (SELECT merchant_id, merchant_key "
                     f"FROM dim1_{m} WHERE is_active) a USING (merchant_id)"),
         (f"fp_{m}", f"SELECT f.*, coalesce(j.{C.PAYMENT_JUNK_KEY}, -1) AS {C.PAYMENT_JUNK_KEY} FROM fm_{m} f "

@@ -105,7 +105,8 @@ def write_clustered_fact(df: DataFrame, path: str, mode: str = "append", presort
     """
     keys, order = ["year", "month"], ["transaction_date_key", "merchant_key"]
     if presorted:
-        df.sortWithinPartitions(*keys, *order).write.mode(mode).partitionBy(*keys).parquet(path)
+        (df.sortWithinPartitions(*keys, *order).write.mode(mode)
+         .option("partitionOverwriteMode", "static").partitionBy(*keys).parquet(path))
     else:
         write_partitioned(df, path, keys, mode, sort_by=order)
 

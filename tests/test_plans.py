@@ -48,7 +48,7 @@ def test_junk_lookups_keep_the_row_count(spark):
     n = derived.count()
     for build, attrs, key in ((G.junk_payment, C.PAYMENT_JUNK_ATTRS, C.PAYMENT_JUNK_KEY),
                               (G.junk_card, C.CARD_JUNK_ATTRS, C.CARD_JUNK_KEY)):
-        dim = build(derived, G.JUNK_HISTORY_END)
+        dim = build(derived)
         assert dim.select(key).distinct().count() == dim.count()
         out = null_safe_lookup(derived, dim, attrs, key, default=C.UNKNOWN_MEMBER_KEY)
         assert out.count() == n and out.filter(out[key].isNull()).count() == 0
