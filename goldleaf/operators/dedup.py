@@ -29,7 +29,7 @@ def dedup_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None
     """
     if not order:
         # the keys are constant inside a group: ordering by them would add work, not meaning
-        order = order_desc([c for c in df.columns if c not in set(keys)])
+        order = order_desc([c for c in df.columns if c not in set(keys)] or keys[:1])
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 

@@ -26,6 +26,7 @@ from goldleaf.plans import silver as S
 from goldleaf.session import scratch_path
 from goldleaf.sources import files as IO
 from goldleaf.sources import fixtures as FX
+from goldleaf.sources.state import read_batches
 from goldleaf.streaming import ingest as ING
 from goldleaf.streaming.late import partition_scoped_merge
 
@@ -428,6 +429,22 @@ def fact_reload_idempotent(spark, sf_dir):
     return target.unionByName(again)
 
 
+@register("fact_replay_after_crash", O.with_(O.fact_ctes("strict") + [("fk", O.keyed("fact_strict", "transaction_key", O.FACT_ORDER))],
+                                             "SELECT transaction_key, transaction_id, merchant_key, transaction_date_key FROM fk"))
+def fact_replay_after_crash(spark, sf_dir):
+    """T1 + D7 + J6 + S12: a gold run that breaks off after its fact write is repeated; rows and keys are those of one run."""
+    root = scratch_path(spark, "gold-replay")
+    silver_m(spark, sf_dir, 0).write.parquet(f"{root}/silver/m0")
+    silver_m(spark, sf_dir, 1).write.parquet(f"{root}/silver/m1")
+    txn = silver_t(spark, sf_dir, materialise=True)
+    merchants = [spark.read.parquet(f"{root}/silver/m{k}") for k in (0, 1)]
+    state = G.run_gold(spark, merchants, txn, f"{root}/gold", mode="strict", batch="s000000")
+    # the crash: the fact folder is there, the batch's final state is not
+    before = {k: v for k, v in state.items() if not k.startswith("fact_") or k == "fact_transactions"}
+    again = G.run_gold(spark, [], txn, f"{root}/gold", previous=before, mode="strict", batch="s000000")
+    return read_batches(spark, again["fact_transactions"]).select("transaction_key", "transaction_id", "merchant_key", "transaction_date_key")
+
+
 # ---------------------------------------------------------------------------
 # sources and sinks (written below the shared checkpoint folder)
 # ---------------------------------------------------------------------------
@@ -443,6 +460,34 @@ def csv_scan_recursive(spark, sf_dir):
     return IO.read_raw_csv(spark, root, C.RAW_MERCHANT_SCHEMA)
 
 
+def _drops_with_own_headers(spark, sf_dir) -> str:
+    """The merchant extract as two drops: columns in order, and reversed without an optional column."""
+    raw = raw_m(spark, sf_dir)
+    root = scratch_path(spark, "raw-merchants-headers")
+    IO.write_raw_csv(FX.merchant_batch(raw, 0), f"{root}/initial")
+    update = FX.merchant_batch(raw, 1)
+    IO.write_raw_csv(update.select(*[c for c in reversed(update.columns) if c != "timezone"]), f"{root}/updates/2024-06-01")
+    return root
+
+
+_HEADERS_SQL = O.with_([O.RAW_M], "SELECT * REPLACE (CASE WHEN cdc_timestamp = '2024-06-01 00:00:00' THEN NULL ELSE timezone END AS timezone) FROM raw_m")
+
+
+@register("csv_header_order", _HEADERS_SQL)
+def csv_header_order(spark, sf_dir):
+    """S1 + S2: nested files with other column orders and a missing column are read by their headers."""
+    return IO.read_raw_csv(spark, _drops_with_own_headers(spark, sf_dir), C.RAW_MERCHANT_SCHEMA)
+
+
+@register("csv_header_order_stream", _HEADERS_SQL)
+def csv_header_order_stream(spark, sf_dir):
+    """S1 + T1: the same files through the checkpointed file stream."""
+    root = _drops_with_own_headers(spark, sf_dir)
+    out = scratch_path(spark, "raw-merchants-streamed")
+    ING.ingest_available(ING.file_stream(spark, root), ING.csv_rows(spark, C.RAW_MERCHANT_SCHEMA), f"{out}/rows", f"{out}/_checkpoint")
+    return ING.read_ingested(spark, f"{out}/rows")
+
+
 @register("empty_guard", O.with_([O.RAW_M, O.RAW_T],
                                   "SELECT 'merchants' AS source, count(*) AS row_count, count(*) = 0 AS skipped FROM raw_m "
                                   "UNION ALL SELECT 'transactions', count(*), count(*) = 0 FROM raw_t"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -24,20 +25,63 @@ CSV_WRITE_OPTIONS = {
 }
 
 
-def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
+def csv_files(spark: SparkSession, path: str) -> list[str]:
+    """Data files below ``path`` (or ``path`` itself), by name."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, files = fs.listFiles(at, True), []
+    while found.hasNext():
+        status = found.next()
+        name = status.getPath().getName()
+        if status.getLen() and not name.startswith(("_", ".")):
+            files.append(status.getPath().toString())
+    return sorted(files)
+
+
+def csv_header(spark: SparkSession, file: str) -> tuple[str, ...]:
+    """Column names of one file, from its first line."""
+    lines = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(_codec_stream(spark, file), "UTF-8"))
+    try:
+        line = lines.readLine() or ""
+    finally:
+        lines.close()
+    return tuple(next(csv.reader([line.lstrip("\ufeff")]), []))
+
+
+def _codec_stream(spark: SparkSession, file: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(file)
+    conf = spark._jsc.hadoopConfiguration()
+    codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(at)
+    stream = at.getFileSystem(conf).open(at)
+    return codec.createInputStream(stream) if codec is not None else stream
+
+
+def read_raw_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None,
                  multi_line: bool = False) -> DataFrame:
-    """Raw extract under ``path`` (subfolders included); every column is text.
+    """Raw extract under ``path`` (subfolders included; or a list of files); every column is text.
 
-    With ``schema`` (all-string) no inference pass runs; without it, the
-    header decides the columns and they are read as text too.  An empty field
-    reads as NULL (``''`` is a null token, so cleaning treats both alike).
+    Columns go by each file's own header: files may order them differently or lack some,
+    which read as NULL.  With ``schema`` (all-string) the result has its columns, and a
+    header that names any other raises ValueError.  An empty field reads as NULL (``''`` is
+    a null token, so cleaning treats both alike).  Only the headers pass through the
+    driver; files with equal headers are one scan.
     """
-    reader = spark.read.options(**CSV_READ_OPTIONS).option("multiLine", str(multi_line).lower())
-    if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", "false")
-    return reader.csv(path)
+    files = csv_files(spark, path) if isinstance(path, str) else list(path)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in files:
+        by_header.setdefault(csv_header(spark, file), []).append(file)
+    known = set(schema.fieldNames()) if schema is not None else None
+    out = spark.createDataFrame([], schema) if schema is not None else None
+    for header, group in sorted(by_header.items()):
+        if len(set(header)) < len(header) or known is not None and not set(header) <= known:
+            raise ValueError(f"unexpected header {list(header)} in {group[0]}")
+        own = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        part = (spark.read.options(**CSV_READ_OPTIONS).option("multiLine", str(multi_line).lower())
+                .option("enforceSchema", "false").schema(own).csv(group))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:
+        raise ValueError(f"no files under {path}")
+    return out
 
 
 def write_raw_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

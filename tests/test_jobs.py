@@ -142,3 +142,112 @@ def test_stale_key_hint_cannot_duplicate_keys(spark):
     assert len(keys) == len(set(keys)) and min(r[0] for r in more.select("transaction_key").collect()) == n1 + 1
     plan = target.filter(F.col("transaction_key") >= 5)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(transaction_key,5)" in plan
+
+
+def _silver(spark, name):
+    from goldleaf.plans import catalog as K
+    root = scratch_path(spark, name)
+    K.silver_m(spark, SMOKE_DIR, 0).write.parquet(f"{root}/silver/merchants")
+    K.silver_m(spark, SMOKE_DIR, 1).write.mode("append").parquet(f"{root}/silver/merchants")
+    K.silver_t(spark, SMOKE_DIR).write.parquet(f"{root}/silver/transactions")
+    return root
+
+
+def _table(spark, path, order):
+    from goldleaf.sources.state import read_batches
+    df = read_batches(spark, path)
+    return sorted((tuple(r) for r in df.select(*sorted(c for c in df.columns if c != "merchant_key")).collect()), key=str)
+
+
+def test_replay_after_a_crash_equals_one_clean_run(spark, monkeypatch):
+    import pytest
+    from goldleaf.plans import gold as G
+    from goldleaf.plans.jobs import run_gold_incremental
+    root = _silver(spark, "t-crash")
+    clean = run_gold_incremental(spark, f"{root}/silver", f"{root}/clean", f"{root}/ckpt-clean")
+    want = {t: _table(spark, clean[t], t) for t in ("fact_transactions", "dim_date")}
+
+    for name in ("dim_date_for", "write_state"):  # after the fact write; at each save of the state
+        monkeypatch.undo()
+        real, calls = getattr(G, name), []
+
+        def fail(*args, real=real, calls=calls, name=name, **kw):
+            calls.append(1)
+            if name == "dim_date_for" or len(calls) == 2:
+                raise RuntimeError("lost")
+            return real(*args, **kw)
+
+        monkeypatch.setattr(G, name, fail)
+        with pytest.raises(Exception, match="lost"):
+            run_gold_incremental(spark, f"{root}/silver", f"{root}/{name}", f"{root}/ckpt-{name}")
+        monkeypatch.undo()
+        state = run_gold_incremental(spark, f"{root}/silver", f"{root}/{name}", f"{root}/ckpt-{name}")
+        assert {t: _table(spark, state[t], t) for t in want} == want
+
+
+def test_gold_job_without_saved_arguments_adds_nothing(spark):
+    root = _silver(spark, "t-again")
+    first = run_gold_job(spark, f"{root}/silver", f"{root}/gold")
+    n = {t: spark.read.parquet(first[t]).count() for t in ("fact_transactions", "dim_date")}
+    second = run_gold_job(spark, f"{root}/silver", f"{root}/gold")
+    assert {t: spark.read.parquet(second[t]).count() for t in n} == n
+
+
+def test_late_equal_and_undated_merchant_changes_are_applied_or_rejected_once(spark):
+    from pyspark.sql import functions as F
+    from goldleaf.operators.quality import scd2_violations
+    from goldleaf.plans import catalog as K
+    root = _silver(spark, "t-late")
+    first = run_gold_job(spark, f"{root}/silver", f"{root}/gold")
+    dim = spark.read.parquet(first["dim_merchant"])
+    n = dim.count()
+    some = K.silver_m(spark, SMOKE_DIR, 1).where("op IN ('I', 'U')").orderBy("merchant_id").limit(3).withColumn("k", F.monotonically_increasing_id())
+    times = {"0": "2024-06-01 00:00:00", "1": "2022-05-05 00:00:00"}
+    ids = [r.merchant_id for r in some.orderBy("merchant_id").collect()]
+    late = some.withColumn("cdc_timestamp", F.when(F.col("merchant_id") == ids[0], times["0"]).when(F.col("merchant_id") == ids[1], times["1"])).drop("k")
+    late.write.mode("append").parquet(f"{root}/silver/merchants")
+    second = run_gold_job(spark, f"{root}/silver", f"{root}/gold")
+    after = spark.read.parquet(second["dim_merchant"])
+    assert after.count() == n + 2 and scd2_violations(after).count() == 0
+    assert [r.merchant_id for r in spark.read.parquet(second["rejected_merchants"]).collect()] == [int(ids[2]) if after.schema["merchant_id"].dataType.typeName() != "string" else ids[2]]
+    old = after.where((F.col("merchant_id") == ids[1]) & (F.col("valid_from") == "2022-05-05")).collect()
+    assert len(old) == 1 and not old[0].is_active  # an older change becomes history
+    third = run_gold_job(spark, f"{root}/silver", f"{root}/gold")
+    assert spark.read.parquet(third["dim_merchant"]).count() == n + 2
+
+
+def test_unknown_csv_header_fails(spark):
+    import pytest
+    from goldleaf import contracts as C
+    root = scratch_path(spark, "t-header")
+    IO.write_raw_csv(spark.createDataFrame([("1", "2")], "merchant_id string, surprise string"), root)
+    with pytest.raises(ValueError, match="surprise"):
+        IO.read_raw_csv(spark, root, C.RAW_MERCHANT_SCHEMA)
+
+
+def test_offsets_are_applied_and_stored_months_are_pruned(spark):
+    from pyspark.sql import functions as F
+    from goldleaf.functions import parse_timestamp
+    from goldleaf.operators.dedup import late_dedup
+    data = [("2025-08-10T10:00:05+05:30", "2025-08-10 04:30:05"), ("2025-08-10 10:00:05Z", "2025-08-10 10:00:05"), ("2025-08-10 10:00:05", "2025-08-10 10:00:05"),
+            ("2025-08-10", "2025-08-10 00:00:00"), ("x", None), ("2025-08-09T22:00:00-03:00", "2025-08-10 01:00:00")]
+    df = spark.createDataFrame(data, "t string, want string")
+    assert df.where(~parse_timestamp("t").cast("string").eqNullSafe(F.col("want"))).count() == 0
+    path = scratch_path(spark, "t-prune")
+    stored = spark.createDataFrame([("a", "2024-01-05 00:00:00", 2024, 1), ("b", "2024-03-05 00:00:00", 2024, 3)], "id string, t string, year int, month int")
+    stored = stored.withColumn("t", F.col("t").cast("timestamp_ntz"))
+    stored.write.partitionBy("year", "month").parquet(path)
+    new = spark.createDataFrame([("b", "2024-03-06 00:00:00"), ("c", "2024-03-06 00:00:00")], "id string, t string").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    out = late_dedup(spark.read.parquet(path), new, ["id"], "t")
+    assert [r.id for r in out.collect()] == ["c"]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_size_check_sums_bytes_without_gathering_rows(spark):
+    from goldleaf.operators.joins import fits_broadcast, row_bytes
+    from pyspark.sql import functions as F
+    df = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("s"))
+    assert not fits_broadcast(df, 50_000) and fits_broadcast(df, 200_000) and fits_broadcast(df.limit(0), 1)
+    plan = df.agg(F.sum(row_bytes(df)))._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan and "Limit" not in plan
