@@ -26,6 +26,7 @@ from goldleaf.plans import silver as S
 from goldleaf.session import scratch_path
 from goldleaf.sources import files as IO
 from goldleaf.sources import fixtures as FX
+from goldleaf.sources import warehouse as W
 from goldleaf.sources.state import read_batches
 from goldleaf.streaming import ingest as ING
 from goldleaf.streaming.late import partition_scoped_merge
@@ -102,6 +103,17 @@ def required_fields(spark, sf_dir):
     return CL.drop_required(df, C.MERCHANT_REQUIRED)
 
 
+_F3 = ["gross_amount", "net_amount"]
+
+
+@register("non_negative_amounts", O.with_([O.RAW_T], "SELECT transaction_id, gross, net FROM (SELECT transaction_id, "
+    "try_cast(gross_amount AS DECIMAL(12,2)) AS gross, try_cast(net_amount AS DECIMAL(12,2)) AS net FROM raw_t) WHERE gross >= 0 AND net >= 0"))
+def non_negative_amounts(spark, sf_dir):
+    """F3 alone: NULL ('N/A') gross amounts and negative net amounts leave the extract."""
+    df = CL.drop_negative(CL.cast_decimals(CL.clean_nulls(raw_t(spark, sf_dir)), _F3), _F3)
+    return df.select("transaction_id", F.col("gross_amount").alias("gross"), F.col("net_amount").alias("net"))
+
+
 @register("non_negative", O.with_(O.merchant_ctes(), "SELECT * FROM silver_m"))
 def non_negative(spark, sf_dir):
     """F3 + F10: the whole merchant cleaning chain ends with the >= 0 filter."""
@@ -272,6 +284,14 @@ def scd2_strict(spark, sf_dir):
     return scd2_apply(scd2_apply(None, s0, "strict"), s1, "strict")
 
 
+@register("scd2_out_of_order", O.with_(O.scd2_ctes("strict"), "SELECT merchant_id, valid_from, valid_to, is_active FROM dim1_strict"))
+def scd2_out_of_order(spark, sf_dir):
+    """D2 + D3, strict: the update batch arrives before the initial one; the intervals are those of the right order."""
+    s0, s1 = _stages(spark, sf_dir)
+    dim = scd2_apply(scd2_apply(None, s1, "strict"), s0, "strict")
+    return dim.select("merchant_id", "valid_from", "valid_to", "is_active")
+
+
 # ---------------------------------------------------------------------------
 # gold: junk dimensions, lookups, fact
 # ---------------------------------------------------------------------------
@@ -384,6 +404,30 @@ def lookup_card_junk(spark, sf_dir):
     return out.select("transaction_id", *C.CARD_JUNK_ATTRS, C.CARD_JUNK_KEY)
 
 
+def _written(spark, df: DataFrame, name: str) -> str:
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return path
+
+
+@register("stored_merchant_keys", O.with_(O.scd2_ctes("compat"), "SELECT merchant_id, merchant_key FROM dim1_compat WHERE is_active"))
+def stored_merchant_keys(spark, sf_dir):
+    """Active merchant keys read from the stored dimension with pushed projection and filter."""
+    return W.active_merchant_keys(spark, _written(spark, dim1(spark, sf_dir), "dim-merchant"))
+
+
+@register("stored_payment_junk", O.with_(_FACT, "SELECT * FROM junk_p"))
+def stored_payment_junk(spark, sf_dir):
+    """The payment-context junk dimension read back from its table."""
+    return W.payment_junk(spark, _written(spark, G.junk_payment(derived_t(spark, sf_dir)), "junk-payment"))
+
+
+@register("stored_card_junk", O.with_(_FACT, "SELECT * FROM junk_c"))
+def stored_card_junk(spark, sf_dir):
+    """The card/device junk dimension read back from its table."""
+    return W.card_junk(spark, _written(spark, G.junk_card(derived_t(spark, sf_dir)), "junk-card"))
+
+
 @register("fact_stage", O.with_(_FACT, "SELECT * FROM fact_compat"))
 def fact_stage(spark, sf_dir):
     """D5 + P6: the staged transaction fact (flagship query)."""
@@ -496,6 +540,21 @@ def empty_guard(spark, sf_dir):
     return IO.source_counts({"merchants": raw_m(spark, sf_dir), "transactions": raw_t(spark, sf_dir)})
 
 
+@register("empty_source_skipped", O.with_(O.merchant_ctes(), "SELECT 'merchants' AS table_name, count(*) AS row_count FROM silver_m "
+                                                              "UNION ALL SELECT 'transactions', NULL"))
+def empty_source_skipped(spark, sf_dir):
+    """The silver job over an empty transaction extract writes merchants only (row_count NULL: no table)."""
+    from goldleaf.plans.jobs import run_silver
+    from goldleaf.sources.state import path_exists
+    root = scratch_path(spark, "one-empty-source")
+    IO.write_raw_csv(raw_m(spark, sf_dir), f"{root}/raw/merchants")
+    IO.write_raw_csv(raw_t(spark, sf_dir).filter(F.lit(False)), f"{root}/raw/transactions")
+    tables = run_silver(spark, f"{root}/raw", f"{root}/silver")
+    parts = [spark.read.parquet(p).agg(F.lit(t).alias("table_name"), F.count("*").alias("row_count")) if path_exists(spark, p)
+             else spark.range(1).select(F.lit(t).alias("table_name"), F.lit(None).cast("long").alias("row_count")) for t, p in tables.items()]
+    return parts[0].unionByName(parts[1])
+
+
 @register("silver_merchants_partitioned", O.silver_merchants_sql())
 def silver_merchants_partitioned(spark, sf_dir):
     """S7 + S4: silver merchants appended to a country-partitioned table and read back."""
