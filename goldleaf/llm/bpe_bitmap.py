@@ -32,7 +32,7 @@ from goldleaf.llm.common import map_batches, prepare
 #: Bound of the broadcast vocabulary: entries.
 MAX_VOCABULARY = 1_000_000
 #: Encoded pre-tokens kept for reuse in a Python worker; the store is emptied when full.
-KEPT_PRETOKENS = 1_000_000
+KEPT_PRETOKENS = 700_000
 #: Longer pre-tokens are not kept.
 KEPT_BYTES = 64
 
