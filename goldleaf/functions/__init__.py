@@ -1,7 +1,7 @@
 """Column-level building blocks (pure ``Column -> Column`` functions).
 
-All of them are built-in Spark SQL expressions, so they stay inside
-whole-stage code generation; none is a Python UDF.
+All of them are built-in Spark SQL expressions, none a Python UDF.  Column functions stay
+inside whole-stage code generation; ``json_tuple`` runs as a generator between two stages.
 """
 
 from goldleaf.functions.text import null_if_token, normalise, row_hash
