@@ -8,6 +8,11 @@ that rank is stale and skipped.  So a pre-token of n bytes takes O(n log n) step
 when it has many thousands.  The lowest rank wins, then the leftmost position, which is
 the order of the public tokenizers.
 
+Pre-tokens that a worker has not seen are merged together: the short ones of a run of texts
+lie in one list, with breaks between them, under one queue.  A bucket then gives the leftmost
+live position of each pre-token at once, merged in numpy; as pre-tokens do not touch, each
+has the same merges in the same order as alone.  Long ones, and few, are merged one by one.
+
 The rank file is given by path and read on the driver; the encoder travels to the tasks
 as a broadcast of fixed size (the vocabulary), checked against MAX_VOCABULARY.
 
@@ -20,7 +25,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
+from collections.abc import Iterator
 from heapq import heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +40,12 @@ from goldleaf.llm.common import map_batches, prepare
 MAX_VOCABULARY = 1_000_000
 #: Encoded pre-tokens kept for reuse in a Python worker; the store is emptied when full.
 KEPT_PRETOKENS = 700_000
-#: Longer pre-tokens are not kept.
+#: Longer pre-tokens are not kept, and each has a queue of its own.
 KEPT_BYTES = 64
+#: Characters of the texts that are encoded in one run (one text at least), and pre-tokens under one queue.
+RUN_CHARS, QUEUED = 4_000_000, 100_000
+#: Fewer new pre-tokens are merged one by one.
+FEW = 200
 
 
 class Encoder:
@@ -47,14 +58,20 @@ class Encoder:
     def _ready(self):
         self.find = regex.compile(self.pattern).findall
         self.kept: dict[str, bytes] = {}
-        self.pieces = {rank: token for token, rank in self.ranks.items()}
+        tokens = sorted(self.ranks.items(), key=lambda t: t[1])
+        self.bytes = np.frombuffer(b"".join(t for t, _ in tokens), np.uint8)
+        self.size = np.zeros(tokens[-1][1] + 1, np.int64)  # of each id, in bytes
+        self.size[[r for _, r in tokens]] = [len(t) for t, _ in tokens]
+        self.start = np.cumsum(self.size) - self.size
+        self.pairs = None
 
     def __getstate__(self):
-        return self.ranks, self.pattern
+        return self.ranks, self.pattern, self._pair_table()
 
     def __setstate__(self, state):
-        self.ranks, self.pattern = state
+        self.ranks, self.pattern, pairs = state
         self._ready()
+        self.pairs = pairs
 
     def merge(self, piece: bytes) -> list[int]:
         """The ids of one pre-token."""
@@ -118,23 +135,125 @@ class Encoder:
             i = after[i]
         return out
 
-    def pack(self, pretoken: str) -> bytes:
-        """Ids of one pre-token as little-endian unsigned 32-bit integers."""
-        piece = pretoken.encode()
-        found = self.merge(piece)
-        ids = struct.pack(f"<{len(found)}I", *found)
-        if len(piece) <= KEPT_BYTES:
-            if len(self.kept) >= KEPT_PRETOKENS:
+    def _pair_table(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted keys left * ids + right of the pairs that make a token, and their ranks."""
+        if self.pairs is None:
+            ranks, ids = self.ranks, len(self.size)
+            found = sorted((ranks[t[:k]] * ids + ranks[t[k:]], rank) for t, rank in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks)
+            self.pairs = tuple(np.array(c, np.int64) for c in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 2
+        return self.pairs
+
+    def _rank_of(self, left, right) -> np.ndarray:
+        """Ranks of pairs of ids; -1 where either is -1 or they make no token."""
+        keys, values = self._pair_table()
+        if not len(keys):
+            return np.full(np.broadcast(left, right).shape, -1)
+        key = np.where((left >= 0) & (right >= 0), left * len(self.size) + right, -1)
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        return np.where(keys[at] == key, values[at], -1)
+
+    def merge_together(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each of many short pre-tokens, as little-endian unsigned 32-bit integers."""
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        n, sizes = len(data), np.array([len(p) for p in pieces])
+        owner = np.repeat(np.arange(len(pieces)), sizes)
+        ids = np.append(np.array([self.ranks[bytes([b])] for b in range(256)])[data], -1)  # place n stands for no part
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        ends = np.cumsum(sizes)
+        after[ends - 1] = before[ends - sizes] = n
+        after[n] = n
+        pair = self._rank_of(ids, ids[after])
+        live = np.ones(n, bool)
+        buckets: dict[int, list[int]] = {}
+        words: dict[int, int] = {}
+        top = 0
+        places = np.flatnonzero(pair >= 0)
+        new, ranks = places.tolist(), pair[places].tolist()
+        while True:
+            for i, rank in zip(new, ranks, strict=True):
+                if rank in buckets:
+                    buckets[rank].append(i)
+                else:
+                    buckets[rank] = [i]
+                    w = rank >> 8
+                    words[w] = words.get(w, 0) | 1 << (rank & 255)
+                    top |= 1 << w
+            if not top:
+                break
+            w = (top & -top).bit_length() - 1
+            word = words[w]
+            low = word & -word
+            rank = w << 8 | low.bit_length() - 1
+            at = np.unique(buckets.pop(rank))
+            words[w] = word ^ low
+            if word == low:
+                top &= top - 1
+            at = at[pair[at] == rank]  # the others are stale
+            whose = owner[at]
+            first = np.ones(len(at), bool)
+            first[1:] = whose[1:] != whose[:-1]
+            later = at[~first].tolist()  # their turn comes after the first's new pairs
+            at = at[first]
+            j, left = after[at], before[at]
+            k = after[j]
+            after[at], before[k] = k, at
+            ids[at], pair[j], live[j] = rank, -1, False
+            pair[left], pair[at] = self._rank_of(ids[left], rank), self._rank_of(rank, ids[k])
+            places = np.concatenate([left, at])
+            places = places[pair[places] >= 0]
+            new, ranks = places.tolist() + later, pair[places].tolist() + [rank] * len(later)
+        counts = np.bincount(owner[live], minlength=len(pieces))
+        packed, stops = ids[:n][live].astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+        return [packed[a:b] for a, b in zip([0, *stops], stops, strict=False)]
+
+    def learn(self, pretokens: set[str]) -> list[str]:
+        """Keep the ids of new pre-tokens; gives back those too long to stay."""
+        pieces = {p: p.encode() for p in pretokens}
+        whole = {p: self.ranks[b] for p, b in pieces.items() if b in self.ranks}
+        self.kept.update((p, struct.pack("<I", i)) for p, i in whole.items())
+        rest = [p for p in pieces if p not in whole]
+        long_ = [p for p in rest if len(pieces[p]) > KEPT_BYTES]
+        short = [p for p in rest if len(pieces[p]) <= KEPT_BYTES]
+        alone = long_ + short if len(short) < FEW else long_
+        for p in alone:
+            found = self.merge(pieces[p])
+            self.kept[p] = struct.pack(f"<{len(found)}I", *found)
+        for lo in range(0, len(short) if len(short) >= FEW else 0, QUEUED):
+            part = short[lo:lo + QUEUED]
+            self.kept.update(zip(part, self.merge_together([pieces[p] for p in part]), strict=True))
+        return long_
+
+    def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        lo = 0
+        while lo < len(texts):
+            run, chars = [], 0
+            while lo < len(texts) and (not run or chars < RUN_CHARS):
+                run.append(self.find(texts[lo]) if texts[lo] else [])
+                chars += len(texts[lo] or "")
+                lo += 1
+            seen = set(chain.from_iterable(run))
+            if len(self.kept) + len(new := seen.difference(self.kept)) > KEPT_PRETOKENS:
                 self.kept.clear()
-            self.kept[pretoken] = ids
-        return ids
+                new = seen
+            passing = self.learn(new)
+            for found in run:
+                yield b"".join(map(self.kept.__getitem__, found))
+            for p in passing:
+                del self.kept[p]
 
     def encode(self, text: str) -> bytes:
-        get, pack = self.kept.get, self.pack
-        return b"".join([get(p) or pack(p) for p in self.find(text)])
+        return next(self.encode_all([text]))
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        ids = np.frombuffer(ids, "<u4")
+        out = []
+        for lo in range(0, len(ids), RUN_CHARS):
+            part = ids[lo:lo + RUN_CHARS]
+            size = self.size[part]
+            skip = self.start[part] - (np.cumsum(size) - size)
+            out.append(self.bytes[np.repeat(skip, size) + np.arange(int(size.sum()))].tobytes())
+        return b"".join(out)
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -165,8 +284,7 @@ def encode(docs: DataFrame, path: str, pattern: str, digests: bool = False) -> D
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         enc = shared.value
         counts, first, second = [], [], []
-        for text in batch.column(1).to_pylist():
-            ids = enc.encode(text) if text else b""
+        for ids in enc.encode_all(batch.column(1).to_pylist()):
             back = enc.decode(ids)
             counts.append(len(ids) // 4)
             first.append(hashlib.sha256(ids).hexdigest() if digests else ids)

@@ -103,6 +103,22 @@ def test_bpe_equals_tiktoken():
         assert own.decode(ids) == t.encode()
 
 
+def test_bpe_shared_queue_equals_tiktoken(monkeypatch):
+    ranks = bpe_bitmap.load_ranks(RANKS)
+    their = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(4)
+    parts = ["a", "b", "aa", "the", "ing", "é", "日", "🙂", " ", "\n", "0", "="]
+    texts = [None, "", *("=" * k for k in range(1, 70)), *("a" * k for k in range(60, 140))]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(3000)]
+    want = [np.array(their.encode_ordinary(t or ""), "<u4").tobytes() for t in texts]
+    for chars, queued, kept in ((10**6, 10**6, 10**6), (2000, 100, 500)):  # also many runs, slices and emptied stores
+        for name, value in (("RUN_CHARS", chars), ("QUEUED", queued), ("KEPT_PRETOKENS", kept), ("FEW", 20)):
+            monkeypatch.setattr(bpe_bitmap, name, value)
+        own = bpe_bitmap.Encoder(ranks, public_tokenizers.PATTERN)
+        assert list(own.encode_all(texts)) == want
+        assert [own.decode(i) for i in want] == [(t or "").encode() for t in texts]
+
+
 def test_bpe_round_trip_on_edges(spark, edge):
     enc = bpe_bitmap.encode(edge, RANKS, public_tokenizers.PATTERN)
     back = by_id(bpe_bitmap.decode(enc, RANKS, public_tokenizers.PATTERN), "text")
