@@ -44,15 +44,23 @@ SAMPLE_DOCS = 2000
 ALPHABET = 128
 #: Weight of single characters against a character's pairs, in pairs seen.
 BACK_OFF = 8
+#: Matches of a text that are walked at a time.
+BLOCK = 200
 #: Odds of a million to one, in nats.
 LEAST_LLR = 13.8
 
 
+def _let(value: Column, body) -> Column:
+    """body(value), with the value computed once also where the body needs it in a lambda."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _spans(text: Column, pattern: str, kind: str, test=None) -> Column:
     """Positions of all matches; test(match, group 2) keeps or drops one.
 
     split() and regexp_extract_all() walk the same matches, so a match starts where the
-    pieces and matches before it end.
+    pieces and matches before it end.  Matches are walked in blocks of BLOCK, since each
+    step of an aggregate copies the array that it adds to: texts may hold very many.
     """
     empty = F.array().cast("array<struct<start:int,stop:int,kind:string>>")
     pieces, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0)
@@ -66,8 +74,13 @@ def _spans(text: Column, pattern: str, kind: str, test=None) -> Column:
         spans = F.concat(state["spans"], span)
         return F.struct(stop.alias("at"), (F.when(test(m["whole"], m["second"]), spans).otherwise(state["spans"]) if test else spans).alias("spans"))
 
-    start = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
-    return F.when(F.regexp_like(text, F.lit(pattern)), F.aggregate(both, start, step)["spans"]).otherwise(empty)
+    def walk(both: Column) -> Column:
+        def block(done: Column, first: Column) -> Column:
+            return F.concat(done, F.array(F.aggregate(F.slice(both, first, BLOCK), F.struct(F.element_at(done, -1)["at"].alias("at"), empty.alias("spans")), step)))
+        done = F.aggregate(F.sequence(F.lit(1), F.size(both), F.lit(BLOCK)), F.array(F.struct(F.lit(0).alias("at"), empty.alias("spans"))), block)
+        return F.flatten(F.transform(done, lambda d: d["spans"]))
+
+    return F.when(F.regexp_like(text, F.lit(pattern)), _let(both, walk)).otherwise(empty)
 
 
 def base_spans(docs: DataFrame) -> DataFrame:

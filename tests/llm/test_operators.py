@@ -264,6 +264,14 @@ def test_secret_base_spans_equal_brute_force(spark):
     assert secrets_markov.scan(df.limit(0)).count() == 0
 
 
+def test_secret_spans_of_texts_with_very_many_matches(spark):
+    size = secrets_markov.BLOCK
+    texts = [" é".join(f"token={i:0{5 + i % 3}d} 0123456789abcdef01234567{i}" for i in range(n)) for n in (1, size - 1, size, size + 1, 3 * size, 15_000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in secrets_markov.base_spans(df).collect():
+        assert [(s.kind, s.start, s.stop) for s in r.base] == brute.secret_spans(texts[r.doc_id])
+
+
 def test_markov_models_tell_random_strings_from_identifiers(spark):
     rng = random.Random(7)
     rand = lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
