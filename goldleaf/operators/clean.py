@@ -33,10 +33,14 @@ def transform_columns(df: DataFrame, cols: Sequence[str], fn: Callable[[Column],
     return df.withColumns({c: fn(F.col(c)) for c in targets})
 
 
-def clean_nulls(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
-    """Every string column: exact null tokens become NULL (before any trimming)."""
+def clean_nulls(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS, trim_first: bool = False) -> DataFrame:
+    """Every string column: exact null tokens become NULL (before any trimming).
+
+    With ``trim_first`` blanks around a value are dropped first, so a padded token
+    becomes NULL too.
+    """
     string_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    return transform_columns(df, string_cols, lambda c: null_if_token(c, tokens))
+    return transform_columns(df, string_cols, lambda c: null_if_token(F.trim(c) if trim_first else c, tokens))
 
 
 def drop_required(df: DataFrame, cols: Sequence[str]) -> DataFrame:

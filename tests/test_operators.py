@@ -12,7 +12,7 @@ from goldleaf.operators.dedup import dedup_by, late_dedup, order_desc, row_hash_
 from goldleaf.operators.fact import extract_gold_json
 from goldleaf.operators.joins import bounded_broadcast, fits_broadcast, null_safe_lookup, plain_lookup
 from goldleaf.operators.keys import assign_surrogate_keys, build_junk_dimension
-from goldleaf.operators.load import insert_absent
+from goldleaf.operators.load import incremental_load, insert_absent
 from goldleaf.operators.quality import contract_report
 from goldleaf.plans import silver as S
 from goldleaf.sources import files as IO
@@ -33,6 +33,8 @@ def test_null_tokens_exact_before_trim(spark):
     assert out[9:] == [" NA ", "nA", " ", "   ", "x"]
     norm = [r[0] for r in CL.trim_lower(CL.clean_nulls(df), ["v"]).collect()]
     assert norm[9:] == ["na", "na", "", "", "x"]  # blank-only becomes '', not NULL
+    first = [r[0] for r in CL.clean_nulls(df, trim_first=True).collect()]
+    assert first == [None] * 10 + ["nA", None, None, "x"]
 
 
 def test_trim_keeps_tabs(spark):
@@ -184,6 +186,14 @@ def test_insert_absent_keeps_null_keys_and_batch_duplicates(spark):
     assert sorted(rows(insert_absent(staged, target, "id")), key=str) == sorted([("t2",), ("t2",), (None,)], key=str)
 
 
+def test_incremental_load_can_dedup_the_batch(spark):
+    staged = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4), (None, 5)], "id string, v int")
+    target = spark.createDataFrame([(7, "b", 3)], "k long, id string, v int")
+    kept = lambda **o: sorted(((r.k, r.id, r.v) for r in incremental_load(staged, target, "id", "k", ["v"], **o).collect()))
+    assert kept() == [(8, "a", 1), (9, "a", 2), (10, None, 4), (11, None, 5)]
+    assert kept(dedup_batch=True) == [(8, "a", 2), (9, None, 4), (10, None, 5)]
+
+
 # --- D1: calendar ------------------------------------------------------------------------------
 
 def test_calendar_defaults(spark):
