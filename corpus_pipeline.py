@@ -4,8 +4,9 @@ Each stage is (name, function) with function(spark, docs, sf_dir) -> DataFrame;
 each result as Parquet in the shared folder and rereads it as the next stage's docs.  All
 but the last return the columns of docs.
 
-* language       rejects texts without a letter and those whose language is unsure
-                 (score under LEAST_SCORE); the model is learnt from docs with a language.
+* language       rejects texts without a letter and those unlike the language they are judged
+                 to be, by a cut of each language's own (langid_svm); the model is learnt from
+                 docs with a language.
 * line_dedup     takes repeated long lines out of all documents but the largest doc_id.
 * near_dedup     keeps the smallest doc_id of each group of near copies.
 * decontaminate  drops documents that hold a benchmark item.
@@ -24,14 +25,11 @@ from pyspark.sql import functions as F
 from goldleaf.llm import bpe_bitmap, decontam_simhash, langid_svm, line_cuckoo, superminhash
 from goldleaf.llm.common import held_out, prepare, read_table, stored
 
-#: Documents whose language is less sure than this are rejected.
-LEAST_SCORE = 0.2
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     model = langid_svm.fit(docs.where(~held_out(F.col("doc_id"), 4, 2)).select("doc_id", "text", "lang"))
-    return langid_svm.keep_known(docs, model, LEAST_SCORE)
+    return langid_svm.keep_known(docs, model)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

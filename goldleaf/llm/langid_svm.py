@@ -12,7 +12,16 @@ not list is a family of its own, so any label can be learnt.
 
 Bounds: at most SAMPLE rows of each language are fitted on, chosen by a hash of the key;
 the broadcast model has DIMS weights for each machine.  Features and predictions cover
-whole texts.  `score` is the share of the winning family's and language's softmax.
+whole texts.  `score` is the share of the winning family's and language's softmax; it only
+compares the learnt languages, so unlike texts are told by their likeness.
+
+Likeness is the mean log-probability of a text's n-grams in one language's fitted rows, an
+absolute measure that other languages don't enter.  A text is known if its likeness to the
+language it is judged to be lies under that language's median by no more than chance allows
+a text of its length (CHANCE standard deviations) and SLACK times what the fitted rows need
+beyond that (each judged without itself; the odd TAIL of them left out; LEAST at least).  A
+language of one fitted row has no likeness to measure against: texts judged to be of it are
+known.  A text of a few letters can be unlike by chance alone, so such texts mostly pass.
 
 A null or empty text, or one without any letter, is `und` with score 0.  Without labelled
 rows everything is `und`.  Null labels are not learnt from.  Rows are independent: ids may
@@ -34,6 +43,8 @@ from goldleaf.llm.words import mix, stream
 #: Fitted rows of each language, and of all languages together.
 SAMPLE, SAMPLE_ALL = 400, 4000
 DIMS = 1 << 13
+#: The cut under which a text is unlike its language; weight of the uniform share of a profile.
+CHANCE, SLACK, TAIL, LEAST, SMOOTH = 3.0, 1.25, 0.005, 0.6, 0.1
 UNKNOWN = "und"
 
 # Closely related languages, by ISO 639-1 code.
@@ -76,12 +87,18 @@ def grams(text: str) -> np.ndarray | None:
     return np.concatenate(out)
 
 
-def features(text: str | None) -> np.ndarray | None:
+def sized_features(text: str | None) -> tuple[np.ndarray, int] | None:
+    """Features and number of n-grams."""
     found = grams(text) if text else None
     if found is None:
         return None
     x = np.sqrt(np.bincount(found, minlength=DIMS).astype(np.float32))
-    return x / np.sqrt((x * x).sum())
+    return x / np.sqrt((x * x).sum()), len(found)
+
+
+def features(text: str | None) -> np.ndarray | None:
+    found = sized_features(text)
+    return None if found is None else found[0]
 
 
 def linear_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, rounds: int = 12, seed: int = 1) -> np.ndarray:
@@ -102,12 +119,13 @@ def linear_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, rounds: int = 12,
 class Model:
     """Families, their one-against-rest machines, and the pair machines within each family."""
 
-    def __init__(self, x: np.ndarray, langs: list[str]):
+    def __init__(self, x: np.ndarray, langs: list[str], sizes: list[int]):
         self.langs = sorted(set(langs))
         own = np.array(langs)
         kin = np.array([family(g) for g in langs])
         self.families = sorted(set(kin))
         self.members = {f: [g for g in self.langs if family(g) == f] for f in self.families}
+        self.likeness = {g: Likeness(x[own == g], np.array(sizes)[own == g]) for g in self.langs}
         x = np.concatenate([x, np.ones((len(x), 1), np.float32)], axis=1)
         rows, self.pairs = [], []
         if len(self.families) == 2:
@@ -139,6 +157,38 @@ class Model:
         inner = softmax(np.array([v[1] for v in votes.values()]))
         return best, float(share[at] * inner[list(votes).index(best)])
 
+    def knows(self, x: np.ndarray, size: int) -> bool:
+        """Whether a text of `size` n-grams is like the language it is judged to be."""
+        return self.likeness[self.predict(x)[0]].fits(x, size)
+
+
+class Likeness:
+    """Mean log-probability of n-grams in one language, and how far under their median its rows lie."""
+
+    def __init__(self, x: np.ndarray, sizes: np.ndarray):
+        share = x.astype(np.float64) ** 2
+        total = share.sum(0)
+        self.logp = _log(total / len(x))
+        self.most = np.inf
+        if len(x) < 2:
+            return
+        own = np.array([s @ _log(np.maximum(total - s, 0) / (len(x) - 1)) for s in share])
+        self.middle = float(np.median(own))
+        # the n-grams of one to four bytes at a place count as one
+        self.spread = 4 * float(np.median(share @ self.logp**2 - (share @ self.logp) ** 2))
+        under = np.sort(self.middle - own - self._chance(sizes))
+        self.most = max(LEAST, SLACK * float(under[len(under) - 1 - int(TAIL * len(under))]))
+
+    def _chance(self, size):
+        return CHANCE * np.sqrt(self.spread / size)
+
+    def fits(self, x: np.ndarray, size: int) -> bool:
+        return self.most == np.inf or self.middle - float((x * x) @ self.logp) - self._chance(size) <= self.most
+
+
+def _log(share: np.ndarray) -> np.ndarray:
+    return np.log((share + SMOOTH / DIMS) / (1 + SMOOTH))
+
 
 def softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(2 * (x - x.max()))
@@ -156,18 +206,18 @@ def fit(labelled: DataFrame) -> Model | None:
     chosen = F.broadcast(stored(chosen, "lang-sample"))  # SAMPLE_ALL rows at most, or one of each language
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        found = [(i, g, x) for i, g, x in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), map(features, batch.column(1).to_pylist()), strict=True) if x is not None]
+        found = [(i, g, x) for i, g, x in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), map(sized_features, batch.column(1).to_pylist()), strict=True) if x is not None]
         if not found:
             return None
-        return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.string()), pa.array([f[2].astype(np.float16).tobytes() for f in found], pa.binary())], names=["doc_id", "lang", "x"])
+        return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.string()), pa.array([f[2][0].astype(np.float16).tobytes() for f in found], pa.binary()), pa.array([f[2][1] for f in found], pa.int64())], names=["doc_id", "lang", "x", "size"])
 
     texts = labelled.join(chosen, ["doc_id", "lang"], "left_semi").dropDuplicates(["doc_id", "lang"])
-    rows = map_batches(texts.select("doc_id", "text", "lang"), run, "doc_id long, lang string, x binary")
-    rows = sorted((r["doc_id"], r["lang"], bytes(r["x"])) for r in rows.collect())
+    rows = map_batches(texts.select("doc_id", "text", "lang"), run, "doc_id long, lang string, x binary, size long")
+    rows = sorted((r["doc_id"], r["lang"], bytes(r["x"]), r["size"]) for r in rows.collect())
     if not rows:
         return None
     x = np.stack([np.frombuffer(r[2], np.float16) for r in rows]).astype(np.float32)
-    return Model(x, [r[1] for r in rows])
+    return Model(x, [r[1] for r in rows], [r[3] for r in rows])
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -186,16 +236,16 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), run, "doc_id long, lang_pred string, score double")
 
 
-def keep_known(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
-    """The rows of `docs` with a known language and a score of `least` or more; all columns, no shuffle."""
+def keep_known(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of `docs` that are like the language they are judged to be; all columns, no shuffle."""
     shared = prepare(docs.sparkSession).sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         held, keep = shared.value, []
         for text in batch.column(at).to_pylist():
-            x = features(text) if held is not None else None
-            keep.append(x is not None and held.predict(x)[1] >= least)
+            found = sized_features(text) if held is not None else None
+            keep.append(found is not None and held.knows(*found))
         return batch.filter(pa.array(keep, pa.bool_()))
 
     return map_batches(docs, run, docs.schema)

@@ -340,6 +340,22 @@ def test_language_edges(spark, edge):
     assert {r.lang_pred for r in langid_svm.predict(edge, None).collect()} == {"und"}
 
 
+def test_texts_unlike_the_learnt_languages_are_rejected(spark):
+    docs = smoke(spark, "documents").select("doc_id", "text", "lang")
+    out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    alien = ["Съешь же ещё этих мягких французских булок да выпей чаю и пойди домой",
+             "我能吞下玻璃而不伤身体。今天天气很好我们去公园吧",
+             "Suomen kieli on uralilaisten kielten itämerensuomalaiseen ryhmään kuuluva kieli, jonka puhujista suurin osa asuu Suomessa",
+             "qxzv jkwpt zzgh vbnmqw xkcd plokij wsxqaz edcrfv tgbyhn ujmikl qpwoei"]
+    texts = spark.createDataFrame([(-1 - k, t, None) for k, t in enumerate(alien)], docs.schema)
+    learnt = [["en", "de", "es", "fr"], ["en", "de"], ["en"]]
+    for langs in learnt:  # the cut doesn't hang on the number of languages
+        model = langid_svm.fit(docs.where(~out & F.col("lang").isin(langs)))
+        clean = docs.where(out & F.col("lang").isin(langs))
+        assert langid_svm.keep_known(texts, model).count() == 0
+        assert langid_svm.keep_known(clean, model).count() == clean.count() > 0
+
+
 # --- 9 lines -----------------------------------------------------------------
 
 def test_line_dedup_edges_and_pipeline_form(spark, edge):
