@@ -16,9 +16,10 @@ window, which sees it whole.  A text's spans are then reconciled together: most
 first, then most confident, then longest, none overlapping.  A span that overlaps no base
 span and passes its kind's test in a wider form (PLAUSIBLE) is added; base spans stay.
 
-The net is trained here in numpy, on at most SAMPLE_WINDOWS windows of about SAMPLE_DOCS documents
-that hold digits or `@` (by a hash of the text), labelled by their base spans.  The broadcast
-model has a few thousand weights.
+The net is trained here in numpy, on at most SAMPLE_WINDOWS distinct windows of all texts, labelled
+by their base spans: half of them without a label and an equal part of each kind, each with the
+smallest hashes.  So a net is trained wherever a window holds a base span.  The broadcast model has
+a few thousand weights.
 
 Positions are code points, the end exclusive.  Null and empty texts have no spans.  Rows are
 independent: ids may be null or repeated, other columns are ignored.  Without labelled
@@ -29,18 +30,19 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldleaf.llm.common import hash_share, map_batches, prepare
+from goldleaf.llm.common import map_batches, prepare, stored
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 64, 32
 HIDDEN = 12
-SAMPLE_DOCS, SAMPLE_WINDOWS = 1500, 1200
+SAMPLE_WINDOWS = 1200
 EPOCHS, BATCH, RATE = 10, 48, 0.02
 LEAST_CONFIDENCE = 0.8
 TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
@@ -319,25 +321,52 @@ def add_spans(net: Net | None, texts: list[str], base: list[list[tuple[str, int,
     return out
 
 
+#: Windows kept of each kind, and of those without a label (the last).
+_SHARES = [SAMPLE_WINDOWS // 2 // len(KINDS)] * len(KINDS) + [SAMPLE_WINDOWS // 2]
+
+
+def labelled_windows(text: str) -> Iterator[tuple[int, int, bytes, bytes]]:
+    """(stratum, hash, classes, tags) of each window, once for each kind that it holds."""
+    classes = classes_of(text)
+    starts = window_starts(classes)
+    if not len(starts):
+        return
+    tags = np.concatenate([tags_of(len(text), base_spans(text)), np.zeros(WINDOW, np.uint8)])
+    for s, x in zip(starts.tolist(), windows_of(classes, starts), strict=True):
+        y = tags[s:s + WINDOW]
+        said = text[s:s + WINDOW].encode("utf-8", "surrogatepass")
+        h = int.from_bytes(hashlib.blake2b(said, digest_size=8).digest(), "big", signed=True)
+        for k in {(t - 1) // 2 for t in set(y.tolist()) if t} or {len(KINDS)}:
+            yield k, h, x.tobytes(), y.tobytes()
+
+
 def fit(docs: DataFrame) -> Net | None:
-    """A net trained on the base spans of a bounded sample of texts; None without any span."""
+    """A net trained on the base spans of a bounded sample of windows; None without any span."""
     prepare(docs.sparkSession)
-    rows = hash_share(docs.select("text").where(F.col("text").rlike("[0-9@]")).distinct(), "text", SAMPLE_DOCS)
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        xs, ys = [], []
-        for text in batch.column(0).to_pylist():
-            classes, tags = classes_of(text), tags_of(len(text), base_spans(text))
-            starts = window_starts(classes)
-            xs += [w.tobytes() for w in windows_of(classes, starts)]
-            tags = np.concatenate([tags, np.zeros(WINDOW, np.uint8)])
-            ys += [tags[s:s + WINDOW].tobytes() for s in starts.tolist()]
-        return pa.RecordBatch.from_arrays([pa.array(xs, pa.binary()), pa.array(ys, pa.binary())], names=["x", "y"])
-
-    found = map_batches(rows, run, "x binary, y binary").orderBy(F.xxhash64("x"), "x", "y").limit(SAMPLE_WINDOWS).collect()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The windows of a partition with the smallest hashes of each stratum."""
+        held, most = [set() for _ in _SHARES], [2**63] * len(_SHARES)
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                for k, *row in labelled_windows(text):
+                    if row[0] <= most[k]:
+                        held[k].add(tuple(row))
+                        if len(held[k]) >= 4 * _SHARES[k]:
+                            held[k] = set(sorted(held[k])[:_SHARES[k]])
+                            most[k] = max(held[k])[0]
+        rows = [(k, *r) for k, own in enumerate(held) for r in sorted(own)[:_SHARES[k]]]
+        if rows:
+            k, h, x, y = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(h, pa.int64()), pa.array(x, pa.binary()), pa.array(y, pa.binary())], names=["k", "h", "x", "y"])
+
+    texts = docs.select("text").where(F.col("text").rlike("[0-9@]"))
+    few = stored(texts.mapInArrow(run, "k int, h long, x binary, y binary"), "pii-windows").distinct()
+    found = [r for k, n in enumerate(_SHARES) for r in few.where(F.col("k") == k).orderBy("h", "x", "y").limit(n).collect()]
+    found = sorted({(r["h"], bytes(r["x"]), bytes(r["y"])) for r in found})
     if not found:
         return None
-    x, y = (np.stack([np.frombuffer(r[k], np.uint8) for r in found]) for k in (0, 1))
+    x, y = (np.stack([np.frombuffer(r[k], np.uint8) for r in found]) for k in (1, 2))
     return Net().train(x, y) if y.any() else None
 
 

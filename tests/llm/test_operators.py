@@ -323,6 +323,16 @@ def test_pii_edges(spark, edge):
     assert pii_bilstm.scan(edge.limit(0)).count() == 0
 
 
+def test_pii_net_is_trained_when_spans_are_rare(spark):
+    # 40,000 windows of dates and one phone number, and long numeric texts
+    texts = [f"{k:05d} was on {k % 28 + 1:02d}.{k % 12 + 1:02d}.2{k % 1000:03d}, not later" for k in range(40000)]
+    texts += ["".join(f" {k * 7919 % 9973:04d}" for k in range(20000)), "call +49 30 1234567 now"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sum(map(bool, map(pii_bilstm.base_spans, texts))) == 1
+    assert pii_bilstm.fit(docs) is not None
+    assert pii_bilstm.fit(docs.where("text NOT LIKE 'call%'")) is None
+
+
 # --- 8 language --------------------------------------------------------------
 
 def test_language_accuracy_on_held_out_rows(spark):
