@@ -11,8 +11,9 @@ dropped and the search goes on behind it, without a second try:
 The method reads characters by class through a bidirectional LSTM and labels them with CRF
 transitions.  It runs over overlapping windows, WINDOW characters every STRIDE; windows
 without `@` and with fewer than four digits cannot hold a span of any kind and are passed
-over.  Each window is decoded by Viterbi; a span that touches a cut edge is left to the next
-window, which sees it whole.  A text's spans are then reconciled together: most windows
+over.  Each window is decoded by Viterbi; where a span touches a cut edge, overlaps no base span
+and can be plausible if longer, the place is decoded again as one sequence, STRIDE wider on both sides and then twice as
+wide each time, until it lies inside or the text ends.  A text's spans are then reconciled together: most windows
 first, then most confident, then longest, none overlapping.  A span that overlaps no base
 span and passes its kind's test in a wider form (PLAUSIBLE) is added; base spans stay.
 
@@ -104,6 +105,15 @@ def _plausible(kind: str, said: str) -> bool:
     return 8 <= len(digits) <= 15 and bool(re.search(r"[\x20().-]", said))
 
 
+def _may_grow(kind: str, said: str) -> bool:
+    """Whether a longer span around this piece can be plausible."""
+    if kind == "email":
+        return said.count("@") <= 1 and not re.search(r"\s", said)
+    if kind == "ip":
+        return said.count(".") <= 3 and not re.search(r"[^0-9.]", said)
+    return len(_NOT_DIGIT.sub("", said)) <= (19 if kind == "card" else 15)
+
+
 # Character classes: one each for marks that matter, then kinds of letters, blanks and the rest.
 _MARKS = "@.-+() _%,:;\"'/\n"
 CLASSES = len(_MARKS) + 6
@@ -168,8 +178,8 @@ class Net:
         self.p["bias"] = np.zeros(TAGS)
         self.p["trans"] = np.zeros((TAGS, TAGS))
 
-    def _lstm(self, x: np.ndarray, d: str):
-        """Hidden states [steps, rows, hidden] of time-major classes, with what the way back needs."""
+    def _lstm(self, x: np.ndarray, d: str, keep: bool = True):
+        """Hidden states [steps, rows, hidden] of time-major classes, with what the way back needs if `keep`."""
         h, wh, gates = HIDDEN, self.p["h" + d], self.p["x" + d][x]
         state, cell = np.zeros((x.shape[1], h)), np.zeros((x.shape[1], h))
         states, kept = [], []
@@ -181,7 +191,8 @@ class Net:
             t = np.tanh(cell)
             state = s[:, 2 * h:] * t
             states.append(state)
-            kept.append((s, g, t, before, prior))
+            if keep:
+                kept.append((s, g, t, before, prior))
         return np.stack(states), kept
 
     def _lstm_back(self, x: np.ndarray, d: str, kept, dstates: np.ndarray, grad: dict) -> None:
@@ -201,8 +212,8 @@ class Net:
 
     def emissions(self, x: np.ndarray) -> np.ndarray:
         """[steps, rows, tags] of time-major classes."""
-        forward, _ = self._lstm(x, "f")
-        back, _ = self._lstm(x[::-1], "b")
+        forward, _ = self._lstm(x, "f", keep=False)
+        back, _ = self._lstm(x[::-1], "b", keep=False)
         return np.concatenate([forward, back[::-1]], axis=2) @ self.p["out"] + self.p["bias"]
 
     def step(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict]:
@@ -298,6 +309,17 @@ def reconciled(found: list[tuple[str, int, int, float]]) -> list[tuple[str, int,
     return sorted(kept, key=lambda s: s[1])
 
 
+def joined(stretches: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Stretches that overlap as one, by start."""
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(stretches):
+        if out and s < out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
+
+
 def add_spans(net: Net | None, texts: list[str], base: list[list[tuple[str, int, int]]]) -> list[list[tuple[str, int, int]]]:
     """Base and added spans of each text, by kind as listed, then start."""
     if net is None:
@@ -305,14 +327,43 @@ def add_spans(net: Net | None, texts: list[str], base: list[list[tuple[str, int,
     coded = {i: classes_of(t) for i, t in enumerate(texts) if t and _TRIGGER.search(t)}
     places = [(i, s) for i, c in coded.items() for s in window_starts(c).tolist()]
     found: dict[int, list] = {}
-    for lo in range(0, len(places), 2048):
-        part = places[lo:lo + 2048]
-        tags, shares = net.decode(np.concatenate([windows_of(coded[i], np.array([s])) for i, s in part]))
+    cut: dict[int, list[tuple[int, int]]] = {}
+    own = [np.array(sorted((a, b) for _, a, b in spans)).reshape(-1, 2) for spans in base]
+    # ends of base spans so far, so that an overlap is found by bisection
+    ends = [np.maximum.accumulate(o[:, 1]) if len(o) else o[:, 1] for o in own]
+
+    def overlaps(i: int, a: int, b: int) -> bool:
+        before = int(np.searchsorted(own[i][:, 0], b))
+        return before > 0 and ends[i][before - 1] > a
+
+    def take(part: list[tuple[int, int, int]], x: np.ndarray) -> None:
+        """Spans of the stretches (text, start, stop) into `found`, stretches that cut one into `cut`."""
+        tags, shares = net.decode(x)
         for row in np.flatnonzero(tags.any(1)).tolist():
-            i, s = part[row]
+            i, s, e = part[row]
+            n = len(coded[i])
             for kind, a, b, share in spans_in(tags[row], shares[row]):
-                if (a > 0 or s == 0) and (b < WINDOW or s + WINDOW >= len(coded[i])) and s + b <= len(coded[i]):
-                    found.setdefault(i, []).append((kind, s + a, s + b, share))
+                if (a > 0 or s == 0) and (b < e - s or e >= n):
+                    if s + b <= n:
+                        found.setdefault(i, []).append((kind, s + a, s + b, share))
+                elif not overlaps(i, s + a, min(s + b, n)) and _may_grow(kind, texts[i][s + a:s + b]):
+                    cut.setdefault(i, []).append((s, min(e, n)))
+
+    for lo in range(0, len(places), 2048):
+        part = places[lo:lo + 2048]
+        take([(i, s, s + WINDOW) for i, s in part], np.concatenate([windows_of(coded[i], np.array([s])) for i, s in part]))
+    more = STRIDE
+    while cut:
+        wide: dict[int, list[tuple[int, int, int]]] = {}  # by length
+        for i, stretches in cut.items():
+            for s, e in joined([(max(0, s - more), min(len(coded[i]), e + more)) for s, e in stretches]):
+                wide.setdefault(e - s, []).append((i, s, e))
+        cut.clear()
+        for size, part in wide.items():
+            rows = max(1, 2048 * WINDOW // size)
+            for lo in range(0, len(part), rows):
+                take(part[lo:lo + rows], np.stack([coded[i][s:e] for i, s, e in part[lo:lo + rows]]))
+        more *= 2
     out = list(base)
     for i, spans in found.items():
         new = [x for x in reconciled(spans) if all(x[2] <= a or b <= x[1] for _, a, b in base[i]) and _plausible(x[0], texts[i][x[1]:x[2]])]

@@ -333,6 +333,36 @@ def test_pii_net_is_trained_when_spans_are_rare(spark):
     assert pii_bilstm.fit(docs.where("text NOT LIKE 'call%'")) is None
 
 
+class MarksAddresses:
+    """In place of a net: marks an `@` and what surrounds it up to blanks, and nothing where it sees no `@`."""
+
+    def decode(self, x):
+        tags = np.zeros(x.shape, np.uint8)
+        blank = pii_bilstm.classes_of(" ")[0]
+        for row, out in zip(x, tags, strict=True):
+            for at in np.flatnonzero(row == pii_bilstm._AT).tolist():
+                a = b = at
+                while a > 0 and row[a - 1] not in (blank, pii_bilstm._PAD):
+                    a -= 1
+                while b < len(row) and row[b] not in (blank, pii_bilstm._PAD):
+                    b += 1
+                out[a:b] = 2
+                out[a] = 1
+        return tags, np.ones(x.shape)
+
+
+def test_pii_long_spans_are_found_at_every_offset():
+    # a non-ASCII letter on both sides of the `@` makes it no base span
+    for length in range(30, 101):
+        name = "ü" * (length // 2)
+        said = f"{name}@{'ö' * (length - len(name) - 4)}.de"
+        for tail in (" ", " " + "so it goes " * 20):
+            texts = ["x" * (k - 1) + " " * (k > 0) + said + tail for k in range(96, 128)]
+            base = [pii_bilstm.base_spans(t) for t in texts]
+            assert not any(base) and len(said) == length
+            assert pii_bilstm.add_spans(MarksAddresses(), texts, base) == [[("email", k, k + length)] for k in range(96, 128)]
+
+
 # --- 8 language --------------------------------------------------------------
 
 def test_language_accuracy_on_held_out_rows(spark):
