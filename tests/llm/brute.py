@@ -1,6 +1,9 @@
 """Plain brute-force versions that the tests hold the operators against."""
 
+import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -101,3 +104,71 @@ def pii_spans(text):
         ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda s: 8 <= len(digits(s)) <= 15),
     ]
     return [(kind, m.start(), m.end()) for kind, pattern, ok in tests for m in re.finditer(pattern, text) if ok(m[0])]
+
+
+def sha(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def hash_tree(digests):
+    """The root, and for each leaf the (left, right) digests beside it at every level."""
+    paths, at, nodes = [[] for _ in digests], list(range(len(digests))), list(digests)
+    while len(nodes) > 1:
+        for i, p in enumerate(paths):
+            first = at[i] // 16 * 16
+            run, k = nodes[first:first + 16], at[i] % 16
+            p.append(("".join(run[:k]), "".join(run[k + 1:])))
+            at[i] //= 16
+        nodes = [sha(*nodes[b:b + 16]) for b in range(0, len(nodes), 16)]
+    return nodes[0], paths
+
+
+def manifest(docs):
+    """Rows of the tamper check over (doc_id, source, lang, n_chars, text)."""
+    field = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    groups = defaultdict(list)
+    for row in docs:
+        groups[row[1]].append((row[0] is not None, row[0] or 0, sha(*map(field, row)), row))
+    trees = []
+    for source in sorted(groups, key=lambda s: (s is not None, (s or "").encode())):
+        rows = sorted(groups[source], key=lambda x: x[:3])
+        trees.append((rows, *hash_tree([x[2] for x in rows])))
+    if not trees:
+        return []
+    root, tops = hash_tree([t[1] for t in trees])
+    out = []
+    for (rows, subroot, paths), top in zip(trees, tops, strict=True):
+        for (_, _, leaf, row), path in zip(rows, paths, strict=True):
+            node = leaf
+            if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 5 == 0 and row[4] is not None:
+                node = sha(*map(field, (*row[:4], row[4].translate(UPPER))))
+            for left, right in path + top:
+                node = sha(left, node, right)
+            out.append((row[0], leaf, subroot, root, sha(*[a + b for a, b in path + top]), node, node == root))
+    return out
+
+
+def trie(turns):
+    """Nodes (conv_id, depth, parent, n_convs, n_children, n_leaves, saved, ends) of rebuilt (conv_id, turn, role, text)."""
+    own = defaultdict(list)
+    for conv, turn, role, text in turns:
+        if conv is not None:
+            role, text = role or "", text or ""
+            own[conv].append(((turn is not None, turn or 0, role, sha(f"{len(role.encode())}:", role, text)), (role, text)))
+    own = {c: tuple(t for _, t in sorted(v)) for c, v in own.items()}
+    rebuilt = {}
+    for c, ts in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        rebuilt[c] = own.get(c - int(math.fmod(c, 100)), ())[:h] + ts[h:]
+    members, kids = defaultdict(list), defaultdict(set)
+    for c, ts in rebuilt.items():
+        for d in range(len(ts) + 1):
+            members[ts[:d]].append(c)
+            if d:
+                kids[ts[:d - 1]].add(ts[:d])
+    leaves, saved = {}, {}
+    for p in sorted(members, key=len, reverse=True):
+        leaves[p] = sum(leaves[k] for k in kids[p]) or 1
+        saved[p] = sum(saved[k] for k in kids[p]) + ((len(members[p]) - 1) * len(p[-1][1]) if p else 0)
+    return [(min(m), len(p), min(members[p[:-1]]) if p else None, len(m), len(kids[p]), leaves[p], saved[p],
+             sha(",".join(str(c) for c in sorted(m) if rebuilt[c] == p))) for p, m in members.items()]
