@@ -25,12 +25,15 @@ def normalise(col) -> Column:
     return F.lower(F.trim(_c(col)))
 
 
-# Separator and NULL marker of the canonical row text that is hashed.
-ROW_HASH_SEPARATOR = "\u001f"
-ROW_HASH_NULL = "␀"
+# Marker of a NULL in the canonical row text that is hashed; values begin with their length.
+ROW_HASH_NULL = "-"
 
 
 def row_hash(cols: Sequence[str]) -> Column:
-    """SHA-256 (hex) of the canonical text of ``cols``; NULL is distinct from ''."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit(ROW_HASH_NULL)) for c in cols]
-    return F.sha2(F.concat_ws(ROW_HASH_SEPARATOR, *parts), 256)
+    """SHA-256 (hex) of ``cols``, each as UTF-8 byte count, ``:`` and text (NULL: ``-``).
+
+    The counts keep neighbouring values apart whatever characters they hold.
+    """
+    texts = [F.col(c).cast("string") for c in cols]
+    parts = [F.coalesce(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t), F.lit(ROW_HASH_NULL)) for t in texts]
+    return F.sha2(F.concat(*parts), 256)

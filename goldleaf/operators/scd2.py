@@ -16,6 +16,10 @@ Two modes:
   (``valid_to`` = next ``valid_from`` − 1 day), so at most one row per merchant
   is active and intervals never overlap, also when a change arrives late; a
   repeated ``I`` acts like ``U``.
+
+``scd2_apply_once`` makes either mode idempotent: a ledger holds the digest of every
+change that was applied, and a change found in it is left out, whichever batch or file
+brings it again.
 """
 
 from __future__ import annotations
@@ -29,9 +33,9 @@ from goldleaf.contracts import (MERCHANT_CODE_RENAMES, MERCHANT_STAGE_COLUMNS, M
 from goldleaf.operators.clean import (conform, drop_existing, rename_existing, require_columns,
                                       select_existing)
 from goldleaf.operators.dedup import dedup_by
-from goldleaf.operators.joins import bounded_broadcast
+from goldleaf.operators.joins import bounded_broadcast, semi_join_known
 from goldleaf.operators.keys import assign_surrogate_keys, next_key
-from goldleaf.functions import parse_date
+from goldleaf.functions import parse_date, row_hash
 
 DIM_KEY = "merchant_key"
 DIM_COLUMNS = [DIM_KEY] + [c for c in MERCHANT_STAGE_COLUMNS if c not in ("cdc_op", "cdc_timestamp")]
@@ -143,6 +147,38 @@ def scd2_apply(dim: DataFrame | None, stage: DataFrame, mode: str = "compat") ->
     return dim.join(ids, "merchant_id", "left_anti").select(*DIM_COLUMNS).unionByName(_chained(dim.join(ids, "merchant_id", "left_semi"), inserted))
 
 
+def change_ledger(stage: DataFrame) -> DataFrame:
+    """The ledger rows of a staged batch: one for each distinct change that opens a version."""
+    rows = stage.filter(F.col("cdc_op").isin("I", "U") & F.col("valid_from").isNotNull())
+    digest = row_hash([c for c in MERCHANT_STAGE_COLUMNS if c in stage.columns])
+    return rows.select("merchant_id", "valid_from", digest.alias("change_hash")).distinct()
+
+
+def unapplied(stage: DataFrame, ledger: DataFrame | None) -> DataFrame:
+    """The staged rows whose change is not in the ledger.
+
+    The digest covers every column, so it alone decides; the ledger's rows of the batch's own
+    changes are found first, by a size-checked broadcast of the batch's digests.
+    """
+    if ledger is None:
+        return stage
+    keyed = stage.withColumn("change_hash", row_hash([c for c in MERCHANT_STAGE_COLUMNS if c in stage.columns]))
+    known = semi_join_known(ledger, keyed, "change_hash").select("change_hash")
+    return keyed.join(known, "change_hash", "left_anti").select(*stage.columns)
+
+
+def scd2_apply_once(dim: DataFrame | None, stage: DataFrame, ledger: DataFrame | None,
+                    mode: str = "strict") -> tuple[DataFrame, DataFrame]:
+    """The next snapshots of the dimension and of its ledger; changes in ``ledger`` are left out.
+
+    ``stage`` is read several times: give a stored one.  Within one batch nothing is
+    collapsed beyond what ``mode`` does.
+    """
+    fresh = unapplied(stage, ledger)
+    added = change_ledger(fresh)
+    return scd2_apply(dim, fresh, mode), added if ledger is None else ledger.unionByName(added)
+
+
 def active_members(dim: DataFrame) -> DataFrame:
     """Current versions only (``is_active``)."""
     return dim.filter(F.col("is_active"))

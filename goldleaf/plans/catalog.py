@@ -19,11 +19,12 @@ from goldleaf.operators.fact import derive_fact_columns
 from goldleaf.operators.joins import lookup_key, null_safe_lookup, semi_join_known
 from goldleaf.operators.keys import extend_junk_dimension, next_key
 from goldleaf.operators.load import insert_absent
-from goldleaf.operators.scd2 import active_members, scd2_apply, scd2_expire, scd2_insert, stage_merchants
+from goldleaf.operators.scd2 import active_members, scd2_apply, scd2_apply_once, scd2_expire, scd2_insert, stage_merchants
 from goldleaf.plans import gold as G
 from goldleaf.plans import oracle as O
 from goldleaf.plans import silver as S
 from goldleaf.session import scratch_path
+from goldleaf.sources import commits
 from goldleaf.sources import files as IO
 from goldleaf.sources import fixtures as FX
 from goldleaf.sources import warehouse as W
@@ -292,6 +293,29 @@ def scd2_out_of_order(spark, sf_dir):
     return dim.select("merchant_id", "valid_from", "valid_to", "is_active")
 
 
+@register("scd2_reapply", O.with_(O.scd2_ctes("strict"), "SELECT * FROM dim1_strict"))
+def scd2_reapply(spark, sf_dir):
+    """D2 + D3 + J7: both batches arrive again, the later one first; rows and keys stay those of one application."""
+    s0, s1 = (s.checkpoint(eager=True) for s in _stages(spark, sf_dir))
+    dim = ledger = None
+    for batch in (s0, s1, s1, s0):
+        dim, ledger = (df.checkpoint(eager=True) for df in scd2_apply_once(dim, batch, ledger, "strict"))
+    return dim
+
+
+@register("scd2_resent_files", O.with_(O.scd2_ctes("strict"), "SELECT * FROM dim1_strict"))
+def scd2_resent_files(spark, sf_dir):
+    """T1 + D2 + D3: the extracts pass the incremental silver and merchant jobs, then are sent again under new names."""
+    from goldleaf.plans import jobs
+    raw, root, state = raw_m(spark, sf_dir), scratch_path(spark, "resent"), {}
+    for k, v in enumerate((0, 1, 1, 0)):
+        IO.write_raw_csv(FX.merchant_batch(raw, v), f"{root}/raw/drop{k}")
+        ING.ingest_available(ING.csv_stream(spark, f"{root}/raw/*", C.RAW_MERCHANT_SCHEMA), S.silver_merchants,
+                             f"{root}/silver/merchants", f"{root}/ckpt/silver", C.MERCHANT_PARTITION)
+        jobs._merchant_changes(spark, f"{root}/silver", f"{root}/gold", f"{root}/ckpt/gold", state, "strict")
+    return spark.read.parquet(state["dim_merchant"])
+
+
 # ---------------------------------------------------------------------------
 # gold: junk dimensions, lookups, fact
 # ---------------------------------------------------------------------------
@@ -637,6 +661,17 @@ def stream_incremental(spark, sf_dir):
     return ING.read_ingested(spark, target)
 
 
+@register("stream_replay", O.with_(O.merchant_ctes(), "SELECT * FROM silver_m WHERE country IS DISTINCT FROM 'country7'"))
+def stream_replay(spark, sf_dir):
+    """A committed micro-batch is replayed with a country less, and a later one breaks off before its commit."""
+    merchants, target = silver_m(spark, sf_dir).checkpoint(eager=True), f"{scratch_path(spark, 'replay')}/merchants"
+    commits.start_table(spark, target)
+    for rows in (merchants, merchants.filter(~F.col("country").eqNullSafe("country7"))):
+        commits.commit(spark, target, 0, ING.write_attempt(rows, target, 0, C.MERCHANT_PARTITION))
+    ING.write_attempt(merchants, target, 1, C.MERCHANT_PARTITION)
+    return ING.read_ingested(spark, target, merchants.schema)
+
+
 _RAW_SPLIT = [
     ("raw_first", f"SELECT * FROM raw_t WHERE created_at < '{FIRST_DROP_END}'"),
     ("raw_second", f"SELECT * FROM raw_t WHERE created_at >= '{SECOND_DROP_START}'"),

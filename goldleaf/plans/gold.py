@@ -20,7 +20,7 @@ from goldleaf.operators.fact import build_fact, derive_fact_columns
 from goldleaf.operators.keys import build_junk_dimension, extend_junk_dimension, next_key
 from goldleaf.operators.load import incremental_load, insert_absent
 from goldleaf.operators.quality import contract_report
-from goldleaf.operators.scd2 import rejected_versions, scd2_apply, stage_merchants
+from goldleaf.operators.scd2 import change_ledger, rejected_versions, scd2_apply_once, stage_merchants, unapplied
 from goldleaf.sources import warehouse as W
 from goldleaf.sources.files import read_parquet, write_clustered_fact, write_snapshot
 from goldleaf.sources.state import BATCH, complete_batches, read_batches, write_state
@@ -29,6 +29,7 @@ from goldleaf.sources.state import BATCH, complete_batches, read_batches, write_
 # clustering (year, month, date key, merchant), so the range shuffle that orders
 # the keys also lays out the files: no second shuffle before the write.
 FACT_LAYOUT = ["year", "month", "transaction_date_key", "merchant_key"]
+MERCHANT_TABLES = ["dim_merchant", "merchant_ledger"]
 FACT_KEY_ORDER = FACT_LAYOUT + [c for c in C.FACT_COLUMNS if c not in FACT_LAYOUT]
 
 
@@ -67,15 +68,24 @@ def _narrowed(df: DataFrame, types: dict[str, T.DataType]) -> dict[str, T.DataTy
 
 
 def apply_merchant_changes(spark: SparkSession, changes: DataFrame, root: str, state: dict, mode: str) -> dict:
-    """The next merchant snapshot after one CDC batch; its report and rejected rows beside it."""
-    staged = stage_merchants(changes)
-    dim = read_parquet(spark, state["dim_merchant"]) if state.get("dim_merchant") else None
+    """The next merchant and ledger snapshots after one CDC batch; its report and rejected rows beside them.
+
+    Changes that the ledger holds are not applied again; a batch of such changes alone leaves
+    both snapshots as they are.
+    """
+    staged_path = write_snapshot(stage_merchants(changes), root, "stg_merchants")
+    staged = read_parquet(spark, staged_path)
+    dim, ledger = (read_parquet(spark, state[t]) if state.get(t) else None for t in MERCHANT_TABLES)
     narrowed = _narrowed(changes, C.MERCHANT_STAGE_TYPES)
-    return {
+    out = {
+        "stg_merchants": staged_path,
         "merchant_report": write_snapshot(contract_report(changes, "silver_merchants", narrowing=narrowed), root, "merchant_report"),
         "rejected_merchants": write_snapshot(rejected_versions(staged), root, "rejected_merchants"),
-        "dim_merchant": write_snapshot(scd2_apply(dim, staged, mode), root, "dim_merchant"),
     }
+    if dim is not None and change_ledger(unapplied(staged, ledger)).isEmpty():
+        return out | {t: state[t] for t in MERCHANT_TABLES if state.get(t)}
+    snapshots = scd2_apply_once(dim, staged, ledger, mode)
+    return out | {t: write_snapshot(df, root, t) for t, df in zip(MERCHANT_TABLES, snapshots)}
 
 
 def run_gold(spark: SparkSession, silver_merchant_batches: list[DataFrame], silver_txn: DataFrame,

@@ -405,5 +405,5 @@ def contract_sql(src: str, table: str, not_null=(), widths=None, narrowing=None,
 
 
 def row_hash_sql(cols) -> str:
-    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '␀')" for c in cols)
-    return f"sha256(concat_ws(chr(31), {parts}))"
+    parts = " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in cols)
+    return f"sha256({parts})"
