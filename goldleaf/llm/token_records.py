@@ -6,7 +6,7 @@ A shard file is a sequence of records, each framed as
 
 all little-endian; the mask rotates the checksum and adds a constant, so that checksums of
 data that hold checksums stay sound.  A payload is a flag byte (1: the row has an id), the id
-(i64) and the token ids (u32 each).  The index is a Parquet table with one row per record:
+(i64), the bytes of a token id (2 where the vocabulary fits, else 4) and the token ids.  The index is a Parquet table with one row per record:
 shard, doc_id, offset and length of the frame, the tokens before it in its shard, and its own.
 
 Documents are range-partitioned by doc_id (null first; equal ids by a hash of the text, then
@@ -51,11 +51,13 @@ from goldleaf.session import scratch_path
 
 # Fixed values of the format.
 MASK_DELTA = 0xA282EAD8
-_HEAD, _FOOT, _ID = struct.Struct("<QI"), struct.Struct("<I"), struct.Struct("<Bq")
+_HEAD, _FOOT, _ID = struct.Struct("<QI"), struct.Struct("<I"), struct.Struct("<BqB")
 INDEX = "shard string, shard_no int, doc_id bigint, offset bigint, length bigint, first bigint, n_tokens bigint"
 
-#: Pieces kept in a worker, and the longest of them in characters.
-STORE_PIECES, STORE_LENGTH = 200_000, 48
+#: Pieces kept in one half of a worker's store, and the longest of them in characters.
+STORE_PIECES, STORE_LENGTH = 400_000, 48
+#: A character between pieces that are encoded together.
+MARK = "\x01"
 #: Characters encoded at once, and bytes fetched at once.
 RUN_CHARS, READ_BYTES = 1 << 21, 1 << 23
 
@@ -81,23 +83,35 @@ def unframe(record: bytes) -> bytes:
     return payload
 
 
-def payload_of(doc_id: int | None, ids: bytes) -> bytes:
-    return _ID.pack(doc_id is not None, doc_id or 0) + ids
+def payload_of(doc_id: int | None, ids: bytes, width: int) -> bytes:
+    return _ID.pack(doc_id is not None, doc_id or 0, width) + ids
 
 
 def parts_of(payload: bytes) -> tuple[int | None, bytes]:
-    has, doc_id = _ID.unpack_from(payload)
-    return (doc_id if has else None), payload[_ID.size:]
+    """The id, and the token ids as u32."""
+    has, doc_id, width = _ID.unpack_from(payload)
+    return (doc_id if has else None), np.frombuffer(payload, f"<u{width}", offset=_ID.size).astype("<u4").tobytes()
 
 
 class Encoder:
-    """Ids (u32 little-endian bytes) of whole texts by a tokenizer file."""
+    """Ids of whole texts by a tokenizer file, as little-endian bytes of `dtype`.
+
+    Pieces not in the store are encoded together, as one text with a mark between them: the
+    control character MARK, whose own id no other text gives.  The store has two halves; a full
+    new half replaces the old one, whose pieces come back when they are met again.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.store: dict[str, bytes] = {}
+        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.mark = self._ids([MARK])[0]
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         first, size = 0, 0
@@ -109,16 +123,30 @@ class Encoder:
 
     def _run(self, texts: list[str]) -> list[bytes]:
         pieces = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*pieces) - self.store.keys())
-        ids = self.tokenizer.encode_batch(new, add_special_tokens=False)
-        known = self.store | {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(new, ids, strict=True)} if new else self.store
-        out = [b"".join(map(known.__getitem__, p)) for p in pieces]
-        short = [p for p in new if len(p) <= STORE_LENGTH]
-        if len(self.store) + len(short) > STORE_PIECES:
-            self.store.clear()
-        self.store.update((p, known[p]) for p in short[:STORE_PIECES])
+        met = set().union(*pieces)
+        missing = met - self.new.keys()
+        again = missing & self.old.keys()
+        self.new.update((p, self.old[p]) for p in again)
+        self.new.update(self._pieces(list(missing - again)))
+        out = [b"".join(map(self.new.__getitem__, p)) for p in pieces]
+        for p in [p for p in met if len(p) > STORE_LENGTH]:
+            del self.new[p]
+        if len(self.new) > STORE_PIECES:
+            self.old, self.new = self.new, {}
         return out
 
+    def _pieces(self, fresh: list[str]) -> Iterator[tuple[str, bytes]]:
+        alone = [p for p in fresh if MARK in p]
+        if alone:
+            fresh = [p for p in fresh if MARK not in p]
+            yield from zip(alone, (x.tobytes() for x in self._ids(alone)), strict=True)
+        if not fresh:
+            return
+        ids = self._ids([f" {MARK} ".join(fresh)])[0]
+        ends = (np.append(np.flatnonzero(ids == self.mark[0]), len(ids)) * self.dtype.itemsize).tolist()
+        body, starts = ids.tobytes(), [0, *(e + self.dtype.itemsize for e in ends[:-1])]
+        yield from zip(fresh, map(body.__getitem__, map(slice, starts, ends)), strict=True)
+
 
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
@@ -138,7 +166,6 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFram
     keyed = keyed.select("doc_id", "text", F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("place"))
     order = [F.col(c).asc_nulls_first() for c in ("doc_id", "tie", "place")]
     keyed = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
-    end = struct.pack("<I", end_id)
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = _open(folder)
@@ -149,12 +176,12 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFram
                     name = f"shard-{no:06d}-{uuid.uuid4().hex[:12]}.rec"
                     fs.create_dir(base, recursive=True)
                     out = fs.open_output_stream(f"{base}/{name}")
-                rows = []
-                ids = batch.column("doc_id").to_pylist()
-                for doc_id, body in zip(ids, encoder(tokenizer)(batch.column("text").to_pylist()), strict=True):
-                    record = frame(payload_of(doc_id, body + end))
+                rows, encode = [], encoder(tokenizer)
+                width, end = encode.dtype.itemsize, np.array([end_id], encode.dtype).tobytes()
+                for doc_id, body in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist()), strict=True):
+                    record = frame(payload_of(doc_id, body + end, width))
                     out.write(record)
-                    n = len(body) // 4 + 1
+                    n = len(body) // width + 1
                     rows.append((name, no, doc_id, at, len(record), tokens, n))
                     at, tokens = at + len(record), tokens + n
                 yield _batch(rows)
