@@ -16,12 +16,14 @@ occurs: sum of minima / sum of maxima >= 0.75.
    5.8 deviations beyond.
 4. Candidates within the radius are verified exactly on their shingles.
 
-The benchmark is read in slices of about SLICE_WORDS words at most, dealt by hash, each sent
-to the tasks as a broadcast of that size and matched in its own pass, so no benchmark is too
-large.  Documents are never shuffled.
+An item of fewer than five words is one shingle, its whole sequence, so a window reaches the
+threshold only if it is that sequence: windows of that many words are looked up by its hash.
 
-Items or texts that are null, empty or without words match nothing.  An item of fewer than
-five words is one shingle, its whole sequence, and matches only texts that consist of it.  Items of equal text
+The benchmark's distinct rows are read in slices of SLICE_BYTES at most (or one row), dealt
+by hash and measured before they are fetched, each sent to the tasks as a broadcast of that
+size and matched in its own pass, so no benchmark is too large.  Documents are never shuffled.
+
+Items or texts that are null, empty or without words match nothing.  Items of equal text
 each give their own rows.  Rows that repeat a doc_id give the best match of the rows; null
 doc_ids are reported under null.  Other columns are ignored.
 """
@@ -36,14 +38,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldleaf.llm.common import map_batches, prepare
-from goldleaf.llm.words import SHINGLE, mix, shingles_of, stream, words_of
+from goldleaf.llm.words import SHINGLE, Words, mix, shingles_of, stream, windows_of, words_of
 
 BITS, BLOCKS = 128, 16
 BLOCK_RADIUS = 2
 RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1
 THRESHOLD = (75, 100)
-#: Words of the benchmark that one pass takes.
-SLICE_WORDS = 2_000_000
+#: Bytes of the benchmark's texts that one pass takes.
+SLICE_BYTES = 12_000_000
 _SEED_BITS = 22
 _POP = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 _HALF = stream(21, 2)
@@ -76,6 +78,10 @@ class Index:
             # tables[block][value]: which items lie within two bits there
             tables = [near[:, marks[:, b]] for b in range(BLOCKS)]
             self.sizes[size] = which, marks, tables
+        #: Items of fewer words than a shingle by their hash, for each number of words.
+        self.short: dict[int, dict[int, list[int]]] = {}
+        for i in np.flatnonzero((sizes > 0) & (sizes < SHINGLE)).tolist():
+            self.short.setdefault(int(sizes[i]), {}).setdefault(int(self.items[i][0]), []).append(i)
 
     def lookup(self, size: int, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window, item) of all fingerprints within RADIUS."""
@@ -94,20 +100,33 @@ class Index:
         seed = self.maybe[(hashes >> np.uint64(64 - _SEED_BITS)).astype(np.int64)]
         at = np.flatnonzero(seed)
         seed[at] = np.isin(hashes[at], self.seeds)
+        out = self._short_matches(words)
         if not seed.any():
-            return []
+            return out
         count = np.concatenate([[0], np.cumsum(seed)])
-        out = []
         for doc in np.unique(np.searchsorted(first, np.flatnonzero(seed), "right") - 1).tolist():
             a, b = int(first[doc]), int(first[doc + 1])
             out += [(doc, *found) for found in self._best(hashes[a:b], count[a:b + 1], int(words.first[doc + 1] - words.first[doc]))]
         return out
 
+    def _short_matches(self, words: Words) -> list[tuple[int, int, float, int]]:
+        """As matches(), of the items of one to four words in longer texts."""
+        best: dict[tuple[int, int], int] = {}
+        for size, items in self.short.items():
+            hashes, start = windows_of(words, size)
+            hit = np.isin(hashes, np.fromiter(items, np.uint64))
+            text = np.searchsorted(words.first, start[hit], "right") - 1
+            for key, doc, at in zip(hashes[hit].tolist(), text.tolist(), start[hit].tolist(), strict=True):
+                if words.first[doc + 1] - words.first[doc] > size:
+                    for item in items[key]:
+                        best.setdefault((doc, item), at - int(words.first[doc]))
+        return [(doc, item, 1.0, at) for (doc, item), at in best.items()]
+
     def _best(self, own: np.ndarray, runs: np.ndarray, n_words: int) -> list[tuple[int, float, int]]:
         """(item, similarity, first word) of one text's best windows; runs: running counts of its seeds."""
         best: dict[int, tuple[float, int]] = {}
         for size, (which, _, _) in self.sizes.items():
-            if size < SHINGLE < n_words:
+            if size < min(SHINGLE, n_words):  # _short_matches() has these
                 continue
             width, full = (max(1, n - SHINGLE + 1) for n in (min(size, n_words), size))
             need = -(-THRESHOLD[0] * (width + full) // sum(THRESHOLD))
@@ -137,14 +156,18 @@ def overlap(x: np.ndarray, y: np.ndarray) -> tuple[int, int]:
 
 def slices(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     """The items in slices of bounded size; a slice is fetched only when it is used."""
-    sized = benchmark.select("item_id", "text").where("text IS NOT NULL").withColumn("__n", F.size(F.split("text", r"[\x20\x09-\x0D]+")))
-    total = sized.agg(F.sum("__n")).first()[0] or 0
-    if total <= SLICE_WORDS:
-        yield [(r[0], r[1]) for r in sized.orderBy("item_id", "text").collect()]
-        return
-    parts = -(-total // (SLICE_WORDS // 2))
+    rows = benchmark.select("item_id", "text").where("text IS NOT NULL").distinct()
+    size, place = F.sum(F.octet_length("text").cast("long")), F.xxhash64("item_id", "text")
+    total, n = rows.agg(size, F.count("*")).first()
+    parts = -(-(total or 0) // SLICE_BYTES) or 1
+    # a slice holds one row or no more than SLICE_BYTES: its size is known before it is fetched
+    while parts > 1:
+        held = rows.groupBy(F.pmod(place, F.lit(parts)).alias("k")).agg(size.alias("size"), F.count("*").alias("n"))
+        if parts >= 64 * n or not held.where((F.col("size") > SLICE_BYTES) & (F.col("n") > 1)).count():
+            break
+        parts *= 2
     for k in range(parts):
-        part = sized.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k)
+        part = rows.where(F.pmod(place, F.lit(parts)) == k)
         yield [(r[0], r[1]) for r in part.orderBy("item_id", "text").collect()]
 
 

@@ -49,8 +49,8 @@ SIZE = BANDS * ROWS
 OUTSIDERS = 192
 #: Members of one bucket that pass by in one stream.
 STREAM = 1024
-#: Pairs whose signatures agree in a smaller share are not confirmed: 4.5 deviations below the threshold.
-LEAST_AGREEMENT = 0.617
+#: Buckets of the counts that bound a pair's intersection from above.
+COUNTS = 512
 THRESHOLD = (75, 100)
 
 _DRAW = stream(11, 2 * SIZE)
@@ -109,15 +109,18 @@ def signatures(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), run, "doc_id long, n_shingles long, digest binary, bands array<long>")
 
 
+def counts(shingles: np.ndarray) -> np.ndarray:
+    """How many of the shingles fall into each of COUNTS buckets; smaller counts of two sets add up to no less than they share."""
+    return np.bincount((shingles >> np.uint64(64 - COUNTS.bit_length() + 1)).astype(np.int64), minlength=COUNTS).astype(np.uint32)
+
+
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """node (the doc_id), its sorted distinct shingles, and its bands with 16 bits of each component, as binary values."""
+    """node (the doc_id), its sorted distinct shingles as a binary value, and its bands."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = distinct_shingles(batch.column(1))
-        sigs = [signature(s) for s in sets]
-        marks = [band_hashes(g).tobytes() + g.astype(np.uint16).tobytes() for g in sigs]
-        return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(marks, pa.binary())], names=["node", "shingles", "marks"])
+        return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), batch.column(2)], names=["node", "shingles", "bands"])
 
-    return map_batches(docs.select("doc_id", "text"), run, "node long, shingles binary, marks binary")
+    return map_batches(docs.select("doc_id", "text", "bands"), run, "node long, shingles binary, bands array<long>")
 
 
 def similar(a: bytes, b: bytes) -> bool:
@@ -149,8 +152,9 @@ def links(docs: DataFrame, sigs: DataFrame) -> DataFrame:
     members = reps.select(F.explode("bands").alias("bucket"), "node")
     shared = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1").select("bucket", "leader")
     members = stored(members.join(shared, "bucket").distinct(), "buckets")
-    texts = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
-    texts = texts.join(members.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    # the bands come along from the first pass: no signature is computed twice
+    met = reps.join(members.select("node").distinct(), "node", "left_semi").withColumnRenamed("node", "doc_id")
+    texts = docs.select("doc_id", "text").where("doc_id IS NOT NULL").join(met, "doc_id")
     sets = stored(shingle_sets(texts), "shingles")
     found = stored(confirm(members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), sets), "links")
     part = components(found)
@@ -165,7 +169,7 @@ def links(docs: DataFrame, sigs: DataFrame) -> DataFrame:
     outside = at.where(foreign).withColumn("block", F.pmod(dealt, "blocks")).withColumn("stream", F.explode(F.sequence(F.lit(0), F.col("streams") - 1)))
     inside = at.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("stream", F.pmod(dealt, "streams"))
     rows = outside.withColumn("role", F.lit(0)).unionByName(inside.withColumn("role", F.lit(1)))
-    rows = rows.join(sets, "node").select("bucket", "block", "stream", "role", "node", "component", "shingles", "marks")
+    rows = rows.join(sets, "node").select("bucket", "block", "stream", "role", "node", "component", "shingles", "bands")
     rows = rows.repartition("bucket", "block", "stream").sortWithinPartitions("bucket", "block", "stream", "role")
     return found.unionByName(stored(rows.mapInArrow(_meet, "a long, b long").distinct(), "more-links"))
 
@@ -175,36 +179,40 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     group, held = None, None
     for batch in batches:
         out = []
-        for bucket, block, stream_, role, node, component, shingles, marks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for bucket, block, stream_, role, node, component, shingles, bands in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if (bucket, block, stream_) != group:
                 group, held = (bucket, block, stream_), _Outsiders(bucket)
             if role == 0:
-                held.add(node, component, shingles, marks)
+                held.add(node, component, shingles, bands)
             else:
-                out += held.links(node, component, shingles, marks)
+                out += held.links(node, component, shingles, bands)
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
 
 
 class _Outsiders:
     def __init__(self, bucket: int):
-        self.bucket, self.rows, self.bands, self.parts, self.done = bucket, [], None, None, {}
+        self.bucket, self.rows, self.bands, self.counts, self.sizes, self.done = bucket, [], None, None, None, {}
 
-    def add(self, node: int, component: int, shingles: bytes, marks: bytes) -> None:
-        self.rows.append((node, component, shingles, marks))
+    def add(self, node: int, component: int, shingles: bytes, bands: list[int]) -> None:
+        self.rows.append((node, component, shingles, bands))
 
-    def links(self, node: int, component: int, shingles: bytes, marks: bytes) -> list[tuple[int, int]]:
+    def links(self, node: int, component: int, shingles: bytes, bands: list[int]) -> list[tuple[int, int]]:
         if not self.rows:  # the hash dealt this block none
             return []
         if self.bands is None:
-            both = [r[3] for r in self.rows]
-            self.bands = np.stack([np.frombuffer(m, np.int64, BANDS) for m in both])
-            self.parts = np.stack([np.frombuffer(m, np.uint16, SIZE, 8 * BANDS) for m in both])
-        same = self.bands == np.frombuffer(marks, np.int64, BANDS)
-        here = self.bands[np.arange(len(same)), same.argmax(1)] == self.bucket
-        agree = np.count_nonzero(self.parts == np.frombuffer(marks, np.uint16, SIZE, 8 * BANDS), axis=1) >= LEAST_AGREEMENT * SIZE
+            self.bands = np.array([r[3] for r in self.rows], np.int64)
+            self.counts = np.stack([counts(np.frombuffer(r[2], np.uint64)) for r in self.rows])
+            self.sizes = self.counts.sum(1, dtype=np.int64)
+        same = self.bands == np.array(bands, np.int64)
+        here = np.flatnonzero(self.bands[np.arange(len(same)), same.argmax(1)] == self.bucket)
+        own = counts(np.frombuffer(shingles, np.uint64))
+        # no pair that reaches the threshold is left out: the sum is at least the intersection
+        most = np.minimum(self.counts[here], own).sum(1, dtype=np.int64)
+        part, whole = THRESHOLD
+        here = here[whole * most >= part * (self.sizes[here] + int(own.sum()) - most)]
         out = []
-        for i in np.flatnonzero(here & agree).tolist():
+        for i in here.tolist():
             other, theirs, their_set, _ = self.rows[i]
             if theirs != component and (other, component) not in self.done and similar(their_set, shingles):
                 self.done[other, component] = True

@@ -86,6 +86,17 @@ def words_of(column: pa.Array) -> Words:
     return Words(data, starts, ends, mix(np.add.reduceat(value, at) + sizes.astype(np.uint64) * np.uint64(_GOLD)), first)
 
 
+def windows_of(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, start): every run of `size` words inside one text, hashed as the text of just these words."""
+    h, start = words.hashes, np.arange(max(0, len(words.hashes) - size + 1))
+    text = np.searchsorted(words.first, start, "right")
+    start = start[start + size <= words.first[text]]
+    total = np.full(len(start), np.uint64(size)) * np.uint64(_GOLD)
+    for k in range(size):
+        total += h[start + k] * _STEP[k]
+    return mix(total), start
+
+
 def shingles_of(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, first): first[d]:first[d + 1] are text d's shingles in order, repeats included.
 

@@ -62,11 +62,11 @@ def contaminated(docs, items):
             continue
         own = set(shingles(ws))
         for item_id, iw, ic in held:
-            if not own & ic.keys():
+            if len(iw) >= 5 and not own & ic.keys():
                 continue
             size = min(len(iw), len(ws))
             for s in range(len(ws) - size + 1):
-                win = Counter(shingles(ws[s:s + size])) if len(iw) >= 5 or len(ws) == size else Counter()
+                win = Counter(shingles(ws[s:s + size]))
                 low, high = (win & ic).total(), (win | ic).total()
                 if high and 100 * low >= 75 * high:
                     out[doc_id, item_id] = max(out.get((doc_id, item_id), 0), low / high)

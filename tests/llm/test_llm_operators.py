@@ -451,15 +451,24 @@ def test_decontamination_equals_brute_force(spark):
 
 def test_decontamination_edges(spark, edge, monkeypatch):
     items = spark.createDataFrame([(1, None, 0), (2, "", 0), (3, "one two", 0), (4, "two", 0), (5, LINE, 0), (6, LINE, 0), (None, "x y z", 0)], "item_id long, text string, node int")
-    want = [(4, 3), (5, 3), *((d, i) for d in (10, 11, 12, 13, 14, None) for i in (5, 6))]
+    want = [(4, 3), (5, 3), (4, 4), (5, 4), *((d, i) for d in (10, 11, 12, 13, 14, None) for i in (5, 6))]
     assert sorted(by_id(decontam_simhash.contaminated(edge, items), "item_id"), key=str) == sorted(want, key=str)
     kept = decontam_simhash.drop_contaminated(edge, items)
     assert kept.columns == edge.columns and {r.doc_id for r in kept.collect()} == {1, 2, 3, 6, 7, 8, None, 9, 15}
     assert decontam_simhash.contaminated(edge, items.limit(0)).count() == 0 and decontam_simhash.contaminated(edge.limit(0), items).count() == 0
-    monkeypatch.setattr(decontam_simhash, "SLICE_WORDS", 8)  # several passes
+    monkeypatch.setattr(decontam_simhash, "SLICE_BYTES", 40)  # several passes
     assert sorted(by_id(decontam_simhash.contaminated(edge, items), "item_id"), key=str) == sorted(want, key=str)
 
 
+def test_short_items_are_found_inside_longer_texts(spark):
+    items = [(1, "alpha beta gamma delta"), (2, "beta"), (3, "a b"), (4, "x"), (5, "one two three four five"), (6, "Q r s"), (6, "Q r s")]
+    docs = [(1, "one two alpha beta gamma delta eps"), (2, "beta"), (3, "a b a b"), (4, "A  B\tc d"), (5, "q R"), (6, "q R\ns"), (7, "xx alphabeta"), (8, "one two three four"),
+            (9, "b a"), (10, None), (11, "s q r s q " * 50), (12, "one two three four five")]
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontam_simhash.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == brute.contaminated(docs, items) and got[1, 1] == got[3, 3] == 1.0 and (11, 6) in got
+
+
 def test_multi_index_finds_every_fingerprint_within_the_radius():
     rng = np.random.default_rng(11)
     index = decontam_simhash.Index([(k, " ".join(f"w{k}x{j}" for j in range(20))) for k in range(50)])
