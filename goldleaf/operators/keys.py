@@ -8,7 +8,8 @@ order without a global (single-partition) window:
 3. count rows per partition (one small job; the driver receives one number
    per partition, never rows);
 4. key = start + offset(partition) + position in partition, where the
-   position comes from ``monotonically_increasing_id`` (its low 33 bits).
+   position comes from ``monotonically_increasing_id`` (its low 33 bits) and the
+   offsets are a broadcast table with one row per partition.
 
 Step 4 is a narrow projection, so the keyed table is never funnelled
 through one task.
@@ -17,6 +18,7 @@ through one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
@@ -26,6 +28,9 @@ from pyspark.sql import types as T
 from goldleaf.session import ensure_checkpoint_dir
 
 
+_PID, _START, _POS, _SET = "__goldleaf_pid", "__goldleaf_start", "__goldleaf_pos", "__goldleaf_set"
+
+
 def _order_cols(order_by: Sequence) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order_by]
 
@@ -35,26 +40,26 @@ def assign_surrogate_keys(df: DataFrame, key_col: str, order_by: Sequence | None
                           key_type: T.DataType = T.LongType()) -> DataFrame:
     """Add ``key_col`` = dense sequence from ``start`` following ``order_by``.
 
+    The number of partitions is the given one, or what AQE makes of the rows' bytes.
     Without ``order_by`` the existing partitioning is kept (no shuffle) and
     keys are dense but follow storage order.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     if order_by:
-        n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
         cols = _order_cols(order_by)
-        df = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+        df = df.repartitionByRange(*([num_partitions] if num_partitions else []), *cols).sortWithinPartitions(*cols)
     fixed = df.checkpoint(eager=True)
     counts = dict(fixed.groupBy(F.spark_partition_id().alias("pid")).count().collect())
     n_parts = fixed.rdd.getNumPartitions()
     sizes = [counts.get(p, 0) for p in range(n_parts)]
     offsets = [0] + list(accumulate(sizes))[:-1]
-    pid = F.spark_partition_id()
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets] or [F.lit(0).cast("long")]),
-                          pid + 1) if n_parts else F.lit(0).cast("long")
-    position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    key = (F.lit(start).cast("long") + offset + position).cast(key_type)
-    return fixed.select(key.alias(key_col), *fixed.columns)
+    # one row per partition that holds rows: the offsets are data, the plan does not grow with them
+    starts = spark.createDataFrame([(p, offsets[p]) for p in range(n_parts) if sizes[p]], f"{_PID} int, {_START} long")
+    placed = fixed.withColumns({_PID: F.spark_partition_id(), _POS: F.monotonically_increasing_id()})
+    position = F.col(_POS) - F.shiftleft(F.col(_PID).cast("long"), 33)
+    key = (F.lit(start).cast("long") + F.col(_START) + position).cast(key_type)
+    return placed.join(F.broadcast(starts), _PID).select(key.alias(key_col), *fixed.columns)
 
 
 def next_key(dim: DataFrame, key_col: str, hint: int | None = None) -> int:
@@ -72,6 +77,23 @@ def next_key(dim: DataFrame, key_col: str, hint: int | None = None) -> int:
     return int(top) + 1
 
 
+def combinations(source: DataFrame, attr_sets: Sequence[Sequence[str]]) -> list[DataFrame]:
+    """The distinct combinations of each attribute set, from one pass over ``source`` (GROUPING SETS).
+
+    Both sets' combinations are aggregated on the map side before the one shuffle.
+    """
+    every = list(dict.fromkeys(a for attrs in attr_sets for a in attrs))
+    # a set's own number, as NULL is also a value of an attribute
+    which = reduce(lambda rest, k: F.when(_grouped_by(every, attr_sets[k]), k).otherwise(rest), range(len(attr_sets)), F.lit(-1))
+    sets = [[F.col(a) for a in attrs] for attrs in attr_sets]
+    found = source.groupingSets(sets, *[F.col(a) for a in every]).agg(which.alias(_SET)).checkpoint(eager=True)
+    return [found.filter(F.col(_SET) == k).select(*attrs) for k, attrs in enumerate(attr_sets)]
+
+
+def _grouped_by(every: Sequence[str], attrs: Sequence[str]) -> Column:
+    return reduce(lambda x, y: x & y, [F.grouping(a) == F.lit(0 if a in attrs else 1) for a in every])
+
+
 def build_junk_dimension(source: DataFrame, attrs: Sequence[str], key_col: str,
                          unknown_member: int | None = None) -> DataFrame:
     """One row per distinct attribute combination (NULL counts as a value).
@@ -93,7 +115,6 @@ def build_junk_dimension(source: DataFrame, attrs: Sequence[str], key_col: str,
 def extend_junk_dimension(dim: DataFrame, source: DataFrame, attrs: Sequence[str], key_col: str) -> DataFrame:
     """``dim`` plus the attribute combinations of ``source`` it lacks (NULL-safe match),
     keyed after its maximum in attribute order; existing keys never change."""
-    from functools import reduce
     seen = dim.select(*[F.col(a).alias(f"__d_{a}") for a in attrs])
     combos = source.select(*attrs).distinct()
     cond = reduce(lambda x, y: x & y, [combos[a].eqNullSafe(seen[f"__d_{a}"]) for a in attrs])

@@ -24,7 +24,7 @@ brings it again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,9 +108,14 @@ def scd2_insert(stage: DataFrame, start_key: int = 1, mode: str = "compat") -> D
     return keyed.select(*DIM_COLUMNS)
 
 
+def opens_version() -> Column:
+    """The change is one that makes a version: an insert or an update."""
+    return F.col("cdc_op").isin("I", "U")
+
+
 def rejected_versions(stage: DataFrame) -> DataFrame:
     """Changes without a valid_from: no interval can hold them, and the table's NOT NULL refuses them."""
-    return stage.filter(F.col("cdc_op").isin("I", "U") & F.col("valid_from").isNull())
+    return stage.filter(opens_version() & F.col("valid_from").isNull())
 
 
 def _chained(dim: DataFrame, inserted: DataFrame) -> DataFrame:
@@ -149,7 +154,7 @@ def scd2_apply(dim: DataFrame | None, stage: DataFrame, mode: str = "compat") ->
 
 def change_ledger(stage: DataFrame) -> DataFrame:
     """The ledger rows of a staged batch: one for each distinct change that opens a version."""
-    rows = stage.filter(F.col("cdc_op").isin("I", "U") & F.col("valid_from").isNotNull())
+    rows = stage.filter(opens_version() & F.col("valid_from").isNotNull())
     digest = row_hash([c for c in MERCHANT_STAGE_COLUMNS if c in stage.columns])
     return rows.select("merchant_id", "valid_from", digest.alias("change_hash")).distinct()
 

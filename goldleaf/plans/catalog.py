@@ -8,16 +8,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from goldleaf import contracts as C
 from goldleaf.operators import clean as CL
 from goldleaf.operators.dedup import distinct_values, late_dedup, order_desc
 from goldleaf.operators.dedup import row_hash_anti as hash_anti
-from goldleaf.operators.quality import contract_report
+from goldleaf.operators.quality import contract_report, split_breaches, with_breaches
 from goldleaf.operators.calendar import build_dim_date
 from goldleaf.operators.fact import derive_fact_columns
 from goldleaf.operators.joins import lookup_key, null_safe_lookup, semi_join_known
-from goldleaf.operators.keys import extend_junk_dimension, next_key
+from goldleaf.operators.keys import build_junk_dimension, combinations, extend_junk_dimension, next_key
 from goldleaf.operators.load import insert_absent
 from goldleaf.operators.scd2 import active_members, scd2_apply, scd2_apply_once, scd2_expire, scd2_insert, stage_merchants
 from goldleaf.plans import gold as G
@@ -374,6 +375,18 @@ _JUNK_TWO = _DERIVED + [
 ]
 
 
+_JUNK_COLS = [C.PAYMENT_JUNK_KEY, C.CARD_JUNK_KEY, *C.PAYMENT_JUNK_ATTRS, *C.CARD_JUNK_ATTRS]
+
+
+@register("junk_one_pass", O.with_(_FACT, f"SELECT {', '.join(_JUNK_COLS)} FROM (SELECT * FROM junk_p UNION ALL BY NAME SELECT * FROM junk_c)"))
+def junk_one_pass(spark, sf_dir):
+    """Both junk dimensions from one pass over the derived rows (GROUPING SETS)."""
+    sets = [C.PAYMENT_JUNK_ATTRS, C.CARD_JUNK_ATTRS]
+    parts = [build_junk_dimension(seen, attrs, key) for seen, attrs, key in
+             zip(combinations(derived_t(spark, sf_dir), sets), sets, (C.PAYMENT_JUNK_KEY, C.CARD_JUNK_KEY))]
+    return parts[0].unionByName(parts[1], allowMissingColumns=True).select(*_JUNK_COLS)
+
+
 @register("junk_lookup_two_deliveries", O.with_(_JUNK_TWO,
     f"SELECT d.transaction_id, coalesce(j.{C.PAYMENT_JUNK_KEY}, -1) AS {C.PAYMENT_JUNK_KEY} "
     f"FROM derived d LEFT JOIN junk_1 j ON {O.null_safe(C.PAYMENT_JUNK_ATTRS, 'd', 'j')}"))
@@ -488,6 +501,17 @@ def fact_load(spark, sf_dir):
     return _two_loads(spark, sf_dir)[1]
 
 
+@register("fact_load_pruned", O.with_(_LOAD_CTES, "SELECT * FROM k1 UNION ALL SELECT * FROM k2"))
+def fact_load_pruned(spark, sf_dir):
+    """J6 + D7: the same two loads as batch folders; sketches of the first choose what the second reads."""
+    staged = fact_stage(spark, sf_dir).checkpoint(eager=True)
+    table = scratch_path(spark, "fact-pruned")
+    G.load_fact_batch(spark, _first_drop(staged), table, "a")
+    G.load_fact_batch(spark, staged, table, "b")
+    out = read_batches(spark, table)
+    return out.withColumns({c: F.col(c).cast(staged.schema[c].dataType) for c in ("year", "month")})
+
+
 @register("fact_reload_idempotent", O.with_(_LOAD_CTES, "SELECT * FROM k1 UNION ALL SELECT * FROM k2"))
 def fact_reload_idempotent(spark, sf_dir):
     """Re-running the load with the same batch adds no row: final table unchanged."""
@@ -745,6 +769,28 @@ def partition_scoped_dedup(spark, sf_dir):
 # contract checks
 # ---------------------------------------------------------------------------
 
+# a narrower contract than the warehouse's, which rows of the extract do breach
+_STRICT = {"not_null": ["merchant_name", "tax_id", "contract_end_date"], "widths": {"merchant_name": 19, "city": 9, "state": 6},
+           "narrowing": {"monthly_fee": T.DecimalType(5, 2), "business_category": T.IntegerType(), "onboarding_date": T.DateType()}}
+
+
+def _breaches_sql() -> str:
+    checks = [f"CASE WHEN {c} IS NULL THEN 'not_null:{c}' END" for c in _STRICT["not_null"]]
+    checks += [f"CASE WHEN length({c}) > {n} THEN 'varchar_width:{c}' END" for c, n in _STRICT["widths"].items()]
+    checks += [f"CASE WHEN {c} IS NOT NULL AND {O.try_cast(c, t)} IS NULL THEN 'numeric_narrowing:{c}' END" for c, t in _STRICT["narrowing"].items()]
+    return f"list_filter([{', '.join(checks)}], lambda x: x IS NOT NULL)"
+
+
+@register("contract_quarantine", O.with_([O.RAW_M, ("f1", O.nulls_cleaned("raw_m", O.RAW_M_COLS)), ("checked", f"SELECT *, {_breaches_sql()} AS b FROM f1")],
+    "SELECT merchant_id, op, array_to_string(b, ' ') AS reasons, len(b) = 0 AS loaded FROM checked"))
+def contract_quarantine(spark, sf_dir):
+    """C1 + C3 + C4: one pass finds each row's breaches; sound rows and those set aside, with their reasons."""
+    kept, refused = split_breaches(with_breaches(CL.clean_nulls(raw_m(spark, sf_dir)), **_STRICT))
+    cols = ["merchant_id", "op", "reasons", "loaded"]
+    return (kept.withColumns({"reasons": F.lit(""), "loaded": F.lit(True)}).select(*cols)
+            .unionByName(refused.withColumns({"reasons": F.array_join("breaches", " "), "loaded": F.lit(False)}).select(*cols)))
+
+
 _NARROW = {"commission_rate": C.MERCHANT_STAGE_TYPES["commission_rate"]}
 
 
