@@ -28,6 +28,7 @@ from goldleaf.session import scratch_path
 from goldleaf.sources import commits
 from goldleaf.sources import files as IO
 from goldleaf.sources import fixtures as FX
+from goldleaf.sources import versioned as VS
 from goldleaf.sources import warehouse as W
 from goldleaf.sources.state import read_batches
 from goldleaf.streaming import ingest as ING
@@ -765,6 +766,63 @@ def partition_scoped_dedup(spark, sf_dir):
     return spark.read.schema(incoming.schema).parquet(path)
 
 
+@register("partition_replace_versioned", ORACLE["partition_scoped_dedup"])
+def partition_replace_versioned(spark, sf_dir):
+    """T4: the same re-delivery into a versioned table, whose touched months are replaced at once."""
+    raw = raw_t(spark, sf_dir)
+    known = silver_m(spark, sf_dir)
+    existing = S.silver_transactions(_raw_first(raw), known)
+    incoming = S.silver_transactions(raw.filter(F.col("created_at") >= SECOND_DROP_START), known)
+    path = scratch_path(spark, "silver-versioned")
+    VS.replace_partitions(spark, path, existing, C.TRANSACTION_PARTITION)
+    partition_scoped_merge(spark, path, incoming, C.TRANSACTION_PARTITION,
+                           C.TRANSACTION_DEDUP_KEYS, order_desc(incoming.columns), schema=incoming.schema)
+    return VS.read_version(spark, path, incoming.schema)
+
+
+OVERLAP_START = "2022-12-25 00:00:00"  # within a week of the first drop's end
+
+
+def _silver_of_two_drops(spark, sf_dir, late: str):
+    """The incremental silver job over two deliveries that overlap by a week."""
+    from goldleaf.plans.jobs import run_silver_incremental
+    raw, root = raw_t(spark, sf_dir), scratch_path(spark, f"late-{late}")
+    IO.write_raw_csv(raw_m(spark, sf_dir), f"{root}/raw/merchants/x1")
+    for k, rows in enumerate((_raw_first(raw), raw.filter(F.col("created_at") >= OVERLAP_START))):
+        IO.write_raw_csv(rows, f"{root}/raw/transactions/x{k}")
+        tables = run_silver_incremental(spark, f"{root}/raw", f"{root}/silver", f"{root}/ckpt", late=late)
+    return ING.read_ingested(spark, tables["transactions"])
+
+
+_ALL_COPIES = [(n, "SELECT * FROM t_f1_n" if n == "t_a2_n" else body) for n, body in O.transaction_ctes("raw_t", "_n")]
+_TWO_DROPS = [
+    ("raw_a", f"SELECT * FROM raw_t WHERE created_at < '{FIRST_DROP_END}'"),
+    ("raw_b", f"SELECT * FROM raw_t WHERE created_at >= '{OVERLAP_START}'"),
+]
+_ONE_EACH = f"QUALIFY row_number() OVER (PARTITION BY transaction_id, transaction_timestamp ORDER BY {_SILVER_ORDER}) = 1"
+
+
+@register("late_stream_watermark", O.with_(O.merchant_ctes() + [O.RAW_T] + _ALL_COPIES, "SELECT DISTINCT transaction_id, transaction_timestamp FROM silver_t_n"))
+def late_stream_watermark(spark, sf_dir):
+    """T1 + T2 as a stream: ids seen within seven days of event time are dropped by watermarked state (each id once)."""
+    return _silver_of_two_drops(spark, sf_dir, "watermark").select("transaction_id", "transaction_timestamp")
+
+
+@register("late_stream_lookback", O.with_(O.merchant_ctes() + [O.RAW_T] + _TWO_DROPS + O.transaction_ctes("raw_a", "_a") + O.transaction_ctes("raw_b", "_b") + [
+    ("one_a", f"SELECT * FROM silver_t_a {_ONE_EACH}")],
+    "SELECT * FROM one_a UNION ALL (SELECT * FROM silver_t_b i WHERE NOT EXISTS (SELECT 1 FROM one_a e WHERE e.transaction_id = i.transaction_id "
+    f"AND e.transaction_timestamp BETWEEN i.transaction_timestamp - INTERVAL 7 DAY AND i.transaction_timestamp + INTERVAL 7 DAY) {_ONE_EACH})"))
+def late_stream_lookback(spark, sf_dir):
+    """T1 + T2: the job compares each micro-batch with the stored months of its look-back."""
+    return _silver_of_two_drops(spark, sf_dir, "lookback")
+
+
+@register("late_stream_resends", O.silver_transactions_sql())
+def late_stream_resends(spark, sf_dir):
+    """T1 + T3: the job drops exact repeats by the stored content hash."""
+    return _silver_of_two_drops(spark, sf_dir, "resends").drop("row_hash")
+
+
 # ---------------------------------------------------------------------------
 # contract checks
 # ---------------------------------------------------------------------------

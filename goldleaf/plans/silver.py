@@ -65,8 +65,11 @@ def silver_merchants(raw: DataFrame) -> DataFrame:
 
 def clean_transactions(raw: DataFrame) -> DataFrame:
     """D11 up to (not including) the referential filter."""
-    df = clean_nulls(raw)
-    df = dedup_transactions(df)
+    return clean_transaction_rows(dedup_transactions(clean_nulls(raw)))
+
+
+def clean_transaction_rows(df: DataFrame) -> DataFrame:
+    """The steps of D11 after null tokens and duplicates: each looks at one row, so a stream can take them."""
     df = extract_silver_json(df)
     df = to_timestamps(df, TRANSACTION_TIMESTAMP_COLUMNS)
     df = drop_required(df, TRANSACTION_REQUIRED)

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import csv
+import urllib.parse
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,35 +28,33 @@ CSV_WRITE_OPTIONS = {
 }
 
 
-def csv_files(spark: SparkSession, path: str) -> list[str]:
-    """Data files below ``path`` (or ``path`` itself), by name."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    found, files = fs.listFiles(at, True), []
-    while found.hasNext():
-        status = found.next()
-        name = status.getPath().getName()
-        if status.getLen() and not name.startswith(("_", ".")):
-            files.append(status.getPath().toString())
-    return sorted(files)
+def csv_files(spark: SparkSession, path: str) -> DataFrame:
+    """`path` and `length` of the data files below ``path`` that hold bytes; contents are not read."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+            .select("path", "length").filter(F.col("length") > 0))
 
 
-def csv_header(spark: SparkSession, file: str) -> tuple[str, ...]:
-    """Column names of one file, from its first line."""
-    lines = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(_codec_stream(spark, file), "UTF-8"))
-    try:
-        line = lines.readLine() or ""
-    finally:
-        lines.close()
-    return tuple(next(csv.reader([line.lstrip("\ufeff")]), []))
+def _first_line(path: str) -> str:
+    """The first line of a file, decompressed by its extension."""
+    name = f"file://{path[len('file:'):]}" if path.startswith("file:") and not path.startswith("file://") else path
+    fs, at = pa.fs.FileSystem.from_uri(urllib.parse.quote(name, safe=":/%"))
+    with fs.open_input_stream(at, compression="detect") as stream:
+        data = b""
+        while b"\n" not in data and (more := stream.read(1 << 16)):
+            data += more
+    return data.partition(b"\n")[0].decode("utf-8").rstrip("\r")
 
 
-def _codec_stream(spark: SparkSession, file: str):
-    at = spark._jvm.org.apache.hadoop.fs.Path(file)
-    conf = spark._jsc.hadoopConfiguration()
-    codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(at)
-    stream = at.getFileSystem(conf).open(at)
-    return codec.createInputStream(stream) if codec is not None else stream
+def csv_headers(paths: DataFrame) -> DataFrame:
+    """`path` and `header` (its column names) of each file, opened in tasks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            files = batch.column("path").to_pylist()
+            names = [next(csv.reader([_first_line(f).lstrip("\ufeff")]), []) for f in files]
+            yield pa.RecordBatch.from_arrays([pa.array(files), pa.array(names, pa.list_(pa.string()))], ["path", "header"])
+
+    # a file each is little work, but a slow one on object stores: dealt over all cores
+    return paths.select("path").repartition(paths.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, "path string, header array<string>")
 
 
 def read_raw_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None,
@@ -63,21 +64,24 @@ def read_raw_csv(spark: SparkSession, path: str | Sequence[str], schema: T.Struc
     Columns go by each file's own header: files may order them differently or lack some,
     which read as NULL.  With ``schema`` (all-string) the result has its columns, and a
     header that names any other raises ValueError.  An empty field reads as NULL (``''`` is
-    a null token, so cleaning treats both alike).  Only the headers pass through the
-    driver; files with equal headers are one scan.
+    a null token, so cleaning treats both alike).  Headers are found in tasks; the driver sees
+    the distinct ones, and the names of files only where there is more than one.  Files with
+    equal headers are one scan.
     """
-    files = csv_files(spark, path) if isinstance(path, str) else list(path)
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for file in files:
-        by_header.setdefault(csv_header(spark, file), []).append(file)
+    one_root = isinstance(path, str)
+    files = csv_files(spark, path) if one_root else spark.createDataFrame([(p,) for p in path], "path string")
+    found = csv_headers(files).checkpoint(eager=True)
+    headers = [tuple(r["header"]) for r in found.groupBy("header").count().orderBy("header").collect()]
     known = set(schema.fieldNames()) if schema is not None else None
     out = spark.createDataFrame([], schema) if schema is not None else None
-    for header, group in sorted(by_header.items()):
+    for header in headers:
+        mine = found.filter(F.col("header") == F.array(*[F.lit(c) for c in header]).cast("array<string>"))
         if len(set(header)) < len(header) or known is not None and not set(header) <= known:
-            raise ValueError(f"unexpected header {list(header)} in {group[0]}")
+            raise ValueError(f"unexpected header {list(header)} in {mine.agg(F.min('path')).first()[0]}")
+        group = path if len(headers) == 1 else [r["path"] for r in mine.orderBy("path").collect()]
         own = T.StructType([T.StructField(c, T.StringType()) for c in header])
         part = (spark.read.options(**CSV_READ_OPTIONS).option("multiLine", str(multi_line).lower())
-                .option("enforceSchema", "false").schema(own).csv(group))
+                .option("enforceSchema", "false").schema(own).csv(group if isinstance(group, str) else list(group)))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if out is None:
         raise ValueError(f"no files under {path}")
