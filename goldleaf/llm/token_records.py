@@ -56,8 +56,6 @@ INDEX = "shard string, shard_no int, doc_id bigint, offset bigint, length bigint
 
 #: Pieces kept in one half of a worker's store, and the longest of them in characters.
 STORE_PIECES, STORE_LENGTH = 400_000, 48
-#: A character between pieces that are encoded together.
-MARK = "\x01"
 #: Characters encoded at once, and bytes fetched at once.
 RUN_CHARS, READ_BYTES = 1 << 21, 1 << 23
 
@@ -96,9 +94,9 @@ def parts_of(payload: bytes) -> tuple[int | None, bytes]:
 class Encoder:
     """Ids of whole texts by a tokenizer file, as little-endian bytes of `dtype`.
 
-    Pieces not in the store are encoded together, as one text with a mark between them: the
-    control character MARK, whose own id no other text gives.  The store has two halves; a full
-    new half replaces the old one, whose pieces come back when they are met again.
+    Pieces not in the store are encoded together, as the words of one sequence.  The store has
+    two halves; a full new half replaces the old one, whose pieces come back when they are met
+    again.
     """
 
     def __init__(self, path: str):
@@ -108,10 +106,6 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.mark = self._ids([MARK])[0]
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         first, size = 0, 0
@@ -136,16 +130,13 @@ class Encoder:
         return out
 
     def _pieces(self, fresh: list[str]) -> Iterator[tuple[str, bytes]]:
-        alone = [p for p in fresh if MARK in p]
-        if alone:
-            fresh = [p for p in fresh if MARK not in p]
-            yield from zip(alone, (x.tobytes() for x in self._ids(alone)), strict=True)
         if not fresh:
             return
-        ids = self._ids([f" {MARK} ".join(fresh)])[0]
-        ends = (np.append(np.flatnonzero(ids == self.mark[0]), len(ids)) * self.dtype.itemsize).tolist()
-        body, starts = ids.tobytes(), [0, *(e + self.dtype.itemsize for e in ends[:-1])]
-        yield from zip(fresh, map(body.__getitem__, map(slice, starts, ends)), strict=True)
+        found = self.tokenizer.encode(fresh, is_pretokenized=True, add_special_tokens=False)
+        body, width = np.array(found.ids, self.dtype).tobytes(), self.dtype.itemsize
+        # a token's word is the number of its piece
+        ends = (np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(fresh)), "right") * width).tolist()
+        yield from zip(fresh, map(body.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True)
 
 
 @functools.lru_cache(maxsize=2)
