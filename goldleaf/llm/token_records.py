@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldleaf.llm.common import map_batches
+from goldleaf.llm.common import map_batches, prepare
 from goldleaf.session import scratch_path
 
 # Fixed values of the format.
@@ -57,7 +57,7 @@ INDEX = "shard string, shard_no int, doc_id bigint, offset bigint, length bigint
 #: Pieces kept in one half of a worker's store, and the longest of them in characters.
 STORE_PIECES, STORE_LENGTH = 400_000, 48
 #: Characters encoded at once, and bytes fetched at once.
-RUN_CHARS, READ_BYTES = 1 << 21, 1 << 23
+RUN_CHARS, READ_BYTES = 1 << 22, 1 << 23
 
 
 def masked(data: bytes) -> int:
@@ -121,10 +121,12 @@ class Encoder:
         missing = met - self.new.keys()
         again = missing & self.old.keys()
         self.new.update((p, self.old[p]) for p in again)
-        self.new.update(self._pieces(list(missing - again)))
+        fresh = list(missing - again)
+        self.new.update(self._pieces(fresh))
         out = [b"".join(map(self.new.__getitem__, p)) for p in pieces]
-        for p in [p for p in met if len(p) > STORE_LENGTH]:
-            del self.new[p]
+        for p in fresh:
+            if len(p) > STORE_LENGTH:
+                del self.new[p]
         if len(self.new) > STORE_PIECES:
             self.old, self.new = self.new, {}
         return out
@@ -153,6 +155,7 @@ def _open(folder: str) -> tuple[pa.fs.FileSystem, str]:
 
 def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFrame:
     """Write the records and the index below `folder`; the index with `start`, the tokens of all rows before."""
+    prepare(docs.sparkSession)
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     keyed = keyed.select("doc_id", "text", F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("place"))
     order = [F.col(c).asc_nulls_first() for c in ("doc_id", "tie", "place")]
