@@ -513,6 +513,20 @@ def fact_load_pruned(spark, sf_dir):
     return out.withColumns({c: F.col(c).cast(staged.schema[c].dataType) for c in ("year", "month")})
 
 
+@register("fact_compacted", O.with_(_LOAD_CTES, "SELECT * FROM k1 UNION ALL SELECT * FROM k2"))
+def fact_compacted(spark, sf_dir):
+    """C5 + D7: the same loads, their folders merged; a repeat of a merged load and a further load add no row and change no key."""
+    staged = fact_stage(spark, sf_dir).checkpoint(eager=True)
+    table = scratch_path(spark, "fact-compacted")
+    G.load_fact_batch(spark, _first_drop(staged), table, "a")
+    G.load_fact_batch(spark, staged, table, "b")
+    G.compact_fact(spark, table, least=2)
+    for batch in ("b", "c"):
+        G.load_fact_batch(spark, staged, table, batch)
+    out = read_batches(spark, table)
+    return out.withColumns({c: F.col(c).cast(staged.schema[c].dataType) for c in ("year", "month")})
+
+
 @register("fact_reload_idempotent", O.with_(_LOAD_CTES, "SELECT * FROM k1 UNION ALL SELECT * FROM k2"))
 def fact_reload_idempotent(spark, sf_dir):
     """Re-running the load with the same batch adds no row: final table unchanged."""

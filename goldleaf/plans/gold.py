@@ -22,8 +22,9 @@ from goldleaf.operators.quality import (BREACHES, REPORT_SCHEMA, breach_report,
                                         split_breaches, with_breaches)
 from goldleaf.operators.scd2 import change_ledger, opens_version, scd2_apply_once, stage_merchants, unapplied
 from goldleaf.sources import warehouse as W
+from goldleaf.sources.compact import compact, open_name
 from goldleaf.sources.files import read_parquet, write_clustered_fact, write_snapshot
-from goldleaf.sources.state import BATCH, complete_batches, read_batches, write_state
+from goldleaf.sources.state import BATCH, complete_batches, read_batches, read_state, write_state
 
 # Order that makes fact keys deterministic.  It starts with the fact's physical
 # clustering (year, month, date key, merchant), so the range shuffle that orders
@@ -60,7 +61,9 @@ def load_fact_batch(spark: SparkSession, staged: DataFrame, table: str, batch: s
     """Write the staged rows that no other batch folder of ``table`` holds as its folder ``batch``, and its sketch.
 
     The sketches choose the folders that are read (``operators.known_ids``); returns the keyed rows.
+    If ``batch`` was merged by a compaction since, its rows are in another folder and what is new goes to one beside it.
     """
+    batch = open_name(spark, table, batch)
     fresh, _ = absent(spark, staged, table, "transaction_id", but=batch)
     others = read_batches(spark, table, but=batch)
     first = next_key(others, "transaction_key", hint=start) if others is not None else start or 1
@@ -70,6 +73,18 @@ def load_fact_batch(spark: SparkSession, staged: DataFrame, table: str, batch: s
     return keyed
 
 
+def compact_fact(spark: SparkSession, table: str, keep: list[str] | None = None, **bounds) -> str | None:
+    """C5 over many loads: merge the fact's small batch folders in the fact's layout (``sources.compact``)."""
+    return compact(spark, table, ["year", "month"], ["transaction_date_key", "merchant_key", "transaction_key"], key="transaction_id",
+                   keep=keep or (), **bounds)
+
+
+def compact_gold(spark: SparkSession, root: str, **bounds) -> str | None:
+    """compact_fact() of the table that the state below ``root`` names, without the last run's batch, which may be repeated."""
+    state = read_state(spark, root)
+    return compact_fact(spark, state["fact_transactions"], [b for b in [state.get("fact_batch")] if b], **bounds) if "fact_transactions" in state else None
+
+
 def dim_date_for(spark: SparkSession, facts: DataFrame | None = None, ts_col: str = "transaction_timestamp"):
     """Default 2020-2030 calendar, widened to cover every fact date."""
     return build_dim_date(spark, cover=facts, cover_col=ts_col if facts is not None else None)
