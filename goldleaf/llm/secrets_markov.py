@@ -12,7 +12,7 @@ dropped and the search goes on behind it:
 The method adds `markov` spans: tokens of sixteen or more of [A-Za-z0-9+/_=-], with a digit
 and a letter, that touch no base span and whose log-likelihood ratio between two first-order
 character models is at least LEAST_LLR.  The model of random strings is learnt from values
-that base spans caught, that of ordinary identifiers from the other words and names of the
+that base spans caught (of an assignment its value alone, without the name), that of ordinary identifiers from the other words and names of the
 same texts; both from a bounded sample of labelled tokens (about SAMPLE_DOCS documents of
 each kind, by a hash), as smoothed counts of character pairs.  The two models are
 one row of ALPHABET ** 2 log ratios, a constant of the query.
@@ -120,7 +120,9 @@ def labelled_tokens(docs: DataFrame) -> DataFrame:
     chosen = F.broadcast(stored(kinds[0].unionByName(kinds[1]), "secret-sample"))  # about 2 * SAMPLE_DOCS rows
     few = docs.select("doc_id", "text", key).join(chosen, "key").dropDuplicates(["key"])
     base = base_spans(few)
-    values = base.select(F.explode(F.transform("base", lambda s: F.regexp_extract(_text_of(F.col("text"), s), r"([A-Za-z0-9+/_.=-]+)$", 1))).alias("token"))
+    said = lambda s: _text_of(F.col("text"), s)
+    value = lambda s: F.when(s["kind"] == "assign", F.regexp_extract(said(s), ASSIGN, 2)).otherwise(said(s))
+    values = base.select(F.explode(F.transform("base", value)).alias("token"))
     words = base.where(F.size("base") == 0).select(F.explode(F.regexp_extract_all("text", F.lit(IDENTIFIER), 0)).alias("token"))
     return values.withColumn("random", F.lit(True)).unionByName(words.withColumn("random", F.lit(False))).where("length(token) >= 6")
 
