@@ -24,8 +24,9 @@ language of one fitted row has no likeness to measure against: texts judged to b
 known.  A text of a few letters can be unlike by chance alone, so such texts mostly pass.
 
 A null or empty text, or one without any letter, is `und` with score 0.  Without labelled
-rows everything is `und`.  Null labels are not learnt from.  Rows are independent: ids may
-be null or repeated, and other columns are ignored.
+rows everything is `und`.  Null labels are not learnt from, nor rows without an id; of
+rows that repeat an id and label the text with the smallest hash is fitted on.  Rows are
+independent: ids may be null or repeated, and other columns are ignored.
 """
 
 from __future__ import annotations
@@ -211,7 +212,8 @@ def fit(labelled: DataFrame) -> Model | None:
             return None
         return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.string()), pa.array([f[2][0].astype(np.float16).tobytes() for f in found], pa.binary()), pa.array([f[2][1] for f in found], pa.int64())], names=["doc_id", "lang", "x", "size"])
 
-    texts = labelled.join(chosen, ["doc_id", "lang"], "left_semi").dropDuplicates(["doc_id", "lang"])
+    texts = labelled.join(chosen, ["doc_id", "lang"], "left_semi")
+    texts = texts.groupBy("doc_id", "lang").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t")).select("doc_id", "t.text", "lang")
     rows = map_batches(texts.select("doc_id", "text", "lang"), run, "doc_id long, lang string, x binary, size long")
     rows = sorted((r["doc_id"], r["lang"], bytes(r["x"]), r["size"]) for r in rows.collect())
     if not rows:

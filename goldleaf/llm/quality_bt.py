@@ -12,7 +12,8 @@ random pairs.  Only their features, a few numbers each, reach the driver.
 
 A text without words (null, empty or blanks) scores 0.  With labels of one kind only, or
 none, every other text scores 0.5.  Labels that are null or not 0 or 1 are not learnt from;
-a doc_id with both labels counts in both.  Rows are independent; other columns are ignored.
+a doc_id with both labels counts in both.  Of rows that repeat a doc_id the text with the
+smallest hash is fitted on.  Rows are independent; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -123,7 +124,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
         values = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32()), pa.array(x.ravel()))
         return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(2), values], names=["doc_id", "quality", "x"])
 
-    texts = docs.select("doc_id", "text").join(chosen, "doc_id").dropDuplicates(["doc_id", "quality"])
+    texts = docs.select("doc_id", "text").join(chosen, "doc_id")
+    texts = texts.groupBy("doc_id", "quality").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t")).select("doc_id", "t.text", "quality")
     rows = map_batches(texts.select("doc_id", "text", "quality"), run, "doc_id long, quality int, x array<double>")
     rows = sorted((r["quality"], r["doc_id"], r["x"]) for r in rows.collect() if r["x"][-1])
     good, bad = (np.array([r[2][:-1] for r in rows if r[0] == y]) for y in (1, 0))

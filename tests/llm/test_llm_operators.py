@@ -88,6 +88,21 @@ def test_quality_edges(spark, edge):
     assert quality_bt.score(edge, quality_bt.fit(edge, labels)).count() == edge.count()
 
 
+def test_quality_weights_by_plain_gradient_descent():
+    rng = np.random.default_rng(4)
+    good, bad = rng.normal(0.4, 1, (80, 4)), rng.normal(0, 1, (70, 4))
+    model = quality_bt.Model(good, bad, ridge=1e-2)
+    both = np.concatenate([good, bad])
+    scaled = [np.clip((x - both.mean(0)) / (both.std(0) + 1e-9), -8, 8) for x in (good, bad)]
+    draw = np.random.default_rng(7)
+    first, second = (draw.integers(len(x), size=quality_bt.PAIRS) for x in scaled)
+    d = scaled[0][first] - scaled[1][second]
+    w = np.zeros(4)
+    for _ in range(1500):
+        w -= 0.5 * (-(d / (1 + np.exp(d @ w))[:, None]).mean(0) + 1e-2 * w)
+    assert np.allclose(model.weights, w, atol=1e-6)
+
+
 # --- 2 tokens ----------------------------------------------------------------
 
 def test_bpe_equals_tiktoken():
@@ -286,6 +301,14 @@ def test_markov_models_tell_random_strings_from_identifiers(spark):
     assert all("markov" not in out[k].spans and out[k].n_assign == 1 for k in range(150))
 
 
+def test_markov_learns_the_value_of_an_assignment_alone(spark):
+    texts = ["password=hunter22x", "api_key=ABC123xyz9", 'my "secret": "s3cr3t.va=lue" end', "Token:abcdef", "AKIA" + "Z" * 18, "x " + "0af" * 9]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = secrets_markov.labelled_tokens(docs)
+    assert sorted(r.token for r in found.where("random").collect()) == sorted(
+        ["hunter22x", "ABC123xyz9", "s3cr3t.va=lue", "abcdef", "AKIA" + "Z" * 18, "0af" * 9])
+
+
 # --- 7 personal data ---------------------------------------------------------
 
 def test_pii_base_spans_equal_brute_force():
@@ -365,6 +388,45 @@ def test_pii_long_spans_are_found_at_every_offset():
 
 # --- 8 language --------------------------------------------------------------
 
+def test_language_machines_and_votes_by_plain_loops():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(60, 5)).astype(np.float32)
+    y = np.where(x[:, 0] + 0.5 * rng.normal(size=60) > 0, 1, -1)
+    w = np.zeros(5)
+    for _ in range(20_000):  # the same objective by plain gradient descent
+        gap = np.maximum(0, 1 - y * (x @ w))
+        w -= 2e-4 * (w - 2 * 1.0 * (y * gap) @ x)
+    assert np.allclose(langid_svm.linear_svm(x, y, c=1.0, rounds=300), w, atol=2e-3)
+    langs = ["de", "en", "nl", "es", "fr", "it"]
+    shares = np.abs(rng.normal(size=(48, langid_svm.DIMS)).astype(np.float32))
+    for k in range(48):
+        shares[k, k % 6::6] *= 2
+    shares /= np.sqrt((shares * shares).sum(1, keepdims=True))
+    model = langid_svm.Model(shares, [langs[k % 6] for k in range(48)], [200] * 48)
+    for row in shares:
+        margin = lambda k, row=row: sum(float(a) * float(b) for a, b in zip(row, model.weights[:-1, k], strict=True)) + float(model.weights[-1, k])
+        by_family = {f: margin(k) for k, f in enumerate(model.families)}
+        first = max(by_family, key=by_family.get)
+        wins, sums = ({g: 0 for g in model.members[first]} for _ in range(2))
+        for k, (a, b) in enumerate(model.pairs):
+            if a in wins:
+                m = margin(len(model.families) + k)
+                wins[a if m >= 0 else b] += 1
+                sums[a], sums[b] = sums[a] + m, sums[b] - m
+        assert model.predict(row)[0] == max(wins, key=lambda g: (wins[g], sums[g], g))
+
+
+def test_fits_do_not_depend_on_the_order_of_rows_that_repeat_an_id(spark):
+    rows = [(k % 20, f"{'Wort und Satz' if k % 2 else 'word and line'} {k} " * (k % 5 + 1), "de" if k % 2 else "en") for k in range(60)]
+    rows += [(k, t[::-1], g) for k, t, g in rows]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(20)], "doc_id long, quality int")
+    fits = []
+    for some in (rows, rows[::-1]):
+        docs = spark.createDataFrame(some, "doc_id long, text string, lang string").repartition(3).cache()
+        fits.append((quality_bt.fit(docs, labels).weights, langid_svm.fit(docs).weights))
+    assert all(np.array_equal(a, b) for a, b in zip(*fits, strict=True))
+
+
 def test_language_accuracy_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
