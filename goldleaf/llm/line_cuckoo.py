@@ -306,8 +306,11 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """`docs` with the dropped lines gone from `text`, all columns kept; n_chars follows where there is one."""
     index = LineIndex.build(docs)
     min_chars = index.min_chars
-    keys = index.dropped().withColumnsRenamed({"doc_id": "__llm_id", "keys": "__llm_keys"})
-    joined = docs.join(keys, docs["doc_id"] == keys["__llm_id"], "left").drop("__llm_id")
+    own, gone = "__llm_id", "__llm_keys"
+    while {own, gone} & set(docs.columns):
+        own, gone = own + "_", gone + "_"
+    keys = index.dropped().withColumnsRenamed({"doc_id": own, "keys": gone})
+    joined = docs.join(keys, docs["doc_id"] == keys[own], "left").drop(own)
     at = joined.columns.index("text")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -471,6 +471,13 @@ def test_line_dedup_edges_and_pipeline_form(spark, edge):
     assert texts[13] == ("x", 1, 3) and texts[10] == ("", 0, 3) and texts[1] == (None, None, 3)
 
 
+def test_line_dedup_keeps_columns_named_like_its_own(spark):
+    line = "a line of well over forty characters that many texts share"
+    docs = spark.createDataFrame([(k, f"{line}\nown {k}", k * 2, "a") for k in range(6)], "doc_id long, text string, __llm_id long, __llm_keys string")
+    out = line_cuckoo.dedup_lines(docs).collect()
+    assert sorted((r.doc_id, r.text, r["__llm_id"], r["__llm_keys"]) for r in out) == [(k, f"own {k}" if k < 5 else f"{line}\nown 5", 2 * k, "a") for k in range(6)]
+
+
 def test_line_index_insert_and_delete_are_inverse(spark):
     docs = smoke(spark, "documents").select("doc_id", "text")
     some, rest = docs.where("doc_id % 3 = 0"), docs.where("doc_id % 3 <> 0")
