@@ -8,8 +8,8 @@ dropped and the search goes on behind it, without a second try:
 * card:  16 to 19 digits, single spaces or hyphens between them, that pass Luhn's check;
 * phone: `+` and 8 to 15 digits with blanks, dots, brackets or hyphens.
 
-The method reads characters by class through a bidirectional LSTM and labels them with CRF
-transitions.  It runs over overlapping windows, WINDOW characters every STRIDE; windows
+The method reads characters (ASCII small letters and marks each as itself, other kinds by
+class) through a bidirectional LSTM and labels them with CRF transitions.  It runs over overlapping windows, WINDOW characters every STRIDE; windows
 without `@` and with fewer than four digits cannot hold a span of any kind and are passed
 over.  Each window is decoded by Viterbi; where a span touches a cut edge, overlaps no base span
 and can be plausible if longer, the place is decoded again as one sequence, STRIDE wider on both sides and then twice as
@@ -17,10 +17,16 @@ wide each time, until it lies inside or the text ends.  A text's spans are then
 first, then most confident, then longest, none overlapping.  A span that overlaps no base
 span and passes its kind's test in a wider form (PLAUSIBLE) is added; base spans stay.
 
-The net is trained here in numpy, on at most SAMPLE_WINDOWS distinct windows of all texts, labelled
-by their base spans: half of them without a label and an equal part of each kind, each with the
-smallest hashes.  So a net is trained wherever a window holds a base span.  The broadcast model has
-a few thousand weights.
+The net is trained here in numpy, on at most SAMPLE_WINDOWS distinct windows of all texts, each
+stratum's (STRATA) with the smallest hashes.  Windows are labelled by their base spans.  As the
+net has to add what the base patterns miss, windows with a base span also come in two more forms,
+drawn by their text: FORMS with the span written otherwise and labelled all the same (varied()),
+and DECOYED with a number or name that is no personal data in its place, unlabelled (decoy()).  So a net is
+trained wherever a window holds a base span.  The broadcast model has some ten thousand weights.
+
+What the net marks is added if it can be of its kind: an e-mail has one `@` and no blanks; an ip is
+four numbers of 255 at most with one and the same mark or bracketed dot between them; a card has 13
+to 19 digits that pass Luhn's check; a phone has 8 to 15 digits and a mark between two of them.
 
 Positions are code points, the end exclusive.  Null and empty texts have no spans.  Rows are
 independent: ids may be null or repeated, other columns are ignored.  Without labelled
@@ -30,6 +36,7 @@ spans nothing is added.
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections.abc import Iterator
 
@@ -42,9 +49,10 @@ from goldleaf.llm.common import map_batches, prepare, stored
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 64, 32
-HIDDEN = 12
-SAMPLE_WINDOWS = 1200
-EPOCHS, BATCH, RATE = 10, 48, 0.02
+HIDDEN = 20
+STEPS, BATCH, RATE = 360, 64, 0.02
+#: Other forms and decoys drawn of each base span.
+FORMS, DECOYED = 10, 5
 LEAST_CONFIDENCE = 0.8
 TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
 
@@ -101,8 +109,9 @@ def _plausible(kind: str, said: str) -> bool:
     if kind == "card":
         return 13 <= len(digits) <= 19 and luhn(digits) and len(set(digits)) > 1
     if kind == "ip":
-        return bool(_IP.fullmatch(said)) and all(int(p) <= 255 for p in said.split("."))
-    return 8 <= len(digits) <= 15 and bool(re.search(r"[\x20().-]", said))
+        parts, marks = _NOT_DIGIT.split(said), set(_NOT_DIGIT.findall(said))
+        return len(parts) == 4 and len(marks) == 1 and len(marks.pop()) <= 3 and all(0 < len(p) <= 3 and int(p) <= 255 for p in parts)
+    return 8 <= len(digits) <= 15 and bool(re.search(r"[\x20()./-]", said))
 
 
 def _may_grow(kind: str, said: str) -> bool:
@@ -110,21 +119,20 @@ def _may_grow(kind: str, said: str) -> bool:
     if kind == "email":
         return said.count("@") <= 1 and not re.search(r"\s", said)
     if kind == "ip":
-        return said.count(".") <= 3 and not re.search(r"[^0-9.]", said)
+        return len(_NOT_DIGIT.findall(said)) <= 4 and not re.search(r"[^0-9.()\[\]\x20_,-]", said)
     return len(_NOT_DIGIT.sub("", said)) <= (19 if kind == "card" else 15)
 
 
-# Character classes: one each for marks that matter, then kinds of letters, blanks and the rest.
-_MARKS = "@.-+() _%,:;\"'/\n"
-CLASSES = len(_MARKS) + 6
-_CLASS = np.full(129, len(_MARKS) + 4, np.uint8)
+# Character classes: one each for marks that matter and ASCII small letters, then other letters, blanks and the rest.
+_MARKS = "@.-+() _%,:;\"'/\n[]#=abcdefghijklmnopqrstuvwxyz"
+CLASSES = len(_MARKS) + 5
+_DIGIT, _CAPITAL, _WIDE, _OTHER, _PAD = range(len(_MARKS), CLASSES)
+_AT = _MARKS.index("@")
+_CLASS = np.full(129, _OTHER, np.uint8)
 for _c in range(128):
     _s = chr(_c)
-    _CLASS[_c] = (_MARKS.index(_s) if _s in _MARKS else len(_MARKS) if _s.isdigit() else len(_MARKS) + 1 if _s.islower()
-                  else len(_MARKS) + 2 if _s.isupper() else len(_MARKS) + 4)
-_CLASS[128] = len(_MARKS) + 3
-_PAD = len(_MARKS) + 5
-_DIGIT, _AT = len(_MARKS), _MARKS.index("@")
+    _CLASS[_c] = _MARKS.index(_s) if _s in _MARKS else _DIGIT if _s.isdigit() else _CAPITAL if _s.isupper() else _OTHER
+_CLASS[128] = _WIDE
 
 
 def classes_of(text: str) -> np.ndarray:
@@ -163,6 +171,17 @@ def _logsum(x, axis):
     return np.log(np.exp(x - top).sum(axis)) + top.squeeze(axis)
 
 
+def _chain(e: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log sums over the tag sequences up to and from each step, and over all, of emissions e and transitions a."""
+    alpha, beta = np.empty_like(e), np.zeros_like(e)
+    alpha[0] = e[0]
+    for t in range(1, len(e)):
+        alpha[t] = e[t] + _logsum(alpha[t - 1][:, :, None] + a, 1)
+    for t in range(len(e) - 2, -1, -1):
+        beta[t] = _logsum(a + (e[t + 1] + beta[t + 1])[:, None, :], 2)
+    return alpha, beta, _logsum(alpha[-1], 1)
+
+
 class Net:
     """BiLSTM over character classes, linear emissions, CRF."""
 
@@ -197,7 +216,7 @@ class Net:
 
     def _lstm_back(self, x: np.ndarray, d: str, kept, dstates: np.ndarray, grad: dict) -> None:
         h, wh = HIDDEN, self.p["h" + d]
-        dx, dh = np.zeros_like(self.p["x" + d]), np.zeros_like(wh)
+        dzs, dh = np.empty((*x.shape, 4 * h)), np.zeros_like(wh)
         dstate, dcell = np.zeros(dstates.shape[1:]), np.zeros(dstates.shape[1:])
         for k in range(len(kept) - 1, -1, -1):
             s, g, t, before, prior = kept[k]
@@ -205,10 +224,10 @@ class Net:
             dstate = dstate + dstates[k]
             dcell = dcell + dstate * o * (1 - t * t)
             dz = np.concatenate([dcell * g * i * (1 - i), dcell * before * f * (1 - f), dstate * t * o * (1 - o), dcell * i * (1 - g * g)], axis=1)
-            np.add.at(dx, x[k], dz)
+            dzs[k] = dz
             dh += prior.T @ dz
             dstate, dcell = dz @ wh.T, dcell * f
-        grad["x" + d], grad["h" + d] = dx, dh
+        grad["x" + d], grad["h" + d] = np.eye(CLASSES)[x.ravel()].T @ dzs.reshape(-1, 4 * h), dh
 
     def emissions(self, x: np.ndarray) -> np.ndarray:
         """[steps, rows, tags] of time-major classes."""
@@ -223,13 +242,7 @@ class Net:
         both = np.concatenate([forward, back[::-1]], axis=2)
         e, a = both @ self.p["out"] + self.p["bias"], self.p["trans"]
         n, rows = e.shape[:2]
-        alpha, beta = np.empty_like(e), np.zeros_like(e)
-        alpha[0] = e[0]
-        for t in range(1, n):
-            alpha[t] = e[t] + _logsum(alpha[t - 1][:, :, None] + a, 1)
-        for t in range(n - 2, -1, -1):
-            beta[t] = _logsum(a + (e[t + 1] + beta[t + 1])[:, None, :], 2)
-        z = _logsum(alpha[-1], 1)
+        alpha, beta, z = _chain(e, a)
         single = np.exp(alpha + beta - z[:, None])
         pair = np.zeros_like(a)
         for t in range(1, n):
@@ -251,8 +264,8 @@ class Net:
         """Adam over rows of windows x and tags y."""
         rng = np.random.default_rng(seed)
         first, second = ({k: np.zeros_like(v) for k, v in self.p.items()} for _ in range(2))
-        turn, total = 0, EPOCHS * -(-len(x) // BATCH)
-        for _ in range(EPOCHS):
+        turn, total = 0, -(-STEPS // -(-len(x) // BATCH)) * -(-len(x) // BATCH)  # whole rounds
+        while turn < total:
             order = rng.permutation(len(x))
             for lo in range(0, len(x), BATCH):
                 rows = order[lo:lo + BATCH]
@@ -268,7 +281,7 @@ class Net:
         return self
 
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Tags and their softmax shares, [rows, steps], of windows x."""
+        """Tags and their shares (the chain's marginals; 1 in windows without a span), [rows, steps], of windows x."""
         e, a = self.emissions(x.T.astype(np.int64)), self.p["trans"]
         score, back = e[0], []
         for t in range(1, len(e)):
@@ -280,9 +293,12 @@ class Net:
         for b in reversed(back):
             tags.append(b[r, tags[-1]])
         tags = np.stack(tags[::-1], axis=1)
-        e = np.exp(e - e.max(2, keepdims=True))
-        share = e / e.sum(2, keepdims=True)
-        return tags, np.take_along_axis(share, tags.T[:, :, None], 2)[:, :, 0].T
+        shares, some = np.ones(tags.shape), np.flatnonzero(tags.any(1))
+        if len(some):
+            alpha, beta, z = _chain(e[:, some], a)
+            marginal = np.exp(alpha + beta - z[:, None])
+            shares[some] = np.take_along_axis(marginal, tags[some].T[:, :, None], 2)[:, :, 0].T
+        return tags, shares
 
 
 def spans_in(tags: np.ndarray, shares: np.ndarray) -> list[tuple[str, int, int, float]]:
@@ -372,23 +388,83 @@ def add_spans(net: Net | None, texts: list[str], base: list[list[tuple[str, int,
     return out
 
 
-#: Windows kept of each kind, and of those without a label (the last).
-_SHARES = [SAMPLE_WINDOWS // 2 // len(KINDS)] * len(KINDS) + [SAMPLE_WINDOWS // 2]
+# Ways to write a kind that its base pattern does not cover; # is a digit.
+PHONES = ("(###) ###-####", "###.###.####", "###-###-####", "0## #######", "0### ######", "### ### ####", "###/#######", "(0##) ### ## ##", "00## ### ######")
+CARDS = ("####.####.####.####", "####  ####  ####  ####", "####_####_####_####", "#### ###### #####", "####-######-#####")
+IP_MARKS = ("[.]", "(.)", " . ", "-", "_")
+TOPS = ("com", "org", "net", "de", "fr", "es", "io", "co.uk")
+WIDE_LETTERS = "äöüéèñçøåłžßï"
+# Numbers and names that are none of the kinds.
+DECOYS = ("20##-##-##", "##.##.20##", "20##-20##", "##:##:##", "20##-##-## ##:##", "#,###,###.##", "####.##", "########", "#.##.#", "###-##", "19##/20##", "# ### ###", "##/##/####")
+AT_DECOYS = ("@{0}", "{0} @ #.##", "{0}@", "@ {0}", "# @ ##")
+
+
+def _digits(form: str, rng: random.Random) -> str:
+    return "".join(str(rng.randrange(10)) if c == "#" else c for c in form)
+
+
+def varied(kind: str, said: str, words: list[str], rng: random.Random) -> str:
+    """A base span written otherwise; names and hosts also from `words`."""
+    if kind == "phone":
+        return _digits(rng.choice(PHONES), rng)
+    if kind == "card":
+        return _digits(rng.choice(CARDS), rng)
+    if kind == "ip":
+        return rng.choice(IP_MARKS).join(said.split("."))
+    name, _, host = said.partition("@")
+    word = lambda: rng.choice(words)
+    name = rng.choice((name, word(), f"{word()}.{word()}", f"{word()}_{rng.randrange(100)}"))
+    host = rng.choice((host, f"{word()}.{rng.choice(TOPS)}", f"{word()}.{rng.choice(TOPS)}", word()))
+    parts = [name, host]
+    for k in range(2):
+        if rng.random() < 0.5:
+            at = rng.randrange(len(parts[k]))
+            parts[k] = parts[k][:at] + rng.choice(WIDE_LETTERS) + parts[k][at + 1:]
+    return "@".join(parts)
+
+
+def decoy(kind: str, words: list[str], rng: random.Random) -> str:
+    """Something that is no personal data, to stand in a base span's place."""
+    if kind == "email" and rng.random() < 0.7:
+        return _digits(rng.choice(AT_DECOYS).format(rng.choice(words)), rng)
+    return _digits(rng.choice(DECOYS), rng)
+
+
+#: Windows kept of each stratum: of each kind, without a label, of each kind written otherwise, with a decoy.
+STRATA = [120] * len(KINDS) + [500] + [200] * len(KINDS) + [400]
+SAMPLE_WINDOWS = sum(STRATA)
 
 
 def labelled_windows(text: str) -> Iterator[tuple[int, int, bytes, bytes]]:
-    """(stratum, hash, classes, tags) of each window, once for each kind that it holds."""
+    """(stratum, hash, classes, tags) of each window, once for each kind that it holds, and of its other forms."""
     classes = classes_of(text)
     starts = window_starts(classes)
     if not len(starts):
         return
-    tags = np.concatenate([tags_of(len(text), base_spans(text)), np.zeros(WINDOW, np.uint8)])
+    base = base_spans(text)
+    own = tags_of(len(text), base)
+    tags = np.concatenate([own, np.zeros(WINDOW, np.uint8)])
     for s, x in zip(starts.tolist(), windows_of(classes, starts), strict=True):
         y = tags[s:s + WINDOW]
-        said = text[s:s + WINDOW].encode("utf-8", "surrogatepass")
-        h = int.from_bytes(hashlib.blake2b(said, digest_size=8).digest(), "big", signed=True)
+        h = int.from_bytes(hashlib.blake2b(text[s:s + WINDOW].encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
         for k in {(t - 1) // 2 for t in set(y.tolist()) if t} or {len(KINDS)}:
             yield k, h, x.tobytes(), y.tobytes()
+    for kind, a, b in base:
+        around = text[max(0, a - WINDOW):a], text[b:b + WINDOW]
+        rng, k = random.Random("\0".join((kind, around[0], text[a:b], around[1]))), KINDS.index(kind)
+        words = re.findall(r"\w{3,12}", around[0] + " " + around[1]) or ["name"]
+        forms = [(len(KINDS) + 1 + k, varied(kind, text[a:b], words, rng), True) for _ in range(FORMS)]
+        forms += [(len(STRATA) - 1, decoy(kind, words, rng), False) for _ in range(DECOYED)]
+        for stratum, said, label in forms:
+            middle = np.zeros(len(said), np.uint8)
+            if label:
+                middle[:] = 2 + 2 * k
+                middle[0] = 1 + 2 * k
+            # cut at random on both sides: spans stand anywhere in a window, and texts may be short
+            left, right = rng.randrange(len(around[0]) + 1), rng.randrange(len(around[1]) + 1)
+            x = np.concatenate([classes_of(around[0][len(around[0]) - left:] + said + around[1][:right]), np.full(WINDOW, _PAD, np.uint8)])[:WINDOW]
+            y = np.concatenate([own[a - left:a], middle, own[b:b + right], np.zeros(WINDOW, np.uint8)])[:WINDOW]
+            yield stratum, rng.getrandbits(63), x.tobytes(), y.tobytes()
 
 
 def fit(docs: DataFrame) -> Net | None:
@@ -397,23 +473,23 @@ def fit(docs: DataFrame) -> Net | None:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The windows of a partition with the smallest hashes of each stratum."""
-        held, most = [set() for _ in _SHARES], [2**63] * len(_SHARES)
+        held, most = [set() for _ in STRATA], [2**63] * len(STRATA)
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 for k, *row in labelled_windows(text):
                     if row[0] <= most[k]:
                         held[k].add(tuple(row))
-                        if len(held[k]) >= 4 * _SHARES[k]:
-                            held[k] = set(sorted(held[k])[:_SHARES[k]])
+                        if len(held[k]) >= 4 * STRATA[k]:
+                            held[k] = set(sorted(held[k])[:STRATA[k]])
                             most[k] = max(held[k])[0]
-        rows = [(k, *r) for k, own in enumerate(held) for r in sorted(own)[:_SHARES[k]]]
+        rows = [(k, *r) for k, own in enumerate(held) for r in sorted(own)[:STRATA[k]]]
         if rows:
             k, h, x, y = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(h, pa.int64()), pa.array(x, pa.binary()), pa.array(y, pa.binary())], names=["k", "h", "x", "y"])
 
     texts = docs.select("text").where(F.col("text").rlike("[0-9@]"))
     few = stored(texts.mapInArrow(run, "k int, h long, x binary, y binary"), "pii-windows").distinct()
-    found = [r for k, n in enumerate(_SHARES) for r in few.where(F.col("k") == k).orderBy("h", "x", "y").limit(n).collect()]
+    found = [r for k, n in enumerate(STRATA) for r in few.where(F.col("k") == k).orderBy("h", "x", "y").limit(n).collect()]
     found = sorted({(r["h"], bytes(r["x"]), bytes(r["y"])) for r in found})
     if not found:
         return None

@@ -386,6 +386,39 @@ def test_pii_long_spans_are_found_at_every_offset():
             assert pii_bilstm.add_spans(MarksAddresses(), texts, base) == [[("email", k, k + length)] for k in range(96, 128)]
 
 
+def test_trained_net_adds_forms_that_the_base_patterns_miss(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    net = pii_bilstm.fit(docs)
+    forms = {"call me at %s today": ("phone", "(555) 123-4567"), "write to %s soon": ("email", "jürgen@müller.de"), "host %s is down": ("ip", "192[.]168[.]10[.]7"),
+             "card %s was used": ("card", "4111.1111.1111.1111"), "amex %s ok": ("card", "3782-822463-10005")}
+    texts = [t % said for t, (_, said) in forms.items()]
+    base = [pii_bilstm.base_spans(t) for t in texts]
+    assert not any(base)
+    out = pii_bilstm.add_spans(net, texts, base)
+    hits = [[(k, t[a:b]) for k, a, b in found] == [want] for t, found, want in zip(texts, out, forms.values(), strict=True)]
+    assert sum(hits) >= 4 and hits[0] and hits[1]
+    clean = ["on 2024-01-15 we met", "from 1998-2004 it was", "total 1,234,567.89 paid", "at 10:30:15 on 12.05.2021", "order 12345678 shipped", "follow @someone there",
+             "pages 100-200, 1999 edition, 300 copies", "3 apples @ 5.99 each", "the years 1914 1918 1939 1945 were hard", "no digits at all"]
+    assert not any(pii_bilstm.add_spans(net, clean, [[] for _ in clean]))
+    rows = [t for (t,) in docs.where("text IS NOT NULL").select("text").collect()]
+    base = [pii_bilstm.base_spans(t) for t in rows]
+    out = pii_bilstm.add_spans(net, rows, base)
+    assert all(set(b) <= set(s) for b, s in zip(base, out, strict=True)) and sum(map(len, out)) - sum(map(len, base)) <= 3
+
+
+def test_other_forms_and_decoys_are_labelled_as_said():
+    text = "so it goes on +49 (30) 5550-1234 and then mail max.25@mail7.example.com or 10.2.33.4 here. " * 3
+    rows = list(pii_bilstm.labelled_windows(text))
+    assert rows == list(pii_bilstm.labelled_windows(text)) and {r[0] for r in rows} == {0, 1, 3, 5, 6, 8, 9}
+    for k, _, x, y in rows:
+        kinds = {(t - 1) // 2 for t in y if t}
+        assert len(x) == len(y) == pii_bilstm.WINDOW and (k != 4 or not kinds) and (k > 3 or k in kinds)
+    rng = random.Random(1)
+    assert {pii_bilstm._plausible("ip", pii_bilstm.varied("ip", "10.2.33.4", ["w"], rng)) for _ in range(50)} == {True}
+    assert {pii_bilstm._plausible("phone", pii_bilstm.varied("phone", "", ["w"], rng)) for _ in range(200)} == {True}
+    assert not any(pii_bilstm._plausible("ip", t) for t in ("1.2.3", "1.2.3.256", "1.2-3.4", "1 and 2 and 3 and 4"))
+
+
 # --- 8 language --------------------------------------------------------------
 
 def test_language_machines_and_votes_by_plain_loops():
