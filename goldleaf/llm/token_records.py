@@ -41,6 +41,7 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -94,6 +95,7 @@ def parts_of(payload: bytes) -> tuple[int | None, bytes]:
 class Encoder:
     """Ids of whole texts by a tokenizer file, as little-endian bytes of `dtype`.
 
+    The distinct pieces of a run are looked up once each, and their ids gathered by number.
     Pieces not in the store are encoded together, as the words of one sequence.  The store has
     two halves; a full new half replaces the old one, whose pieces come back when they are met
     again.
@@ -116,14 +118,16 @@ class Encoder:
                 first, size = k + 1, 0
 
     def _run(self, texts: list[str]) -> list[bytes]:
-        pieces = [t.replace("\n", " ").split(" ") for t in texts]
-        met = set().union(*pieces)
-        missing = met - self.new.keys()
-        again = missing & self.old.keys()
+        pieces = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+        coded = pieces.flatten().dictionary_encode()
+        met = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        missing = [p for p in met if p not in self.new]
+        again = [p for p in missing if p in self.old]
         self.new.update((p, self.old[p]) for p in again)
-        fresh = list(missing - again)
+        fresh = [p for p in missing if p not in self.old]
         self.new.update(self._pieces(fresh))
-        out = [b"".join(map(self.new.__getitem__, p)) for p in pieces]
+        bodies = list(map(self.new.__getitem__, met))
+        out = self._joined(bodies, coded.indices.to_numpy(), pieces.offsets.to_numpy())
         for p in fresh:
             if len(p) > STORE_LENGTH:
                 del self.new[p]
@@ -131,6 +135,17 @@ class Encoder:
             self.old, self.new = self.new, {}
         return out
 
+    def _joined(self, bodies: list[bytes], pieces: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """The ids of each text, whose `pieces` (numbers of `bodies`) lie between two `offsets`."""
+        width = self.dtype.itemsize
+        sizes = np.fromiter(map(len, bodies), np.int64, len(bodies)) // width
+        firsts, counts = (np.cumsum(sizes) - sizes)[pieces], sizes[pieces]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        places = np.repeat(firsts - ends[:-1], counts) + np.arange(ends[-1])
+        data = np.frombuffer(b"".join(bodies), self.dtype)[places].tobytes()
+        at = (ends[offsets] * width).tolist()
+        return [data[i:j] for i, j in zip(at, at[1:])]
+
     def _pieces(self, fresh: list[str]) -> Iterator[tuple[str, bytes]]:
         if not fresh:
             return

@@ -110,6 +110,20 @@ def test_pieces_give_the_ids_of_whole_texts():
         token_records.STORE_PIECES = kept
 
 
+def test_a_repeated_piece_is_looked_up_once():
+    class Counted(dict):
+        reads = 0
+
+        def __getitem__(self, key):
+            Counted.reads += 1
+            return super().__getitem__(key)
+
+    encode = token_records.Encoder(WORDS)
+    encode.new = Counted()
+    whole = Tokenizer.from_file(WORDS).encode("word other " * 5000, add_special_tokens=False)
+    assert list(encode(["word other " * 5000, ""])) == [np.array(whole.ids, "<u2").tobytes(), b""] and Counted.reads < 10
+
+
 def test_shuffled_reads_find_every_record_and_damage_is_seen(spark):
     prepare(spark)
     docs = spark.read.parquet(f"{SMOKE_DIR}/documents.parquet")
